@@ -1,6 +1,6 @@
 """All registered queries."""
 
 from cratedig.plans.registry import CHECKS, QUERIES
-from cratedig.plans import catalog_queries  # noqa: F401
+from cratedig.plans import catalog_queries, metric_queries, queue_queries  # noqa: F401
 
 __all__ = ["QUERIES", "CHECKS"]
