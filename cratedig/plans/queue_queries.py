@@ -160,7 +160,7 @@ def _(s, d):
     return queues.queue_monitor_events(_monitor_events(s, d), EVENTS_AS_OF, 240)
 
 
-@query("queue_monitor_doc", "messages", """WITH mon AS (SELECT event_type AS queue_name, event_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-30 00:00:00' AND event_id % 2 = 0),
+@query("queue_monitor_doc", "messages", """WITH mon AS (SELECT event_type AS queue_name, event_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-30 00:00:00'),
 reg AS (SELECT DISTINCT queue_name FROM messages),
 f AS (SELECT queue_name, count(*) AS total, count(*) FILTER (vt IS NOT NULL AND vt < TIMESTAMP '2024-01-30 23:50:00') AS stuck FROM messages GROUP BY 1),
 n AS (SELECT queue_name, max(ts) AS last_check_time, arg_max(event_id % 7, event_id) AS fixed FROM mon GROUP BY 1)
@@ -169,7 +169,7 @@ FROM reg LEFT JOIN f USING (queue_name) LEFT JOIN n USING (queue_name)""")
 def _(s, d):
     e = F.col("event_id")
     details = F.to_json(F.struct(F.col("event_type").alias("queue_name"), (e % 7).alias("messagesReset")))
-    events = tb.table(s, d, "events").filter(e % 2 == 0).select(
+    events = tb.table(s, d, "events").select(
         F.lit("queue_monitor").alias("event_type"), details.alias("details"), F.col("ts").alias("created_at")
     )
     return queues.queue_monitor_doc(tb.queue_registry(s, d), _messages(s, d), events, EVENTS_AS_OF)
@@ -226,7 +226,7 @@ def _(s, d):
 
 @query("active_queue_monitoring", "messages work_metrics", f"""WITH {WORKERS_SQL}, iss1 AS (SELECT * FROM iss WHERE NOT resolved AND created_at > {NOW} - INTERVAL 1 HOUR),
 cnt AS (SELECT reg.queue_name, count(iss1.event_id) AS n FROM reg LEFT JOIN iss1 ON iss1.worker_name ILIKE concat('%', reg.queue_name, '%') GROUP BY 1),
-st AS (SELECT queue_name, count(*) AS n, min(enqueued_at) AS oldest FROM messages WHERE msg_id % 4 = 0 OR queue_name <> 'error' GROUP BY 1),
+st AS (SELECT queue_name, count(*) AS n, min(enqueued_at) AS oldest FROM messages WHERE value > 60 OR queue_name <> 'error' GROUP BY 1),
 av AS (SELECT event_type AS queue_name, avg(batch_size) AS ap, avg(error_count) AS ae FROM work_metrics JOIN events USING (event_id) WHERE work_metrics.ts > {NOW} - INTERVAL 60 HOUR GROUP BY 1)
 SELECT reg.queue_name, coalesce(st.n, 0) AS message_count, st.oldest AS oldest_message, round(ap, 6) AS avg_processed_per_batch, round(ae, 6) AS avg_errors_per_batch,
  cnt.n AS recent_issues_count, CASE WHEN coalesce(st.n, 0) = 0 THEN 'empty' WHEN st.n > 1000 THEN 'high' WHEN st.n > 100 THEN 'medium' ELSE 'normal' END AS queue_load,
@@ -235,7 +235,7 @@ SELECT reg.queue_name, coalesce(st.n, 0) AS message_count, st.oldest AS oldest_m
 FROM reg LEFT JOIN st USING (queue_name) LEFT JOIN av USING (queue_name) LEFT JOIN cnt USING (queue_name)""")
 def _(s, d):
     registry, issues = _workers(s, d)
-    m = _messages(s, d).filter((F.col("msg_id") % 4 == 0) | (F.col("queue_name") != "error"))
+    m = tb.messages(s, d).filter((F.col("value") > 60) | (F.col("queue_name") != "error"))
     e = F.col("event_id")
     recent = metrics.recent_avg_per_queue(
         tb.table(s, d, "events").select(
@@ -292,15 +292,15 @@ def _(s, d):
 
 # --- repeats ---------------------------------------------------------------
 
-SEEN_SQL = f"""seen AS (SELECT concat('dedup:', event_type, ':', CAST(user_id AS VARCHAR)) AS dedup_key, ts AS first_seen_at, ts + INTERVAL 7 DAY AS expires_at FROM events WHERE event_id % 7 = 0),
+SEEN_SQL = f"""seen AS (SELECT concat('dedup:', event_type, ':', CAST(user_id AS VARCHAR)) AS dedup_key, ts AS first_seen_at, ts + INTERVAL 2 DAY AS expires_at FROM events),
 msg AS (SELECT event_id AS msg_id, concat('dedup:', event_type, ':', CAST(user_id AS VARCHAR)) AS dedup_key FROM events)"""
 
 
 def _seen(s, d):
     e = tb.table(s, d, "events")
     key = F.concat(F.lit("dedup:"), F.col("event_type"), F.lit(":"), F.col("user_id").cast("string")).alias("dedup_key")
-    seen = e.filter(F.col("event_id") % 7 == 0).select(
-        key, F.col("ts").alias("first_seen_at"), (F.col("ts") + F.expr("INTERVAL 7 DAYS")).alias("expires_at")
+    seen = e.select(
+        key, F.col("ts").alias("first_seen_at"), (F.col("ts") + F.expr("INTERVAL 2 DAYS")).alias("expires_at")
     )
     return seen, e.select(F.col("event_id").alias("msg_id"), key)
 
@@ -481,17 +481,17 @@ def _(s, d):
     return _messages(s, d).select("msg_id", bodies.idempotency_key(F.col("queue_name"), body).alias("idempotency_key"))
 
 
-@query("coalesce_aliases", "messages", """SELECT msg_id, CAST(user_id AS VARCHAR) AS artist_id,
-  CASE WHEN msg_id % 3 = 0 THEN 'Unknown Artist' ELSE concat('a', CAST(user_id AS VARCHAR)) END AS artist_name,
-  CASE WHEN msg_id % 2 = 0 THEN msg_id % 50 ELSE 0 END AS "offset" FROM messages WHERE user_id <> 0""")
+@query("coalesce_aliases", "messages", """SELECT msg_id, concat('u', CAST(user_id AS VARCHAR)) AS artist_id,
+  CASE WHEN msg_id % 3 = 0 THEN 'Unknown Artist' ELSE concat('au', CAST(user_id AS VARCHAR)) END AS artist_name,
+  CASE WHEN msg_id % 2 = 0 THEN msg_id % 50 ELSE 0 END AS "offset" FROM messages""")
 def _(s, d):
-    u, i = F.col("user_id").cast("string"), F.col("msg_id")
+    u, i = F.concat(F.lit("u"), F.col("user_id").cast("string")), F.col("msg_id")
     name = F.when(i % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("a"), u))
     even = bodies.json_build(artistId=u, artistName=name, offset=i % 50)
     odd = bodies.json_build(artist_id=u, artist_name=name)
     body = F.when(i % 2 == 0, even).otherwise(odd)
     got = bodies.coalesce_aliases(body, "album_discovery")
-    rows = tb.messages(s, d).filter(F.col("user_id") != 0).select("msg_id", got.alias("m"))
+    rows = tb.messages(s, d).select("msg_id", got.alias("m"))
     return rows.select("msg_id", "m.artist_id", "m.artist_name", "m.offset")
 
 
@@ -530,9 +530,9 @@ def _(s, d):
 
 
 @query("problem_messages_list", "messages", f"""SELECT queue_name, CAST(msg_id AS VARCHAR) AS message_id, enqueued_at AS created_at FROM messages
-  WHERE msg_id % 10 = 0 AND queue_name = 'view' ORDER BY enqueued_at DESC, CAST(msg_id AS VARCHAR) DESC LIMIT 50""")
+  WHERE CAST(json_extract_string(message, '$.k') AS INT) < 10 AND queue_name = 'view' ORDER BY enqueued_at DESC, CAST(msg_id AS VARCHAR) DESC LIMIT 50""")
 def _(s, d):
-    problems = _messages(s, d).filter(F.col("msg_id") % 10 == 0).select(
+    problems = _messages(s, d).filter(bodies.json_get(F.col("message"), "$.k", "int") < 10).select(
         "queue_name", F.col("msg_id").cast("string").alias("message_id"), F.col("enqueued_at").alias("created_at")
     )
     return queues.problem_messages_list(problems, "view", 50)
