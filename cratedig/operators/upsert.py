@@ -195,15 +195,15 @@ def new_producers(credits: DataFrame) -> DataFrame:
 
 def enrich_producers(producers: DataFrame, as_of) -> DataFrame:
     """Gives producers without links their links and marks them enriched."""
-    todo = F.col("enriched_at").isNull()
-    out = producers.withColumn("social_links", F.when(todo, social_links(F.col("name"))))
-    if "social_links" in producers.columns:
-        todo = producers["social_links"].isNull()
-        out = producers.withColumn("social_links", F.coalesce("social_links", social_links(F.col("name"))))
-    out = out.withColumn("enriched_at", F.when(todo, at(as_of)).otherwise(F.col("enriched_at")))
-    if "updated_at" in producers.columns:
-        out = out.withColumn("updated_at", F.when(todo, at(as_of)).otherwise(F.col("updated_at")))
-    return out
+    stored = "social_links" in producers.columns
+    todo = F.col("social_links").isNull() if stored else F.col("enriched_at").isNull()
+    out = producers.withColumn("_todo", todo)
+    links = F.when(F.col("_todo"), social_links(F.col("name")))
+    out = out.withColumn("social_links", F.coalesce("social_links", links) if stored else links)
+    for c in ("enriched_at", "updated_at"):
+        if c in producers.columns:
+            out = out.withColumn(c, F.when(F.col("_todo"), at(as_of)).otherwise(F.col(c)))
+    return out.drop("_todo")
 
 
 def register_queue(registry: DataFrame, given: DataFrame, as_of) -> DataFrame:

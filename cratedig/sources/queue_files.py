@@ -7,18 +7,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cratedig import schemas
 from cratedig.functions.bodies import parse_body
 
+# Full microseconds; the JSON default keeps milliseconds only.
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def source_queue(spark: SparkSession, path: str, queue: str, max_batch: int | None = None, streaming: bool = False) -> DataFrame:
     """Messages of one queue; a stream takes at most ``max_batch`` files per step."""
     where = f"{path}/queue_name={queue}"
     schema = ", ".join(f for f in schemas.QUEUE_MESSAGE.split(", ") if not f.startswith("queue_name"))
     if streaming:
-        reader = spark.readStream.schema(schema)
+        reader = spark.readStream.schema(schema).option("timestampFormat", TIME_FORMAT)
         if max_batch:
             reader = reader.option("maxFilesPerTrigger", max_batch)
         rows = reader.json(where)
     else:
-        rows = spark.read.schema(schema).json(where)
+        rows = spark.read.schema(schema).option("timestampFormat", TIME_FORMAT).json(where)
     return rows.withColumn("queue_name", F.lit(queue))
 
 
@@ -36,7 +39,7 @@ def as_messages(df: DataFrame, queue: Column, body: Column, msg_id: Column, enqu
 
 def sink_enqueue(messages: DataFrame, path: str) -> None:
     """Appends messages to their queues."""
-    messages.write.mode("append").partitionBy("queue_name").json(path)
+    messages.write.mode("append").option("timestampFormat", TIME_FORMAT).partitionBy("queue_name").json(path)
 
 
 def sink_enqueue_stream(messages: DataFrame, path: str, checkpoint: str):
@@ -44,6 +47,7 @@ def sink_enqueue_stream(messages: DataFrame, path: str, checkpoint: str):
     return (
         messages.writeStream.format("json")
         .partitionBy("queue_name")
+        .option("timestampFormat", TIME_FORMAT)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
