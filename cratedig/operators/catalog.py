@@ -131,21 +131,23 @@ def search_producers(producers, track_producers, tracks, albums, artists, term:
         .select("producer_id", "track_id")
         .distinct()
     )
-    counted = links.groupBy("producer_id").agg(F.count("track_id").alias("track_count"))
-    met = (
-        links.join(tracks.select("track_id", "album_id"), "track_id")
-        .select("producer_id", "album_id")
-        .distinct()
-        .join(albums.select("album_id", "artist_id"), "album_id")
-        .select("producer_id", "artist_id")
-        .distinct()
-        .join(artists.select("artist_id"), "artist_id", "left_semi")
+    by_album = (
+        links.join(tracks.select("track_id", "album_id"), "track_id", "left")
+        .groupBy("producer_id", "album_id")
+        .agg(F.count("track_id").alias("n"))
+    )
+    by_artist = (
+        by_album.join(albums.select("album_id", F.col("artist_id").alias("_a")), "album_id", "left")
+        .groupBy("producer_id", "_a")
+        .agg(F.sum("n").alias("n"))
+    )
+    counted = (
+        by_artist.join(artists.select(F.col("artist_id").alias("_a"), "artist_id"), "_a", "left")
         .groupBy("producer_id")
-        .agg(F.count(F.lit(1)).alias("artist_count"))
+        .agg(F.sum("n").alias("track_count"), F.count("artist_id").alias("artist_count"))
     )
     out = (
         found.join(counted, "producer_id", "left")
-        .join(met, "producer_id", "left")
         .fillna(0, ["track_count", "artist_count"])
         .orderBy(F.desc("track_count"), F.desc("artist_count"), "name", "producer_id")
     )

@@ -21,7 +21,8 @@ WORK_METRICS = ("worker_batch", "queue_processing")
 def metrics_from_json(raw: DataFrame, column: str = "payload") -> DataFrame:
     """JSON arrays of metric records to typed rows."""
     records = F.from_json(F.col(column), METRIC_RECORDS)
-    return raw.select(F.inline(records)).select(
+    rows = raw.select(F.explode_outer(records).alias("r")).filter(F.col("r").isNotNull())
+    return rows.select("r.*").select(
         "metric_name",
         "metric_value",
         "tags",

@@ -259,7 +259,7 @@ def issues_like_queue(registry: DataFrame, issues: DataFrame, as_of, hours: floa
     pieces = F.array_distinct(
         F.flatten(F.transform(starts, lambda i: F.transform(lengths, lambda k: F.substring(name, i, k))))
     )
-    offered = counted.select("worker_name", "_n", F.explode(pieces).alias("_key"))
+    offered = counted.select("worker_name", "_n", F.explode_outer(pieces).alias("_key"))
     parts = F.split(F.lower("queue_name"), r"[_%\\]", -1)
     longest = F.element_at(F.array_sort(F.transform(parts, lambda p: F.struct((-F.length(p)).alias("k"), p.alias("p")))), 1)["p"]
     wanted = registry.select("queue_name", F.substring(longest, 1, ANCHOR).alias("_key"))

@@ -165,8 +165,8 @@ def process_track_batch(batches: DataFrame, tracks: DataFrame, normalized: DataF
         "batch_id",
         "album_id",
         "artist_id",
-        F.posexplode(F.from_json("tracks_json", TRACK_BATCH)).alias("position", "t"),
-    ).select("batch_id", "album_id", "artist_id", "position", "t.*")
+        F.posexplode_outer(F.from_json("tracks_json", TRACK_BATCH)).alias("position", "t"),
+    ).filter(F.col("t").isNotNull()).select("batch_id", "album_id", "artist_id", "position", "t.*")
     rows = rows.withColumn("track_id", natural_id(F.col("spotify_id")))
     newest = last_of_key(rows, ["spotify_id"], "batch_id", "position").select(
         "track_id", "spotify_id", "album_id", "name", "duration_ms", "popularity",
@@ -181,7 +181,8 @@ def process_track_batch(batches: DataFrame, tracks: DataFrame, normalized: DataF
 def credit_rows(songs: DataFrame, credits: str = "credits") -> DataFrame:
     """Exploded credits with position and producer key: track_id, position, name, confidence, source."""
     return (
-        songs.select("track_id", F.posexplode(credits).alias("position", "c"))
+        songs.select("track_id", F.posexplode_outer(credits).alias("position", "c"))
+        .filter(F.col("c").isNotNull())
         .select("track_id", "position", "c.name", "c.confidence", "c.source")
         .withColumn("normalized_name", normalize_producer_name(F.col("name")))
     )

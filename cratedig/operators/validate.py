@@ -312,7 +312,8 @@ def with_validation(df: DataFrame, body: str, schema: dict, options: Options = O
 
 def error_report(df: DataFrame, schema_name: str, *keep: str) -> DataFrame:
     """One row per error of the invalid rows."""
-    return df.select(*keep, F.lit(schema_name).alias("schema_name"), F.inline("errors"))
+    rows = df.select(*keep, F.explode_outer("errors").alias("e")).filter(F.col("e").isNotNull())
+    return rows.select(*keep, F.lit(schema_name).alias("schema_name"), "e.*")
 
 
 # Payload and message schemas.

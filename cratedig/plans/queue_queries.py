@@ -315,7 +315,7 @@ def _(s, d):
 def _(s, d):
     """First document of each distinct whole text."""
     docs = tb.table(s, d, "documents").select(F.md5("text").alias("text_key"), "doc_id")
-    return dedup.first_of_key(docs, "text_key", "doc_id")
+    return dedup.first_of_key(docs, "text_key", "doc_id", keep_unkeyed=False)
 
 
 @query("batch_check_duplicates", "", f"""WITH {SEEN_SQL} SELECT dedup_key, dedup_key IN (SELECT dedup_key FROM seen WHERE expires_at > {NOW}) AS is_duplicate

@@ -103,7 +103,7 @@ def fan_out_producer_to_social(producers: DataFrame) -> DataFrame:
 
 def distinct_requests(messages: DataFrame) -> DataFrame:
     """One message per key; which of several equal requests is kept does not matter, but it is fixed."""
-    return first_of_key(messages, "dedup_key", "message")
+    return first_of_key(messages, "dedup_key", "message", keep_unkeyed=False)
 
 
 def artist_stage(messages: DataFrame, searches: DataFrame) -> DataFrame:
