@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from cratedig.functions.bind import let
+
 MAX_WRAPPERS = 3
 
 
@@ -51,15 +53,22 @@ def parse_body(body: Column) -> Column:
     ``message`` key. A wrapper that holds nothing else is taken off again, up
     to a fixed depth.
     """
-    now = _unquote(body)
-    inner = F.get_json_object(now, "$.message")
-    wrapped = json_has_key(now, "message") & inner.isNotNull()
-    now = F.when(wrapped, inner).otherwise(now)
+    now = let(_unquote(body), _unwrap)
     for _ in range(MAX_WRAPPERS - 1):
-        inner = F.get_json_object(now, "$.message")
-        only = inner.isNotNull() & (F.size(F.json_object_keys(now)) == 1)
-        now = F.when(only, inner).otherwise(now)
-    return F.when(is_object(now), now)
+        now = let(now, _unwrap_single)
+    return let(now, lambda b: F.when(is_object(b), b))
+
+
+def _unwrap(body: Column) -> Column:
+    """What the object has under ``message``, else the object."""
+    inner = F.get_json_object(body, "$.message")
+    return F.when(json_has_key(body, "message"), F.coalesce(inner, body)).otherwise(body)
+
+
+def _unwrap_single(body: Column) -> Column:
+    """The same, but only when there is nothing else in it."""
+    only = F.array(F.lit("message"))
+    return F.when(F.json_object_keys(body) == only, F.coalesce(F.get_json_object(body, "$.message"), body)).otherwise(body)
 
 
 def extract_message_id(body: Column) -> Column:

@@ -31,12 +31,12 @@ def strip(c: Column) -> Column:
 
 
 def _bare(c: Column) -> Column:
-    return F.regexp_replace(F.lower(c), f"[^\\w{SPACE}]", "")
+    return F.regexp_replace(F.lower(c), f"[^\\w{SPACE}]+", "")
 
 
 def _or_unknown(raw: Column, done: Column) -> Column:
-    blank = raw.isNull() | (strip(raw) == "") | (done == "")
-    return F.when(blank, F.lit(UNKNOWN_PRODUCER)).otherwise(done)
+    filled = raw.rlike(f"[^{SPACE}]")
+    return F.coalesce(F.when(filled, F.nullif(done, F.lit(""))), F.lit(UNKNOWN_PRODUCER))
 
 
 def normalize_producer_name(c: Column) -> Column:

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field as dc_field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cratedig.functions import formats
+from cratedig.functions.bind import let
 from cratedig.functions.bodies import json_has_key
 
 ERROR = "struct<path:string,value:string,rule:string,message:string>"
@@ -54,11 +55,6 @@ class Options:
 NOTED = "array<struct<path:string,value:string,rule:string,message:string,noted:boolean>>"
 
 
-def _let(value: Column, use) -> Column:
-    """Evaluates ``value`` once per row for an expression that reads it many times."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _none() -> Column:
     return F.array().cast(NOTED)
 
@@ -87,7 +83,7 @@ def _ok(errors: Column) -> Column:
 
 def _kind(v: Column) -> Column:
     """string, number, boolean, object, array, null, or undefined for a missing value."""
-    return _let(
+    return let(
         F.schema_of_variant(v),
         lambda t: F.when(t.isNull(), "undefined")
         .when(t == "STRING", STRING)
@@ -125,7 +121,7 @@ class _Value:
 
     @staticmethod
     def of(v: Column, use) -> Column:
-        return _let(v, lambda x: _let(F.struct(x.alias("v"), _kind(x).alias("kind")), lambda row: use(_Value(row))))
+        return let(v, lambda x: let(F.struct(x.alias("v"), _kind(x).alias("kind")), lambda row: use(_Value(row))))
 
 
 class _Compiler:
@@ -160,7 +156,7 @@ class _Compiler:
         if f.required:
             message = F.concat(F.lit("Required field '"), at, F.lit("' is missing"))
             missing = F.array(_error(at, F.lit(None).cast("string"), "required", message))
-        return _let(value, lambda v: F.when(v.isNull(), missing).otherwise(_Value.of(v, lambda y: self.field(y, f, at))))
+        return let(value, lambda v: F.when(v.isNull(), missing).otherwise(_Value.of(v, lambda y: self.field(y, f, at))))
 
     def _additional(self, x: _Value, schema: dict, path: Column | None) -> Column:
         prefix = F.lit("") if path is None else F.concat(path, F.lit("."))
@@ -178,7 +174,7 @@ class _Compiler:
                 extra = F.slice(extra, 1, 1)
             return F.transform(extra, lambda k: one(m, k))
 
-        return _let(members, found)
+        return let(members, found)
 
     def field(self, x: _Value, f: Field, path: Column) -> Column:
         none = F.lit(None).cast("string")
@@ -197,10 +193,10 @@ class _Compiler:
             return F.transform(errors, lambda e: e.withField("noted", F.lit(True)))
 
         def next_type(t: Column) -> Column:
-            after = _let(rest, lambda r: F.when(_ok(r), F.concat(note(t), r)).otherwise(F.concat(t, r)))
+            after = let(rest, lambda r: F.when(_ok(r), F.concat(note(t), r)).otherwise(F.concat(t, r)))
             return F.when(_ok(t), t).otherwise(after)
 
-        return _let(tried, next_type)
+        return let(tried, next_type)
 
     def type(self, x: _Value, kind: str, f: Field, path: Column) -> Column:
         if kind == ANY:
@@ -295,7 +291,7 @@ class _Compiler:
             errors = F.aggregate(checked, _none(), self._until_bad)
         else:
             errors = F.flatten(checked)
-        return _let(sized, lambda r: F.when(F.size(r) == 0, errors).otherwise(r))
+        return let(sized, lambda r: F.when(F.size(r) == 0, errors).otherwise(r))
 
 
 def validate_schema(body: Column, schema: dict, options: Options = Options()) -> Column:

@@ -62,8 +62,8 @@ def _(s, d):
 
 
 @query("find_inconsistent_states", ST, f"""SELECT entity_type, entity_id, state AS db_state, last_processed_at,
-  round((epoch_us({NOW}) - epoch_us(last_processed_at)) / 60000000.0::DOUBLE, 6) AS minutes_since_update FROM entity_status
-  WHERE state IN ('IN_PROGRESS', 'PENDING') AND last_processed_at < {NOW} - INTERVAL 1800 MINUTE""")
+  round((epoch_us({NOW}) - epoch_us(last_processed_at)) / 60000000.0::DOUBLE, 9) AS minutes_since_update FROM entity_status
+  WHERE state IN ('IN_PROGRESS', 'PENDING') AND last_processed_at < {NOW} - INTERVAL 1800 MINUTE""", digits=9)
 def _(s, d):
     return entities.find_inconsistent_states(_status(s, d), EVENTS_AS_OF, 1800)
 
@@ -152,12 +152,12 @@ def _(s, d):
     return tb.entity_events(s, d).select("event_id", formats.array_any(F.col("state"), ["COMPLETED", "FAILED"]).alias("hit"))
 
 
-@query("minutes_since", "entity_events", f"SELECT event_id, round((epoch_us({NOW}) - epoch_us(ts)) / 60000000.0::DOUBLE, 6) AS minutes FROM entity_events")
+@query("minutes_since", "entity_events", f"SELECT event_id, round((epoch_us({NOW}) - epoch_us(ts)) / 60000000.0::DOUBLE, 9) AS minutes FROM entity_events", digits=9)
 def _(s, d):
     return tb.entity_events(s, d).select("event_id", times.minutes_since(F.col("ts"), EVENTS_AS_OF).alias("minutes"))
 
 
-@query("hours_since", "entity_events", f"SELECT event_id, round((epoch_us({NOW}) - epoch_us(ts)) / 3600000000.0::DOUBLE, 6) AS hours FROM entity_events")
+@query("hours_since", "entity_events", f"SELECT event_id, round((epoch_us({NOW}) - epoch_us(ts)) / 3600000000.0::DOUBLE, 10) AS hours FROM entity_events", digits=10)
 def _(s, d):
     return tb.entity_events(s, d).select("event_id", times.hours_since(F.col("ts"), EVENTS_AS_OF).alias("hours"))
 

@@ -55,7 +55,7 @@ def _(s, d):
 
 
 @query("list_stuck_messages", "messages", f"""SELECT queue_name, CAST(msg_id AS VARCHAR) AS msg_id, message, vt AS locked_since, read_ct AS read_count,
-  round((epoch_us({NOW}) - epoch_us(vt)) / 60000000.0::DOUBLE, 6) AS minutes_locked FROM messages WHERE {STUCK_SQL}""")
+  round((epoch_us({NOW}) - epoch_us(vt)) / 60000000.0::DOUBLE, 9) AS minutes_locked FROM messages WHERE {STUCK_SQL}""", digits=9)
 def _(s, d):
     return queues.list_stuck_messages(_messages(s, d), EVENTS_AS_OF, STUCK_MIN)
 
@@ -177,7 +177,7 @@ def _(s, d):
 
 @query("diagnose_queues", "messages", f"""SELECT queue_name, count(*) AS total_messages, count(vt) AS in_progress_messages,
   count(*) FILTER (vt IS NOT NULL AND vt < {NOW} - INTERVAL 10 MINUTE) AS stuck_messages,
-  round(coalesce(max((epoch_us({NOW}) - epoch_us(vt)) / 60000000.0::DOUBLE), 0), 6) AS oldest_message_age_minutes FROM messages GROUP BY 1""")
+  round(coalesce(max((epoch_us({NOW}) - epoch_us(vt)) / 60000000.0::DOUBLE), 0), 9) AS oldest_message_age_minutes FROM messages GROUP BY 1""", digits=9)
 def _(s, d):
     return queues.diagnose_queues(_messages(s, d), EVENTS_AS_OF)
 

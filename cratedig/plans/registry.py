@@ -69,13 +69,13 @@ def with_views(sql: str, uses: str) -> str:
     return f"WITH {head}\n{body}"
 
 
-def tidy(df: DataFrame) -> DataFrame:
-    """Plain column types: six-digit doubles and zone-less timestamps."""
+def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Plain column types: doubles of fixed precision and zone-less timestamps."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), 6)
+            c = F.round(c.cast("double"), digits)
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType)):
@@ -84,7 +84,7 @@ def tidy(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def query(name: str, uses: str = "", sql: str | None = None):
+def query(name: str, uses: str = "", sql: str | None = None, digits: int = 6):
     """Registers a query; ``uses`` names the derived tables its check SQL reads."""
 
     def add(fn: Query) -> Query:
@@ -93,7 +93,7 @@ def query(name: str, uses: str = "", sql: str | None = None):
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_utc(spark)
-            return tidy(fn(spark, sf_dir))
+            return tidy(fn(spark, sf_dir), digits)
 
         run.__doc__ = fn.__doc__
         run.__name__ = name

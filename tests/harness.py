@@ -22,11 +22,9 @@ def duck(sf_dir: str):
 
 def _norm(v):
     if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return round(v, 5)
+        return "nan" if math.isnan(v) else v
     if v is not None and type(v).__name__ == "Decimal":
-        return round(float(v), 5)
+        return float(v)
     return v
 
 
