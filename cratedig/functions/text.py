@@ -6,7 +6,8 @@ from pyspark.sql import Column, functions as F
 
 # Whitespace as the source data's normalizer understands it
 # (ASCII whitespace plus the Unicode spaces), written as a Java character-class body.
-SPACE = r"\s\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+UNICODE_SPACE = r"\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+SPACE = r"\s" + UNICODE_SPACE
 
 UNKNOWN_PRODUCER = "unknown_producer"
 
@@ -31,7 +32,11 @@ def strip(c: Column) -> Column:
 
 
 def _bare(c: Column) -> Column:
-    return F.regexp_replace(F.lower(c), f"[^\\w{SPACE}]+", "")
+    """Lower case with only ASCII word characters and whitespace left.
+
+    The class is nested so that the common characters are decided first.
+    """
+    return F.regexp_replace(F.lower(c), r"[^\w[\s[" + UNICODE_SPACE + "]]]+", "")
 
 
 def _or_unknown(raw: Column, done: Column) -> Column:
@@ -44,12 +49,12 @@ def normalize_producer_name(c: Column) -> Column:
 
     Outer whitespace becomes ``_`` as well.
     """
-    return _or_unknown(c, F.regexp_replace(_bare(c), f"[{SPACE}]+", "_"))
+    return _or_unknown(c, F.regexp_replace(_bare(c), r"\W+", "_"))
 
 
 def normalize_producer_name_spaces(c: Column) -> Column:
     """As above, but whitespace runs become one space and the ends are trimmed."""
-    return _or_unknown(c, strip(F.regexp_replace(_bare(c), f"[{SPACE}]+", " ")))
+    return _or_unknown(c, F.trim(F.regexp_replace(_bare(c), r"\W+", " ")))
 
 
 def normalize_track_name(c: Column, unicode: bool = False) -> Column:

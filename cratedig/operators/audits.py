@@ -33,7 +33,7 @@ def is_valid_transition(old: Column, new: Column) -> Column:
     return old.isNull() | F.coalesce(reduce(lambda a, b: a | b, allowed), F.lit(False))
 
 
-def state_transition_audit(events: DataFrame, slice_seconds: int = 86400) -> DataFrame:
+def state_transition_audit(events: DataFrame, slice_seconds: int = 600) -> DataFrame:
     """Every event with the entity's state before it and whether the change is allowed."""
     keys = ["entity_type", "entity_id"]
     with_old = previous(
@@ -57,12 +57,12 @@ def rate_audit_sliding(
 ) -> DataFrame:
     """Calls that exceed the limit within the window that ends at them."""
     counted = trailing_count(
-        calls, [api], micros(F.col(ts)), seconds, slice_seconds or max(10 * seconds, 3600), "calls_in_window"
+        calls, [api], micros(F.col(ts)), seconds, slice_seconds or max(10 * seconds, 600), "calls_in_window"
     )
     return counted.filter(F.col("calls_in_window") > limit)
 
 
-def failure_streaks(calls: DataFrame, service: str, ts: str = "ts", tie: str = "event_id", slice_seconds: int = 3600) -> DataFrame:
+def failure_streaks(calls: DataFrame, service: str, ts: str = "ts", tie: str = "event_id", slice_seconds: int = 600) -> DataFrame:
     """Runs of consecutive failures per service; five or more are an outage.
 
     Failures between the same two successes share the running success count.

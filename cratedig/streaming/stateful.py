@@ -55,7 +55,7 @@ def step(state: str | None, last_us: int, action: str, now_us: int, timeout_us:
     return SETS[action], now_us, True, 0
 
 
-def state_log(events: DataFrame, timeout_minutes: int = 30, slice_seconds: int = 86400) -> DataFrame:
+def state_log(events: DataFrame, timeout_minutes: int = 30, slice_seconds: int = 600) -> DataFrame:
     """The outcome of every action over a finished log.
 
     events: entity_type, entity_id, event_id, ts, action. An action that sets
