@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -28,6 +30,11 @@ def build(app: str = "cratedig", master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def ship_with_jobs(module_name: str) -> None:
+    """Sends a module's functions along with the tasks that use them, so that executors need no installed copy."""
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
 def ensure_utc(spark: SparkSession) -> SparkSession:
     """All stored timestamps are UTC; pin the session zone when it differs."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

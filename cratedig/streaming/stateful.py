@@ -14,7 +14,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cratedig.functions.times import micros, slice_of
 from cratedig.operators.ordered import running_sum
-from cratedig.session import ROCKSDB
+from cratedig.session import ROCKSDB, ship_with_jobs
+
+ship_with_jobs(__name__)
 
 KEY = ["entity_type", "entity_id"]
 CLAIM, RELEASE = "CLAIM", "RELEASE"
