@@ -156,8 +156,16 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def share_of_total(df: DataFrame, value: str, out: str, digits: int = 2) -> DataFrame:
-    """Adds each row's percentage of the column total; the total is a one-row subquery."""
-    total = df.agg(F.sum(value).cast("double").alias("_t")).scalar()
+def share_of_total(df: DataFrame, value: str, out: str, digits: int = 2, few_rows: bool = False) -> DataFrame:
+    """Adds each row's percentage of the column total.
+
+    The total is a one-row subquery, which computes the input a second time.
+    Where the rows come from a fixed list of keys, ``few_rows`` sums them in
+    one small window instead.
+    """
+    if few_rows:
+        total = F.sum(value).over(Window.partitionBy()).cast("double")
+    else:
+        total = df.agg(F.sum(value).cast("double").alias("_t")).scalar()
     ratio = F.try_divide(F.col(value).cast("double"), total)
     return df.withColumn(out, F.round(ratio * 100, digits))

@@ -166,7 +166,7 @@ def status_summary(artists, albums, tracks, track_producers, producers) -> DataF
     """Artists per status with their share; the counts have at most four rows."""
     rows = with_status(artist_stats(artists.select("artist_id"), albums, tracks, track_producers, producers))
     counts = rows.groupBy("status").agg(F.count(F.lit(1)).alias("artist_count"))
-    return share_of_total(counts, "artist_count", "percentage").orderBy(status_rank(F.col("status")))
+    return share_of_total(counts, "artist_count", "percentage", few_rows=True).orderBy(status_rank(F.col("status")))
 
 
 def estimate_completion(artists, albums, tracks, track_producers, producers, as_of) -> DataFrame:
