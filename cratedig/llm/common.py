@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -53,6 +54,29 @@ def worker_store(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+class Recent:
+    """A cache of two generations: what is used again moves to the newer one, the older one goes when that is full."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def ensure(self, keys: Iterable, make: Callable[[list], Iterable]) -> dict:
+        """A dictionary that holds all the keys; ``make`` gives the values of those not known."""
+        if len(self.new) > self.limit:
+            self.old, self.new = self.new, {}
+        new, old, unknown = self.new, self.old, []
+        for key in keys:
+            if key not in new:
+                if (value := old.get(key)) is None:
+                    unknown.append(key)
+                else:
+                    new[key] = value
+        new.update(zip(unknown, make(unknown)))
+        return new
+
+
 def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Numbers all rows from 0 in a total order without gathering them in one task.
 

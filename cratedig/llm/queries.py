@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cratedig import session
-from cratedig.llm import records, simhash
+from cratedig.llm import mixing, pieces, records, scoring, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,3 +44,21 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.component_ids(table(spark, sf_dir, "documents"))
+
+
+@query("op3_source_mix")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes, targets and words taken of every document."""
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+@query("op6_piece_encoding")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's piece ids and of their decoding."""
+    return pieces.digests(table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
+@query("op8_lm_scores")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and unigram scores of every document."""
+    return scoring.scores(table(spark, sf_dir, "documents"))

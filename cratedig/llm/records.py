@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cratedig import session
-from cratedig.llm.common import as_bytes, shuffle_parts, worker_store
+from cratedig.llm.common import Recent, as_bytes, shuffle_parts, worker_store
 
 HEAD, BODY, TAIL = "<QI", "<BqI", "<I"
 NULL_ID, WIDE = 1, 2
-#: Distinct words whose ids a Python worker keeps.
-CACHED_WORDS = 500_000
+#: Distinct words in each of the two generations of a Python worker's cache.
+CACHED_WORDS = 300_000
 
 INDEX = "shard int, offset long, length long, doc_id long, n_tokens long, tokens_before long, ids_crc32 long"
 
@@ -67,7 +67,7 @@ def _word_ids(tokenizer_path: str):
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
         wide = tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
-        held = worker_store("records")[tokenizer_path] = (tokenizer, wide, {})
+        held = worker_store("records")[tokenizer_path] = (tokenizer, wide, Recent(CACHED_WORDS))
     return held
 
 
@@ -82,18 +82,17 @@ def frames(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         tokenizer, wide, cache = _word_ids(tokenizer_path)
         code = "I" if wide else "H"
         end = array(code, [end_id]).tobytes()
+
+        def encode(words: list[bytes]) -> list[bytes]:
+            made = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+            return [array(code, e.ids).tobytes() for e in made]
+
         for batch in batches:
             for piece in _slices(batch):
                 split = [t.split() for t in piece.column(1).to_pylist()]
-                new = {w for words in split for w in words if w not in cache}
-                if len(cache) + len(new) > CACHED_WORDS:
-                    cache.clear()
-                    new = {w for words in split for w in words}
-                new = list(new)
-                for w, e in zip(new, tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
-                    cache[w] = array(code, e.ids).tobytes()
+                known = cache.ensure(set().union(*split), encode)
                 out = [
-                    frame(doc_id, b"".join(map(cache.__getitem__, words)) + end, wide)
+                    frame(doc_id, b"".join(map(known.__getitem__, words)) + end, wide)
                     for doc_id, words in zip(piece.column(0).to_pylist(), split)
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
