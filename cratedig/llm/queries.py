@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cratedig import session
-from cratedig.llm import mixing, pieces, records, scoring, simhash
+from cratedig.llm import mixing, neighbours, pieces, quality, records, scoring, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,3 +62,70 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model and unigram scores of every document."""
     return scoring.scores(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op9_host_quality",
+    sql="""
+    WITH texts AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+    split AS (
+        SELECT *, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w,
+            list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+        FROM texts),
+    windows AS (
+        SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS win
+        FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM split WHERE len(w) >= 3)),
+    twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM windows) WHERE n > 1),
+    words AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r),
+    measured AS (
+        SELECT s.r, doc_id, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+            len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+            len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+        FROM split s LEFT JOIN words USING (r)),
+    failed AS (
+        SELECT *, n_words < 50 AS f_short, 100 * n_repeat_words > 50 * n_words AS f_repeated,
+            10 * n_symbols > word_chars AS f_symbols, 10 * n_dup_lines > 3 * n_lines AS f_lines
+        FROM measured),
+    rules AS (
+        SELECT source, rule, count(*) AS n, count(*) FILTER (WHERE f) AS k FROM (
+            SELECT source, unnest(['short', 'repeated', 'symbols', 'lines']) AS rule,
+                unnest([f_short, f_repeated, f_symbols, f_lines]) AS f FROM failed)
+        GROUP BY source, rule),
+    seen AS (
+        SELECT rule, avg(k / n) AS mean, var_pop(k / n) AS spread, avg(1 / n) AS inverse FROM rules GROUP BY rule),
+    priors AS (
+        SELECT rule, mean, greatest(spread - mean * (1 - mean) * inverse, 0) AS between_hosts FROM seen),
+    strengths AS (
+        SELECT rule, mean, CASE WHEN between_hosts > 0
+            THEN least(1000, greatest(1, mean * (1 - mean) / between_hosts - 1)) ELSE 1000 END AS strength FROM priors),
+    hosts AS (
+        SELECT source, bool_or((k + mean * strength) / (n + strength) > 0.5) AS host_failed
+        FROM rules JOIN strengths USING (rule) GROUP BY source)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f_short OR f_repeated AS base_failed,
+        NOT (f_short OR f_repeated) AND NOT host_failed AS kept, host_failed
+    FROM failed JOIN hosts ON failed.source IS NOT DISTINCT FROM hosts.source
+    """,
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdicts of every document."""
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op10_block_neighbours",
+    sql="""
+    WITH v AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    pairs AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) AS score
+        FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+    SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM pairs
+    WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+    QUALIFY rank <= 20
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
