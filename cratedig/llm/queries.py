@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cratedig import session
-from cratedig.llm import mixing, neighbours, pieces, quality, records, scoring, simhash, toxicity
+from cratedig.llm import language, licences, mixing, neighbours, pieces, quality, records, scoring, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -135,3 +135,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the labels of those not held out."""
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document (doc_id) and of every web page (page_id)."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    none = F.lit(None).cast("long")
+    of_docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), none.alias("page_id"), "text", *language.evidence_of_documents(docs))
+    of_pages = pages.select(none.alias("doc_id"), F.col("page_id").cast("long").alias("page_id"), language.page_text().alias("text"), *language.evidence_of_pages())
+    return language.identified(of_docs.unionByName(of_pages), labelled=of_docs.select("text", "declared"))
+
+
+@query("op5_licence_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence statements of every document."""
+    return licences.scanned(table(spark, sf_dir, "documents"))
