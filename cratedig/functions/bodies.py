@@ -37,9 +37,19 @@ def json_merge(old: Column, new: Column) -> Column:
     return F.map_concat(kept, new)
 
 
-def nonempty(c: Column) -> Column:
-    """Null for text that a truthiness test would skip: empty or zero."""
-    return F.when((c != "") & (c != "0"), c)
+FALSY_TEXT = r"^(-?0(\.0+)?([eE][+-]?[0-9]+)?|false)$"
+
+
+def given_field(body: Column, name: str) -> Column:
+    """A field's text; null for what a truthiness test would skip: missing, empty text, the number zero, false.
+
+    The texts "0" and "false" are values. Only where a field reads like zero or
+    false is the body parsed again, for the kind of the value.
+    """
+    got = F.get_json_object(body, f"$.{name}")
+    typed = lambda kind: F.from_json(body, f"`{name}` {kind}")[name]
+    falsy = F.coalesce(typed("double") == 0, F.lit(False)) | F.coalesce(~typed("boolean"), F.lit(False))
+    return F.when(F.when(got.rlike(FALSY_TEXT), ~falsy).otherwise(got != ""), got)
 
 
 def _unquote(body: Column) -> Column:
@@ -80,7 +90,7 @@ def extract_message_id(body: Column) -> Column:
 
 def first_of(body: Column, *names: str, default: str | None = None) -> Column:
     """First non-empty of several field spellings."""
-    picks = [nonempty(F.get_json_object(body, f"$.{n}")) for n in names]
+    picks = [given_field(body, n) for n in names]
     if default is not None:
         picks.append(F.lit(default))
     return F.coalesce(*picks)
@@ -115,12 +125,8 @@ def coalesce_aliases(body: Column, stage: str) -> Column:
 
 def idempotency_key(queue: Column, body: Column) -> Column:
     """The message's own key, else the queue and a digest of the canonical body."""
-    own = nonempty(
-        F.coalesce(
-            F.get_json_object(body, "$._idempotencyKey"),
-            F.get_json_object(body, "$.message._idempotencyKey"),
-        )
-    )
+    inner = F.get_json_object(body, "$.message")
+    own = F.coalesce(given_field(body, "_idempotencyKey"), given_field(inner, "_idempotencyKey"))
     return F.concat(queue, F.lit(":"), F.coalesce(own, F.sha2(canonical(body), 256)))
 
 

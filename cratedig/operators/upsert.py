@@ -32,10 +32,11 @@ def _meet(target: DataFrame, batch: DataFrame, keys: Sequence[str]):
     return old.join(new, list(keys), "full_outer")
 
 
-def upsert_overwrite(target: DataFrame, batch: DataFrame, keys: Sequence[str], as_of) -> DataFrame:
+def upsert_overwrite(target: DataFrame, batch: DataFrame, keys: Sequence[str], as_of, keep: Sequence[str] = ()) -> DataFrame:
     """New rows replace every mapped column; created_at is kept, updated_at is set.
 
     ``batch`` has one row per key and the target's columns but the time stamps.
+    Columns in ``keep`` (ids other tables refer to) are set once and stay.
     """
     is_new, was = F.col("n").isNotNull(), F.col("o").isNotNull()
     cols = []
@@ -46,6 +47,8 @@ def upsert_overwrite(target: DataFrame, batch: DataFrame, keys: Sequence[str], a
             cols.append(F.when(was, F.col("o.created_at")).otherwise(at(as_of)).alias(c))
         elif c == "updated_at":
             cols.append(F.when(is_new, at(as_of)).otherwise(F.col("o.updated_at")).alias(c))
+        elif c in keep and c in batch.columns:
+            cols.append(F.when(was, F.col(f"o.{c}")).otherwise(F.col(f"n.{c}")).alias(c))
         elif c in batch.columns:
             cols.append(F.when(is_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c))
         else:
@@ -54,15 +57,15 @@ def upsert_overwrite(target: DataFrame, batch: DataFrame, keys: Sequence[str], a
 
 
 def upsert_artists(artists: DataFrame, batch: DataFrame, as_of) -> DataFrame:
-    return upsert_overwrite(artists, _with_id(batch, "artist_id"), ["spotify_id"], as_of)
+    return upsert_overwrite(artists, _with_id(batch, "artist_id"), ["spotify_id"], as_of, keep=["artist_id"])
 
 
 def upsert_albums(albums: DataFrame, batch: DataFrame, as_of) -> DataFrame:
-    return upsert_overwrite(albums, _with_id(batch, "album_id"), ["spotify_id"], as_of)
+    return upsert_overwrite(albums, _with_id(batch, "album_id"), ["spotify_id"], as_of, keep=["album_id"])
 
 
 def upsert_tracks(tracks: DataFrame, batch: DataFrame, as_of) -> DataFrame:
-    return upsert_overwrite(tracks, _with_id(batch, "track_id"), ["spotify_id"], as_of)
+    return upsert_overwrite(tracks, _with_id(batch, "track_id"), ["spotify_id"], as_of, keep=["track_id"])
 
 
 def _with_id(batch: DataFrame, id_col: str) -> DataFrame:
@@ -80,7 +83,7 @@ def upsert_producers(producers: DataFrame, batch: DataFrame, as_of, mode: str =
     if "producer_id" not in batch.columns:
         batch = batch.withColumn("producer_id", natural_id(F.col("normalized_name")))
     if mode == "overwrite":
-        return upsert_overwrite(producers, batch, keys, as_of)
+        return upsert_overwrite(producers, batch, keys, as_of, keep=["producer_id"])
     if mode == "insert":
         return insert_if_absent(producers, batch, keys, as_of)
     is_new, was = F.col("n").isNotNull(), F.col("o").isNotNull()
@@ -129,9 +132,9 @@ def link_track_producers(links: DataFrame, credits: DataFrame, as_of, on_conflic
         "confidence", F.coalesce("confidence", F.lit(DEFAULT_CONFIDENCE)).cast("decimal(5,4)")
     )
     if on_conflict == "ignore":
-        one = newest_per_key(given, keys, [F.col("position"), F.desc("confidence")])
+        one = newest_per_key(given, keys, [F.col("position"), F.desc("confidence"), F.col("source")])
         return insert_if_absent(links, one.withColumn("source", F.lit(CREDIT_SOURCE)).drop("position"), keys, as_of)
-    one = newest_per_key(given, keys, [F.desc("position"), F.col("confidence")])
+    one = newest_per_key(given, keys, [F.desc("position"), F.col("confidence"), F.col("source")])
     return upsert_overwrite(links, one.drop("position"), keys, as_of)
 
 
@@ -155,11 +158,13 @@ TRACK_BATCH = (
 )
 
 
-def process_track_batch(batches: DataFrame, tracks: DataFrame, normalized: DataFrame, as_of) -> dict[str, DataFrame]:
+def process_track_batch(batches: DataFrame, tracks: DataFrame, normalized: DataFrame, as_of, folder: str) -> dict[str, DataFrame]:
     """Track arrays with their album and artist into tracks and songs, with a result list.
 
     batches: tracks_json, album_id, artist_id, batch_id. A track given twice
-    keeps its last values; a song keeps its first track.
+    keeps its last values and the album it came with first; a stored track keeps
+    its id and album. A song keeps its first track. Results show the kept ids.
+    The arrays are parsed once: their rows are a table under ``folder``.
     """
     rows = batches.select(
         "batch_id",
@@ -167,14 +172,20 @@ def process_track_batch(batches: DataFrame, tracks: DataFrame, normalized: DataF
         "artist_id",
         F.posexplode_outer(F.from_json("tracks_json", TRACK_BATCH)).alias("position", "t"),
     ).filter(F.col("t").isNotNull()).select("batch_id", "album_id", "artist_id", "position", "t.*")
-    rows = rows.withColumn("track_id", natural_id(F.col("spotify_id")))
-    newest = last_of_key(rows, ["spotify_id"], "batch_id", "position").select(
-        "track_id", "spotify_id", "album_id", "name", "duration_ms", "popularity",
-        F.col("spotify_preview_url").alias("preview_url"),
+    rows.write.mode("overwrite").parquet(f"{folder}/rows")
+    rows = batches.sparkSession.read.schema(rows.schema).parquet(f"{folder}/rows")
+    turn, fields = F.struct("batch_id", "position"), ("name", "duration_ms", "popularity", "spotify_preview_url", "metadata")
+    newest = rows.groupBy("spotify_id").agg(
+        F.max_by(F.struct(*fields), turn).alias("t"), F.min_by("album_id", turn).alias("album_id")
+    ).select(
+        natural_id(F.col("spotify_id")).alias("track_id"), "spotify_id", "album_id", "t.name", "t.duration_ms", "t.popularity",
+        F.col("t.spotify_preview_url").alias("preview_url"), "t.metadata",
     )
-    stored = upsert_tracks(tracks, newest, as_of)
-    songs = upsert_normalized_tracks(normalized, rows, as_of, "batch_id", "position")
-    results = rows.select("batch_id", "position", "track_id", "name", "spotify_id")
+    stored = upsert_overwrite(tracks, newest, ["spotify_id"], as_of, keep=["track_id", "album_id"])
+    known = tracks.select("spotify_id", F.col("track_id").alias("_kept"))
+    kept = rows.join(known, "spotify_id", "left").withColumn("track_id", F.coalesce("_kept", natural_id(F.col("spotify_id")))).drop("_kept")
+    songs = upsert_normalized_tracks(normalized, kept, as_of, "batch_id", "position")
+    results = kept.select("batch_id", "position", "track_id", "name", "spotify_id")
     return {"tracks": stored, "normalized_tracks": songs, "results": results}
 
 

@@ -191,8 +191,9 @@ def _stored(df, id_col):
 
 
 def _upsert_sql(view, key, col, new):
-    """Stored: rows with an even key and old values. Batch: all rows with a key not divisible by three."""
-    return f"""SELECT {key} AS k, CASE WHEN {key} % 3 <> 0 THEN {new} ELSE 'old' END AS {col},
+    """Stored: rows with an even key, ids unlike the batch's, and old values. Batch: rows with a key not divisible by three."""
+    return f"""SELECT {key} AS k, concat(CASE WHEN {key} % 2 = 0 THEN 'stored-' ELSE '' END, CAST({key} AS VARCHAR)) AS {key},
+      CASE WHEN {key} % 3 <> 0 THEN {new} ELSE 'old' END AS {col},
       CASE WHEN {key} % 2 = 0 THEN TIMESTAMP '2001-01-01 00:00:00' ELSE {THEN} END AS created_at,
       CASE WHEN {key} % 3 <> 0 THEN {THEN} ELSE TIMESTAMP '2001-01-02 00:00:00' END AS updated_at
       FROM {view} WHERE {key} % 2 = 0 OR {key} % 3 <> 0"""
@@ -200,9 +201,10 @@ def _upsert_sql(view, key, col, new):
 
 def _upserted(df, key, col, fn):
     rows = df.select(F.col(key).alias("k"), _sid(F.col(key)).alias("spotify_id"), F.col(key).cast("string").alias(key), F.col(col))
-    stored = _stored(rows.filter(F.col("k") % 2 == 0).withColumn(col, F.lit("old")), key)
+    other_id = F.concat(F.lit("stored-"), F.col(key))
+    stored = _stored(rows.filter(F.col("k") % 2 == 0).withColumn(col, F.lit("old")).withColumn(key, other_id), key)
     batch = rows.filter(F.col("k") % 3 != 0)
-    return fn(stored, batch, CATALOG_AS_OF).select("k", col, "created_at", "updated_at")
+    return fn(stored, batch, CATALOG_AS_OF).select("k", key, col, "created_at", "updated_at")
 
 
 @query("upsert_artists", "artists", _upsert_sql("artists", "artist_id", "name", "name"))
@@ -221,18 +223,38 @@ def _(s, d):
     return _upserted(tb.tracks(s, d, names=True), "track_id", "name", upsert.upsert_tracks)
 
 
-@query("upsert_producers", "producers", f"""SELECT lower(name) AS normalized_name, CASE WHEN producer_id % 3 <> 0 THEN name ELSE 'old' END AS name,
+KEPT_PRODUCER = "CASE WHEN producer_id % 2 = 0 THEN concat('stored-', CAST(producer_id AS VARCHAR)) ELSE sha256(lower(name)) END AS producer_id"
+
+
+@query("upsert_producers", "producers", f"""SELECT lower(name) AS normalized_name, {KEPT_PRODUCER}, CASE WHEN producer_id % 3 <> 0 THEN name ELSE 'old' END AS name,
   CASE WHEN producer_id % 3 <> 0 AND producer_id % 5 = 0 THEN concat('@', name) WHEN producer_id % 2 = 0 THEN 'oldhandle' END AS instagram_handle,
   CASE WHEN producer_id % 2 = 0 THEN '1' END AS meta_old, CASE WHEN producer_id % 3 <> 0 THEN '2' END AS meta_new,
   CASE WHEN producer_id % 2 = 0 AND producer_id % 3 <> 0 AND producer_id % 5 = 0 THEN {THEN} END AS enriched_at
   FROM producers WHERE producer_id % 2 = 0 OR producer_id % 3 <> 0""")
 def _(s, d):
     """Merge of given values over stored ones, with metadata keys of both."""
+    out = upsert.upsert_producers(*_producer_sides(s, d), CATALOG_AS_OF)
+    m = F.col("metadata")
+    return out.select(
+        "normalized_name", "producer_id", "name", "instagram_handle", m["a"].alias("meta_old"), m["b"].alias("meta_new"), "enriched_at"
+    )
+
+
+@query("upsert_producers_overwrite", "producers", f"""SELECT lower(name) AS normalized_name, {KEPT_PRODUCER}, CASE WHEN producer_id % 3 <> 0 THEN name ELSE 'old' END AS name,
+  CASE WHEN producer_id % 3 = 0 THEN 'oldhandle' WHEN producer_id % 5 = 0 THEN concat('@', name) END AS instagram_handle
+  FROM producers WHERE producer_id % 2 = 0 OR producer_id % 3 <> 0""")
+def _(s, d):
+    out = upsert.upsert_producers(*_producer_sides(s, d), CATALOG_AS_OF, "overwrite")
+    return out.select("normalized_name", "producer_id", "name", "instagram_handle")
+
+
+def _producer_sides(s, d):
+    """Stored producers, whose ids are unlike the batch's, and a batch."""
     k, n = F.col("producer_id"), F.col("name")
     base = tb.producers(s, d)
     stored = _stored(
         base.filter(k % 2 == 0).select(
-            k.cast("string").alias("producer_id"), F.lower(n).alias("normalized_name"), F.lit("old").alias("name"),
+            F.concat(F.lit("stored-"), k.cast("string")).alias("producer_id"), F.lower(n).alias("normalized_name"), F.lit("old").alias("name"),
             F.lit("oldhandle").alias("instagram_handle"), F.create_map(F.lit("a"), F.lit("1")).alias("metadata"),
             F.lit(None).cast("timestamp_ntz").alias("enriched_at"),
         ),
@@ -242,9 +264,7 @@ def _(s, d):
         F.lower(n).alias("normalized_name"), n, F.when(k % 5 == 0, F.concat(F.lit("@"), n)).alias("instagram_handle"),
         F.create_map(F.lit("b"), F.lit("2")).alias("metadata"),
     )
-    out = upsert.upsert_producers(stored, batch, CATALOG_AS_OF)
-    m = F.col("metadata")
-    return out.select("normalized_name", "name", "instagram_handle", m["a"].alias("meta_old"), m["b"].alias("meta_new"), "enriched_at")
+    return stored, batch
 
 
 def _credits(s, d):
@@ -263,11 +283,12 @@ def _(s, d):
     return upsert.link_track_producers(stored, _credits(s, d), CATALOG_AS_OF)
 
 
-@query("link_track_producers_update", "track_producers", f"""WITH c AS (SELECT l_orderkey * 10 + l_linenumber AS track_id, l_suppkey AS producer_id, arg_max(1 - l_discount, (l_shipdate, l_discount)) AS confidence FROM lineitem GROUP BY 1, 2)
-SELECT track_id, producer_id, round(c.confidence, 4) AS confidence, coalesce(t.created_at, {THEN}) AS created_at FROM c LEFT JOIN track_producers t USING (track_id, producer_id)""")
+@query("link_track_producers_update", "track_producers", f"""WITH c AS (SELECT l_orderkey * 10 + l_linenumber AS track_id, l_suppkey AS producer_id, arg_max(1 - l_discount, (l_shipdate, l_discount)) AS confidence,
+  arg_min(l_returnflag, (-epoch_us(l_shipdate), 1 - l_discount, l_returnflag)) AS source FROM lineitem GROUP BY 1, 2)
+SELECT track_id, producer_id, round(c.confidence, 4) AS confidence, c.source, coalesce(t.created_at, {THEN}) AS created_at FROM c LEFT JOIN track_producers t USING (track_id, producer_id)""")
 def _(s, d):
     stored = tb.track_producers(s, d).withColumn("confidence", F.col("confidence").cast("decimal(5,4)"))
-    return upsert.link_track_producers(stored, _credits(s, d), CATALOG_AS_OF, "update").drop("source")
+    return upsert.link_track_producers(stored, _credits(s, d), CATALOG_AS_OF, "update")
 
 
 REP_SQL = """rep AS (SELECT artist_id, lower(regexp_replace(name, '[^a-zA-Z0-9]', '', 'g')) AS normalized_name, arg_min(track_id, (release_date, track_id)) AS representative_track_id
@@ -289,24 +310,58 @@ def _(s, d):
     return upsert.upsert_normalized_tracks(stored, rows, CATALOG_AS_OF, "release_date", "track_id")
 
 
-@query("process_track_batch", "tracks albums", """WITH t AS (SELECT track_id, album_id, artist_id, lower(regexp_replace(name, '[^a-zA-Z0-9]', '', 'g')) AS song FROM tracks JOIN albums USING (album_id))
-SELECT 'tracks' AS part, count(*) AS n FROM t UNION ALL SELECT 'songs', count(DISTINCT (artist_id, song)) FROM t UNION ALL SELECT 'results', count(*) FROM t""")
+BATCH_SQL = """t AS (SELECT track_id AS k, lpad(CAST(track_id AS VARCHAR), 22, '0') AS spotify_id, album_id, artist_id, name, popularity,
+    lower(regexp_replace(name, '[^a-zA-Z0-9]', '', 'g')) AS song,
+    CASE WHEN track_id % 3 = 0 THEN concat('stored-', CAST(track_id AS VARCHAR)) ELSE sha256(lpad(CAST(track_id AS VARCHAR), 22, '0')) END AS id
+  FROM tracks JOIN albums USING (album_id)),
+given AS (SELECT *, 0 AS turn FROM t UNION ALL SELECT *, 1 AS turn FROM t WHERE k % 5 = 0),
+placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY album_id ORDER BY turn, k) - 1 AS INT) AS position FROM given)"""
+
+
+@query("process_track_batch", "tracks albums", f"""WITH {BATCH_SQL}
+SELECT 'tracks' AS part, spotify_id AS key, id, CASE WHEN k % 3 = 0 THEN 'old album' ELSE CAST(album_id AS VARCHAR) END AS owner, name,
+  popularity + CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS n, CASE WHEN k % 2 = 0 THEN 'v' END AS meta,
+  CASE WHEN k % 3 = 0 THEN TIMESTAMP '2001-01-01 00:00:00' ELSE {THEN} END AS created_at FROM t
+UNION ALL SELECT 'songs', song, CASE WHEN song LIKE '%ring%' THEN 'first' ELSE arg_min(id, (album_id, position)) END, CAST(artist_id AS VARCHAR), NULL, NULL, NULL,
+  CASE WHEN song LIKE '%ring%' THEN TIMESTAMP '2001-01-01 00:00:00' ELSE {THEN} END FROM placed GROUP BY artist_id, song
+UNION ALL SELECT 'results', spotify_id, id, CAST(album_id AS VARCHAR), name, position, NULL, NULL FROM placed""")
 def _(s, d):
-    """One batch per track; row counts of the three results."""
-    k = F.col("track_id")
-    one = F.struct(_sid(k).alias("spotify_id"), "name", F.lit(1).alias("duration_ms"), "popularity")
-    rows = tb.tracks(s, d, names=True).join(tb.albums(s, d).select("album_id", "artist_id"), "album_id").select(
-        k.alias("batch_id"), F.to_json(F.array(one)).alias("tracks_json"),
-        F.col("album_id").cast("string").alias("album_id"), F.col("artist_id").cast("string").alias("artist_id"),
+    """One batch per album over stored tracks and songs; some tracks are given twice. All three results in full."""
+    k, album = F.col("track_id"), F.col("album_id").cast("string")
+    base = tb.tracks(s, d, names=True).join(tb.albums(s, d).select("album_id", "artist_id"), "album_id")
+    given = base.withColumn("turn", F.explode(F.when(k % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    item = F.struct(
+        "turn", k, _sid(k).alias("spotify_id"), "name", F.lit(1).alias("duration_ms"), (F.col("popularity") + F.col("turn")).alias("popularity"),
+        F.when(k % 2 == 0, F.struct(F.lit("v").alias("m"))).alias("metadata"),
     )
-    out = upsert.process_track_batch(
-        rows, s.createDataFrame([], schemas.TRACKS), s.createDataFrame([], schemas.NORMALIZED_TRACKS), CATALOG_AS_OF
+    rows = given.groupBy("album_id", "artist_id").agg(F.sort_array(F.collect_list(item)).alias("items")).select(
+        F.col("album_id").alias("batch_id"), F.to_json("items").alias("tracks_json"),
+        F.concat(F.lit(""), album).alias("album_id"), F.col("artist_id").cast("string").alias("artist_id"),
     )
-
-    def n(part, name):
-        return out[part].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
-
-    return n("tracks", "tracks").unionByName(n("normalized_tracks", "songs")).unionByName(n("results", "results"))
+    stored = _stored(base.filter(k % 3 == 0), "track_id").select(
+        F.concat(F.lit("stored-"), k.cast("string")).alias("track_id"), _sid(k).alias("spotify_id"), F.lit("old album").alias("album_id"),
+        F.lit("old").alias("name"), F.lit(0).alias("popularity"), F.create_map(F.lit("m"), F.lit("w")).alias("metadata"), "created_at", "updated_at",
+    )
+    named = upsert.representative_track(base.select("artist_id", "track_id", "name"), "track_id").filter(F.col("normalized_name").contains("ring"))
+    songs = named.select(
+        F.col("artist_id").cast("string").alias("artist_id"), "normalized_name", F.lit("first").alias("representative_track_id"),
+        F.lit("2001-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
+    )
+    out = upsert.process_track_batch(rows, stored, songs, CATALOG_AS_OF, scratch(s, "track-batch"))
+    none = F.lit(None)
+    tracks = out["tracks"].select(
+        F.lit("tracks").alias("part"), F.col("spotify_id").alias("key"), F.col("track_id").alias("id"), F.col("album_id").alias("owner"),
+        "name", F.col("popularity").cast("bigint").alias("n"), F.col("metadata")["m"].alias("meta"), "created_at",
+    )
+    kept = out["normalized_tracks"].select(
+        F.lit("songs").alias("part"), F.col("normalized_name").alias("key"), F.col("representative_track_id").alias("id"),
+        F.col("artist_id").alias("owner"), none.cast("string").alias("name"), none.cast("bigint").alias("n"), none.cast("string").alias("meta"), "created_at",
+    )
+    results = out["results"].select(
+        F.lit("results").alias("part"), F.col("spotify_id").alias("key"), F.col("track_id").alias("id"), F.col("batch_id").cast("string").alias("owner"),
+        "name", F.col("position").cast("bigint").alias("n"), none.cast("string").alias("meta"), none.cast("timestamp_ntz").alias("created_at"),
+    )
+    return tracks.unionByName(kept).unionByName(results)
 
 
 @query("upsert_into_buckets", "artists", """SELECT artist_id, name, CASE WHEN artist_id % 3 <> 0 THEN popularity + 1 ELSE popularity END AS popularity FROM artists""")
@@ -428,10 +483,10 @@ PASSED_SQL = """RECURSIVE g AS (SELECT event_id, ts, user_id, row_number() OVER
 r AS (SELECT event_id, user_id, rn, ts AS last, true AS kept FROM g WHERE rn = 1
  UNION ALL SELECT g.event_id, g.user_id, g.rn, CASE WHEN g.ts >= r.last + INTERVAL 1 DAY THEN g.ts ELSE r.last END, g.ts >= r.last + INTERVAL 1 DAY
  FROM r JOIN g ON g.user_id = r.user_id AND g.rn = r.rn + 1),
-passed AS (SELECT event_id, user_id FROM r WHERE kept OR user_id = 0)"""
+passed AS (SELECT event_id, user_id FROM r WHERE kept)"""
 
 
-@query("stream_stage", "", f"""WITH {PASSED_SQL} SELECT event_id AS msg_id, 'track_discovery' AS queue_name, CASE WHEN user_id <> 0 THEN CAST(user_id AS VARCHAR) END AS artist_id FROM passed""")
+@query("stream_stage", "", f"""WITH {PASSED_SQL} SELECT event_id AS msg_id, 'track_discovery' AS queue_name, CAST(user_id AS VARCHAR) AS artist_id FROM passed""")
 def _(s, d):
     return flows.read_batches(s, f"{_album_stage_run(s, d)}/next")
 

@@ -481,15 +481,17 @@ def _(s, d):
     return _messages(s, d).select("msg_id", bodies.idempotency_key(F.col("queue_name"), body).alias("idempotency_key"))
 
 
-@query("coalesce_aliases", "messages", """SELECT msg_id, concat('u', CAST(user_id AS VARCHAR)) AS artist_id,
+@query("coalesce_aliases", "messages", """SELECT msg_id, CASE msg_id % 5 WHEN 0 THEN '0' WHEN 4 THEN concat('u', CAST(user_id AS VARCHAR)) ELSE concat('alt', CAST(user_id AS VARCHAR)) END AS artist_id,
   CASE WHEN msg_id % 3 = 0 THEN 'Unknown Artist' ELSE concat('au', CAST(user_id AS VARCHAR)) END AS artist_name,
   CASE WHEN msg_id % 2 = 0 THEN msg_id % 50 ELSE 0 END AS "offset" FROM messages""")
 def _(s, d):
-    u, i = F.concat(F.lit("u"), F.col("user_id").cast("string")), F.col("msg_id")
-    name = F.when(i % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("a"), u))
-    even = bodies.json_build(artistId=u, artistName=name, offset=i % 50)
-    odd = bodies.json_build(artist_id=u, artist_name=name)
-    body = F.when(i % 2 == 0, even).otherwise(odd)
+    """The text "0" is an id; the number 0, false and empty text give way to the next spelling."""
+    user, i = F.col("user_id").cast("string"), F.col("msg_id")
+    first = F.when(i % 5 == 0, '"0"').when(i % 5 == 1, "0").when(i % 5 == 2, '""').when(i % 5 == 3, "false").otherwise(F.concat(F.lit('"u'), user, F.lit('"')))
+    name = F.when(i % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("au"), user))
+    name_key = F.when(i % 2 == 0, "artistName").otherwise("artist_name")
+    offset = F.when(i % 2 == 0, F.concat(F.lit(',"offset":'), (i % 50).cast("string"))).otherwise("")
+    body = F.concat(F.lit('{"artistId":'), first, F.lit(',"artist_id":"alt'), user, F.lit('","'), name_key, F.lit('":"'), name, F.lit('"'), offset, F.lit("}"))
     got = bodies.coalesce_aliases(body, "album_discovery")
     rows = tb.messages(s, d).select("msg_id", got.alias("m"))
     return rows.select("msg_id", "m.artist_id", "m.artist_name", "m.offset")

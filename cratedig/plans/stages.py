@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cratedig import schemas
 from cratedig.functions.bodies import coalesce_aliases, first_of, json_build
 from cratedig.functions.text import dedup_key_for, extract_producers
-from cratedig.functions.times import at
 from cratedig.operators import upsert
 from cratedig.operators.dedup import first_of_key
 from cratedig.operators.validate import validate_message_zod, validate_queue_message
@@ -106,11 +105,16 @@ def distinct_requests(messages: DataFrame) -> DataFrame:
     return first_of_key(messages, "dedup_key", "message", keep_unkeyed=False)
 
 
+def _all_but(df: DataFrame, key: str) -> list[str]:
+    """Every other column, so that rows of a key that differ at all have a fixed order."""
+    return [c for c, kind in df.dtypes if c != key and not kind.startswith("map")]
+
+
 def artist_stage(messages: DataFrame, searches: DataFrame) -> DataFrame:
     """Artists found for the requested names; searches: artist_name, payload."""
     asked = distinct_requests(messages).select(first_of(F.col("message"), "artistName").alias("artist_name"))
     found = payloads.ingest_artist_search(asked.filter(F.col("artist_name").isNotNull()).join(searches, "artist_name"))
-    return upsert.last_of_key(found, ["spotify_id"], "name")
+    return upsert.last_of_key(found, ["spotify_id"], *_all_but(found, "spotify_id"))
 
 
 def album_stage(messages: DataFrame, pages: DataFrame) -> DataFrame:
@@ -120,7 +124,7 @@ def album_stage(messages: DataFrame, pages: DataFrame) -> DataFrame:
     )
     known = asked.filter(F.col("spotify_id").isNotNull() & F.col("artist_id").isNotNull())
     found = payloads.ingest_album_pages(pages.join(known, "spotify_id"))
-    return upsert.last_of_key(found, ["spotify_id"], "artist_id", "name")
+    return upsert.last_of_key(found, ["spotify_id"], *_all_but(found, "spotify_id"))
 
 
 def track_stage(messages: DataFrame, pages: DataFrame) -> DataFrame:
@@ -130,7 +134,7 @@ def track_stage(messages: DataFrame, pages: DataFrame) -> DataFrame:
     )
     known = asked.filter(F.col("spotify_id").isNotNull() & F.col("album_id").isNotNull())
     found = payloads.ingest_track_pages(pages.join(known, "spotify_id"))
-    return upsert.last_of_key(found, ["spotify_id"], "album_id", "name")
+    return upsert.last_of_key(found, ["spotify_id"], *_all_but(found, "spotify_id"))
 
 
 def producer_stage(messages: DataFrame, tracks: DataFrame, searches: DataFrame, details: DataFrame) -> DataFrame:
@@ -214,6 +218,3 @@ def required_field_stage(queue: str, key: Callable[[Column], Column], handle: Ca
 
     return Stage(queue, check, key, TTL_SECONDS["default"], handle)
 
-
-def stamp(df: DataFrame, as_of) -> DataFrame:
-    return df.withColumn("enqueued_at", at(as_of))

@@ -43,7 +43,7 @@ ALBUMS = (
 )
 TRACKS = (
     "track_id string, spotify_id string, album_id string, name string, duration_ms int, popularity int, "
-    f"track_number int, preview_url string, explicit boolean, {STAMPS}"
+    f"track_number int, preview_url string, explicit boolean, metadata map<string,string>, {STAMPS}"
 )
 NORMALIZED_TRACKS = "artist_id string, normalized_name string, representative_track_id string, created_at timestamp_ntz"
 PRODUCERS = (
