@@ -28,7 +28,6 @@ HEADLINE = [
     "failure_streaks",
     "rate_audit_sliding",
     "state_transition_audit",
-    "state_machine_log",
     "latest_entity_state",
     "system_health",
     "active_queue_monitoring",

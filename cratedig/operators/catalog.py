@@ -38,9 +38,9 @@ def catalog_chain_left(artists, albums, tracks, track_producers, producers) -> D
     linked = track_producers.select("track_id", F.col("producer_id").alias("_p")).join(
         producers.select(F.col("producer_id").alias("_p"), "producer_id"), "_p", "left"
     )
-    under_track = left_fanout(tracks.select("track_id", "album_id"), linked.drop("_p"), "track_id")
-    under_album = left_fanout(albums.select("album_id", "artist_id"), under_track, "album_id")
-    return left_fanout(artists.select("artist_id", F.col("name").alias("artist_name")), under_album, "artist_id")
+    under_track = left_fanout(tracks.select("track_id", "album_id"), linked.drop("_p"), "track_id", track_producers)
+    under_album = left_fanout(albums.select("album_id", "artist_id"), under_track, "album_id", tracks)
+    return left_fanout(artists.select("artist_id", F.col("name").alias("artist_name")), under_album, "artist_id", albums)
 
 
 def producer_chain_left(producers, track_producers, tracks, albums, artists) -> DataFrame:

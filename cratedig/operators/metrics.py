@@ -6,7 +6,6 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cratedig.functions.bodies import json_get
 from cratedig.functions.times import ago, at, day_of, fixed, safe_ratio, trunc_hour, trunc_to
 from cratedig.operators.ordered import exact_percentile, newest_per_key
 
@@ -79,24 +78,38 @@ def rollup_period(metrics: DataFrame, period: str, dimensions: list[str], as_of:
 def write_rollup(rollups: DataFrame, path: str) -> None:
     """Replaces exactly the periods present in ``rollups``."""
     (
-        rollups.write.mode("overwrite")
+        rollups.repartition("period", "period_start").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("period", "period_start")
         .parquet(path)
     )
 
 
+def tag(tags: Column, key: str, dtype: str | None = None) -> Column:
+    """One entry of a tags map, as text or converted; what doesn't convert is null."""
+    return tags[key] if dtype is None else tags[key].try_cast(dtype)
+
+
+def leading_int(text: Column) -> Column:
+    """The whole number a text begins with; 0 where there is none."""
+    return F.coalesce(F.nullif(F.regexp_extract(text, r"^\s*([+-]?[0-9]+)", 1), F.lit("")).try_cast("bigint"), F.lit(0))
+
+
 def queue_metrics_hourly(metrics: DataFrame, as_of, days: int = 7) -> DataFrame:
-    """Per queue and hour over the last days: batches, outcomes, average time, messages."""
+    """Per queue and hour over the last days: batches, outcomes, average time, messages.
+
+    metrics: metric_name, metric_value, ts, tags (map of texts). Counts that are no whole numbers are left out.
+    """
+    count = lambda key: F.sum(tag(F.col("tags"), key, "int"))
     return (
         metrics.filter((F.col("metric_name") == "queue_processing") & (F.col("ts") > ago(as_of, days=days)))
-        .groupBy(F.col("queue").alias("queue_name"), trunc_hour(F.col("ts")).alias("hour"))
+        .groupBy(tag(F.col("tags"), "queue").alias("queue_name"), trunc_hour(F.col("ts")).alias("hour"))
         .agg(
             F.count(F.lit(1)).alias("total_batches"),
-            F.sum("success_count").alias("success_count"),
-            F.sum("error_count").alias("error_count"),
+            count("success_count").alias("success_count"),
+            count("error_count").alias("error_count"),
             F.avg("metric_value").alias("avg_processing_time_ms"),
-            F.sum("batch_size").alias("total_messages_processed"),
+            count("batch_size").alias("total_messages_processed"),
         )
     )
 
@@ -105,13 +118,15 @@ def api_metrics_hourly(metrics: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Per API and hour: calls, outcomes, average successful time, exact 95th percentile."""
     calls = metrics.filter(
         (F.col("metric_name") == "api_call") & (F.col("ts") > ago(as_of, days=days))
-    ).select(F.col("queue").alias("api_name"), trunc_hour(F.col("ts")).alias("hour"), "success", "metric_value")
+    ).select(
+        tag(F.col("tags"), "api").alias("api_name"), trunc_hour(F.col("ts")).alias("hour"), tag(F.col("tags"), "success").alias("success"), "metric_value"
+    )
     keys = ["api_name", "hour"]
     counted = calls.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_calls"),
-        F.sum(F.when(F.col("success"), 1).otherwise(0)).alias("success_count"),
-        F.sum(F.when(~F.col("success"), 1).otherwise(0)).alias("error_count"),
-        F.avg(F.when(F.col("success"), F.col("metric_value"))).alias("avg_success_time_ms"),
+        F.sum(F.when(F.col("success") == "true", 1).otherwise(0)).alias("success_count"),
+        F.sum(F.when(F.col("success") == "false", 1).otherwise(0)).alias("error_count"),
+        F.avg(F.when(F.col("success") == "true", F.col("metric_value"))).alias("avg_success_time_ms"),
     )
     p95 = exact_percentile(calls, keys, "metric_value", 0.95, "p95_time_ms")
     return counted.join(p95, keys, "left")
@@ -121,12 +136,13 @@ def queue_summary(metrics: DataFrame, as_of, hours: float = 24) -> DataFrame:
     """Per queue over its work metrics: counts, error rate, rounded time, last run."""
     works = F.col("metric_name").contains(WORK_METRICS[0]) | F.col("metric_name").contains(WORK_METRICS[1])
     return (
-        metrics.filter((F.col("ts") >= ago(as_of, hours=hours)) & works & (F.col("queue") != ""))
+        metrics.withColumn("queue", tag(F.col("tags"), "queue"))
+        .filter((F.col("ts") >= ago(as_of, hours=hours)) & works & (F.col("queue") != ""))
         .groupBy("queue")
         .agg(
             F.count(F.lit(1)).alias("metrics_count"),
-            F.sum(F.coalesce("processed", F.lit(0))).alias("total_processed"),
-            F.sum(F.coalesce("errors", F.lit(0))).alias("total_errors"),
+            F.sum(leading_int(tag(F.col("tags"), "processed"))).alias("total_processed"),
+            F.sum(leading_int(tag(F.col("tags"), "errors"))).alias("total_errors"),
             F.round(F.sum(F.coalesce("metric_value", F.lit(0.0))) / F.count(F.lit(1))).alias("avg_processing_time_ms"),
             F.max("ts").alias("last_run"),
         )
@@ -145,8 +161,11 @@ def recent_avg_per_queue(metrics: DataFrame, as_of, hours: float = 1) -> DataFra
     """Average processed and failed per batch over the last hours."""
     return (
         metrics.filter(F.col("ts") > ago(as_of, hours=hours))
-        .groupBy("queue")
-        .agg(F.avg("processed").alias("avg_processed_per_batch"), F.avg("errors").alias("avg_errors_per_batch"))
+        .groupBy(tag(F.col("tags"), "queue").alias("queue"))
+        .agg(
+            F.avg(tag(F.col("tags"), "processed", "double")).alias("avg_processed_per_batch"),
+            F.avg(tag(F.col("tags"), "errors", "double")).alias("avg_errors_per_batch"),
+        )
     )
 
 
@@ -240,8 +259,3 @@ def purge_events(events: DataFrame, as_of, days: int = 30, column: str = "create
 
 def per_hour_text(rate: Column) -> Column:
     return F.concat(fixed(rate, 1), F.lit(" msgs/hour"))
-
-
-def tag(tags: Column, key: str, dtype: str | None = None) -> Column:
-    """One tag of a JSON tag object."""
-    return json_get(tags, f"$.{key}", dtype)

@@ -498,47 +498,6 @@ def _(s, d):
     return rows.groupBy("metric_name", "queue").agg(*[F.sum(c).alias(c) for c in ("processed", "errors", "duplicates")])
 
 
-ACTIONS = {"signup": "RESET", "view": "CLAIM", "purchase": "COMPLETE", "error": "FAIL", "click": "DEAD_LETTER"}
-TIMEOUT = 4320
-
-
-def _actions(e):
-    kind = F.col("event_type")
-    action = F.lit(None).cast("string")
-    for name, value in ACTIONS.items():
-        action = F.when(kind == name, value).otherwise(action)
-    return e.select(
-        F.concat(F.lit("T"), (F.col("user_id") % 4).cast("string")).alias("entity_type"), F.col("user_id").alias("entity_id"),
-        "event_id", "ts", action.alias("action"),
-    )
-
-
-MACHINE_SQL = f"""WITH RECURSIVE e AS (SELECT user_id AS entity_id, event_id, ts, CASE event_type WHEN 'signup' THEN 'RESET' WHEN 'view' THEN 'CLAIM' WHEN 'purchase' THEN 'COMPLETE'
-   WHEN 'error' THEN 'FAIL' ELSE 'DEAD_LETTER' END AS action, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
-r AS (SELECT entity_id, event_id, ts, action, rn, CASE action WHEN 'CLAIM' THEN 'IN_PROGRESS' WHEN 'RESET' THEN 'PENDING' WHEN 'COMPLETE' THEN 'COMPLETED' WHEN 'FAIL' THEN 'FAILED' ELSE 'DEAD_LETTER' END AS state,
-   ts AS last, true AS granted FROM e WHERE rn = 1
- UNION ALL SELECT e.entity_id, e.event_id, e.ts, e.action, e.rn,
-   CASE e.action WHEN 'RESET' THEN 'PENDING' WHEN 'COMPLETE' THEN 'COMPLETED' WHEN 'FAIL' THEN 'FAILED' WHEN 'DEAD_LETTER' THEN 'DEAD_LETTER'
-     ELSE CASE WHEN r.state IN ('PENDING', 'FAILED') THEN 'IN_PROGRESS' ELSE r.state END END,
-   CASE WHEN e.action <> 'CLAIM' OR r.state IN ('PENDING', 'FAILED') OR (r.state = 'IN_PROGRESS' AND r.last < e.ts - INTERVAL {TIMEOUT} MINUTE) THEN e.ts ELSE r.last END,
-   e.action <> 'CLAIM' OR r.state IN ('PENDING', 'FAILED') OR (r.state = 'IN_PROGRESS' AND r.last < e.ts - INTERVAL {TIMEOUT} MINUTE)
-   FROM r JOIN e ON e.entity_id = r.entity_id AND e.rn = r.rn + 1)
-SELECT concat('T', CAST(entity_id % 4 AS VARCHAR)) AS entity_type, entity_id, event_id, action, granted, state FROM r"""
-
-
-@query("state_machine_log", "", MACHINE_SQL)
-def _(s, d):
-    rows = stateful.state_log(_actions(tb.table(s, d, "events")), TIMEOUT)
-    return rows.select("entity_type", "entity_id", "event_id", "action", "granted", "state")
-
-
-@query("stream_state_machine", "", MACHINE_SQL)
-def _(s, d):
-    out = scratch(s, "machine")
-    rows = flows.run_to_table(stateful.stream_state_machine(_actions(_event_stream(s, d)), TIMEOUT), f"{out}/data", f"{out}/checkpoint")
-    return rows.select("entity_type", "entity_id", "event_id", "action", "granted", "state")
-
-
 def _operations(e):
     return e.select(
         F.concat(F.lit("op"), F.col("user_id").cast("string"), F.col("event_type")).alias("operation_id"), "event_id", "ts",

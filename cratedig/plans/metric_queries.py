@@ -16,11 +16,25 @@ STATS_SQL = """round(min(metric_value), 6) AS min_value, round(max(metric_value)
  round(avg(metric_value), 6) AS avg_value, round(sum(metric_value), 6) AS sum_value, count(*) AS count_value"""
 
 
-def _metrics(s, d):
-    """Work metrics with the tag columns the reports read."""
-    return tb.work_metrics(s, d).withColumn("success_count", F.col("batch_size") - F.col("error_count")).withColumn(
-        "processed", F.col("batch_size")
-    ).withColumn("errors", F.col("error_count"))
+# What the reports read are raw tags: texts, some of which are no numbers.
+TAGGED = """tagged AS (SELECT metric_name, metric_value, date_trunc('second', ts)::TIMESTAMP AS ts, queue, success, error_count,
+  CASE WHEN event_id % 11 <> 0 THEN batch_size END AS size_tag, batch_size - error_count AS success_count,
+  CASE WHEN event_id % 13 = 0 THEN 0 ELSE batch_size END AS whole, CASE WHEN event_id % 13 <> 0 AND event_id % 7 <> 0 THEN batch_size END AS number
+  FROM work_metrics)"""
+
+
+def _tagged(s, d):
+    """Work metrics as they arrive: JSON records with a tags object, unpacked again."""
+    i, text = F.col("event_id"), lambda c: F.col(c).cast("string")
+    tags = F.create_map(
+        F.lit("queue"), F.col("queue"), F.lit("api"), F.col("queue"), F.lit("success"), text("success"),
+        F.lit("batch_size"), F.when(i % 11 == 0, "n/a").otherwise(text("batch_size")),
+        F.lit("success_count"), (F.col("batch_size") - F.col("error_count")).cast("string"),
+        F.lit("error_count"), text("error_count"), F.lit("errors"), text("error_count"),
+        F.lit("processed"), F.when(i % 13 == 0, "many").when(i % 7 == 0, F.concat(text("batch_size"), F.lit(" rows"))).otherwise(text("batch_size")),
+    )
+    record = F.struct("metric_name", "metric_value", tags.alias("tags"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"))
+    return metrics.metrics_from_json(tb.work_metrics(s, d).select(F.to_json(F.array(record)).alias("payload")))
 
 
 def _rollup(name: str, period: str, unit: str):
@@ -55,22 +69,22 @@ def _(s, d):
     )
 
 
-@query("queue_metrics_hourly", "work_metrics", f"""SELECT queue AS queue_name, date_trunc('hour', ts)::TIMESTAMP AS hour, count(*) AS total_batches,
-  CAST(sum(batch_size - error_count) AS BIGINT) AS success_count, CAST(sum(error_count) AS BIGINT) AS error_count,
-  round(avg(metric_value), 6) AS avg_processing_time_ms, CAST(sum(batch_size) AS BIGINT) AS total_messages_processed
-  FROM work_metrics WHERE metric_name = 'queue_processing' AND ts > {NOW} - INTERVAL 7 DAY GROUP BY 1, 2""")
+@query("queue_metrics_hourly", "work_metrics", f"""WITH {TAGGED} SELECT queue AS queue_name, date_trunc('hour', ts)::TIMESTAMP AS hour, count(*) AS total_batches,
+  CAST(sum(success_count) AS BIGINT) AS success_count, CAST(sum(error_count) AS BIGINT) AS error_count,
+  round(avg(metric_value), 6) AS avg_processing_time_ms, CAST(sum(size_tag) AS BIGINT) AS total_messages_processed
+  FROM tagged WHERE metric_name = 'queue_processing' AND ts > {NOW} - INTERVAL 7 DAY GROUP BY 1, 2""")
 def _(s, d):
-    return metrics.queue_metrics_hourly(_metrics(s, d), EVENTS_AS_OF)
+    return metrics.queue_metrics_hourly(_tagged(s, d), EVENTS_AS_OF)
 
 
-@query("api_metrics_hourly", "work_metrics", f"""SELECT queue AS api_name, date_trunc('hour', ts)::TIMESTAMP AS hour, count(*) AS total_calls,
+@query("api_metrics_hourly", "work_metrics", f"""WITH {TAGGED} SELECT queue AS api_name, date_trunc('hour', ts)::TIMESTAMP AS hour, count(*) AS total_calls,
   CAST(sum(CASE WHEN success THEN 1 ELSE 0 END) AS BIGINT) AS success_count,
   CAST(sum(CASE WHEN NOT success THEN 1 ELSE 0 END) AS BIGINT) AS error_count,
   round(avg(CASE WHEN success THEN metric_value END), 6) AS avg_success_time_ms,
   round(quantile_cont(metric_value, 0.95), 6) AS p95_time_ms
-  FROM work_metrics WHERE metric_name = 'api_call' AND ts > {NOW} - INTERVAL 7 DAY GROUP BY 1, 2""")
+  FROM tagged WHERE metric_name = 'api_call' AND ts > {NOW} - INTERVAL 7 DAY GROUP BY 1, 2""")
 def _(s, d):
-    return metrics.api_metrics_hourly(tb.work_metrics(s, d), EVENTS_AS_OF)
+    return metrics.api_metrics_hourly(_tagged(s, d), EVENTS_AS_OF)
 
 
 @query("api_percentiles", "work_metrics", """SELECT metric_name, queue, round(quantile_cont(metric_value, 0.95), 6) AS p95
@@ -79,15 +93,15 @@ def _(s, d):
     return exact_percentile(tb.work_metrics(s, d), ["metric_name", "queue"], "metric_value", 0.95, "p95")
 
 
-SUMMARY_SQL = """SELECT queue, count(*) AS metrics_count, CAST(sum(batch_size) AS BIGINT) AS total_processed,
+SUMMARY_SQL = f"""WITH {TAGGED} SELECT queue, count(*) AS metrics_count, CAST(sum(whole) AS BIGINT) AS total_processed,
   CAST(sum(error_count) AS BIGINT) AS total_errors, round(round(sum(metric_value) / count(*)), 6) AS avg_processing_time_ms,
-  max(ts) AS last_run, CASE WHEN sum(batch_size) > 0 THEN round(sum(error_count)::DOUBLE / sum(batch_size), 6) ELSE 0.0::DOUBLE END AS error_rate
-  FROM work_metrics WHERE metric_name = 'queue_processing' AND ts >= {edge} GROUP BY 1"""
+  max(ts) AS last_run, CASE WHEN sum(whole) > 0 THEN round(sum(error_count)::DOUBLE / sum(whole), 6) ELSE 0.0::DOUBLE END AS error_rate
+  FROM tagged WHERE metric_name = 'queue_processing' AND ts >= {NOW} - INTERVAL 240 HOUR GROUP BY 1"""
 
 
-@query("queue_summary", "work_metrics", SUMMARY_SQL.format(edge=f"{NOW} - INTERVAL 240 HOUR"))
+@query("queue_summary", "work_metrics", SUMMARY_SQL)
 def _(s, d):
-    return metrics.queue_summary(_metrics(s, d), EVENTS_AS_OF, 240)
+    return metrics.queue_summary(_tagged(s, d), EVENTS_AS_OF, 240)
 
 
 @query("metrics_by_name", "work_metrics", "SELECT metric_name, count(*) AS metric_count FROM work_metrics GROUP BY 1")
@@ -95,10 +109,10 @@ def _(s, d):
     return metrics.metrics_by_name(tb.work_metrics(s, d))
 
 
-@query("recent_avg_per_queue", "work_metrics", f"""SELECT queue, round(avg(batch_size), 6) AS avg_processed_per_batch,
-  round(avg(error_count), 6) AS avg_errors_per_batch FROM work_metrics WHERE ts > {NOW} - INTERVAL 30 HOUR GROUP BY 1""")
+@query("recent_avg_per_queue", "work_metrics", f"""WITH {TAGGED} SELECT queue, round(avg(number), 6) AS avg_processed_per_batch,
+  round(avg(error_count), 6) AS avg_errors_per_batch FROM tagged WHERE ts > {NOW} - INTERVAL 30 HOUR GROUP BY 1""")
 def _(s, d):
-    return metrics.recent_avg_per_queue(_metrics(s, d), EVENTS_AS_OF, 30)
+    return metrics.recent_avg_per_queue(_tagged(s, d), EVENTS_AS_OF, 30)
 
 
 @query("metrics_from_json", "work_metrics", """SELECT metric_name, round(metric_value, 6) AS metric_value, queue,
@@ -210,7 +224,7 @@ def _(s, d):
     return metrics.retention(tb.work_metrics(s, d), "raw_metrics", EVENTS_AS_OF).select("event_id", "metric_name", "ts")
 
 
-@query("scaling_recommendations", "work_metrics messages", f"""WITH s AS ({SUMMARY_SQL.format(edge=f"{NOW} - INTERVAL 240 HOUR")}),
+@query("scaling_recommendations", "work_metrics messages", f"""WITH s AS ({SUMMARY_SQL}),
 reg AS (SELECT DISTINCT concat('q', CAST(user_id % 7 AS VARCHAR)) AS queue_name FROM messages),
 st AS (SELECT concat('q', CAST(user_id % 7 AS VARCHAR)) AS queue_name, count(*) AS depth FROM messages WHERE user_id % 7 <> 3 GROUP BY 1),
 j AS (SELECT reg.queue_name, coalesce(depth, 0) AS depth, s.*, total_processed / 240.0::DOUBLE AS rate FROM reg LEFT JOIN st USING (queue_name) LEFT JOIN s ON s.queue = reg.queue_name),
@@ -233,7 +247,7 @@ def _(s, d):
         "queue_name", F.concat(F.lit("q"), (F.col("user_id") % 7).cast("string"))
     )
     status = queues.queue_status(named.filter(F.col("user_id") % 7 != 3))
-    summary = metrics.queue_summary(_metrics(s, d), EVENTS_AS_OF, 240)
+    summary = metrics.queue_summary(_tagged(s, d), EVENTS_AS_OF, 240)
     return queues.scaling_recommendations(named.select("queue_name").distinct(), status, summary, 240)
 
 

@@ -237,12 +237,10 @@ def _(s, d):
     registry, issues = _workers(s, d)
     m = tb.messages(s, d).filter((F.col("value") > 60) | (F.col("queue_name") != "error"))
     e = F.col("event_id")
-    recent = metrics.recent_avg_per_queue(
-        tb.table(s, d, "events").select(
-            F.col("event_type").alias("queue"), "ts", (e % 20).alias("processed"), (e % 3).alias("errors")
-        ),
-        EVENTS_AS_OF, 60,
-    ).withColumnRenamed("queue", "queue_name")
+    tags = F.create_map(
+        F.lit("queue"), F.col("event_type"), F.lit("processed"), (e % 20).cast("string"), F.lit("errors"), (e % 3).cast("string")
+    )
+    recent = metrics.recent_avg_per_queue(tb.table(s, d, "events").select("ts", tags.alias("tags")), EVENTS_AS_OF, 60).withColumnRenamed("queue", "queue_name")
     return queues.active_queue_monitoring(registry, m, recent, issues, EVENTS_AS_OF)
 
 

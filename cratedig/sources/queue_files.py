@@ -37,9 +37,10 @@ def as_messages(df: DataFrame, queue: Column, body: Column, msg_id: Column, enqu
     )
 
 
-def sink_enqueue(messages: DataFrame, path: str) -> None:
-    """Appends messages to their queues."""
-    messages.write.mode("append").option("timestampFormat", TIME_FORMAT).partitionBy("queue_name").json(path)
+def sink_enqueue(messages: DataFrame, path: str, files: int = 8) -> None:
+    """Appends messages to their queues, each in up to ``files`` files."""
+    salt = F.pmod(F.xxhash64("msg_id"), F.lit(files))
+    messages.repartition("queue_name", salt).write.mode("append").option("timestampFormat", TIME_FORMAT).partitionBy("queue_name").json(path)
 
 
 def sink_enqueue_stream(messages: DataFrame, path: str, checkpoint: str):

@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cratedig.functions.bodies import parse_body
@@ -13,6 +12,7 @@ from cratedig.operators.dedup import dedup_ttl
 from cratedig.operators.dlq import META, dlq_add_metadata
 from cratedig.operators.queues import at_max_retries
 from cratedig.plans.stages import Stage
+from cratedig.sources.tables import read_or_empty
 
 
 def stream_rollup(metrics: DataFrame, dimensions: list[str], width: str = "1 hour", lateness: str = "10 minutes") -> DataFrame:
@@ -79,11 +79,7 @@ def _available(writer, checkpoint: str):
 
 def earlier_batches(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
     """What earlier micro-batches wrote under ``path``."""
-    try:
-        rows = spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-    return rows.filter(F.col("batch_id") < batch_id).drop("batch_id")
+    return read_or_empty(spark, path, schema, "batch_id bigint").filter(F.col("batch_id") < batch_id).drop("batch_id")
 
 
 SEEN = "dedup_key string, first_seen_at timestamp, expires_at timestamp"

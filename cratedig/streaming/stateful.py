@@ -1,8 +1,4 @@
-"""Keyed state: claims on entities, and first results replayed on repeats.
-
-The rules of one entity are a small Python fold. In a stream it runs with the
-state kept by Spark; over a finished log it runs on sorted partitions.
-"""
+"""Keyed state: the first result of an operation, replayed on repeats."""
 
 from __future__ import annotations
 
@@ -12,24 +8,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from cratedig.functions.times import micros, slice_of
-from cratedig.operators.ordered import running_sum
+from cratedig.functions.times import micros
 from cratedig.session import ROCKSDB, ship_with_jobs
 
 ship_with_jobs(__name__)
 
-KEY = ["entity_type", "entity_id"]
-CLAIM, RELEASE = "CLAIM", "RELEASE"
-# The state each unconditional action sets.
-SETS = {
-    "RESET": "PENDING",
-    "COMPLETE": "COMPLETED",
-    "FAIL": "FAILED",
-    "DEAD_LETTER": "DEAD_LETTER",
-}
-OUT = "entity_type string, entity_id bigint, event_id bigint, ts timestamp_ntz, action string, granted boolean, state string, counted int"
-
-
 def ensure_rocksdb(spark: SparkSession) -> None:
     """Keyed state with several types of values needs the RocksDB store."""
     key = "spark.sql.streaming.stateStore.providerClass"
@@ -37,123 +20,17 @@ def ensure_rocksdb(spark: SparkSession) -> None:
         spark.conf.set(key, ROCKSDB)
 
 
-def step(state: str | None, last_us: int, action: str, now_us: int, timeout_us: int):
-    """(state, last change, granted, counts as an attempt) after one action.
-
-    A claim on an unknown, waiting or failed entity is granted; on one in work
-    only after the timeout; on a finished or dead one never. A release gives an
-    entity in work back. Every other action sets its state.
-    """
-    if action == CLAIM:
-        if state is None:
-            return "IN_PROGRESS", now_us, True, 0
-        if state in ("PENDING", "FAILED") or (state == "IN_PROGRESS" and last_us < now_us - timeout_us):
-            return "IN_PROGRESS", now_us, True, 1
-        return state, last_us, False, 0
-    if action == RELEASE:
-        if state == "IN_PROGRESS":
-            return "PENDING", now_us, True, 0
-        return state, last_us, False, 0
-    return SETS[action], now_us, True, 0
-
-
-def state_log(events: DataFrame, timeout_minutes: int = 30, slice_seconds: int = 600) -> DataFrame:
-    """The outcome of every action over a finished log.
-
-    events: entity_type, entity_id, event_id, ts, action. An action that sets
-    its state makes what came before irrelevant, so each entity's log is cut
-    there. The pieces, not the entities, are spread over the cluster, and each
-    is folded as a stream of rows, so a busy entity is neither one task nor one
-    group in memory.
-    """
-    sets = F.col("action").isin(list(SETS)).cast("int")
-    cut = running_sum(events, KEY, ["ts", "event_id"], sets, slice_of(F.col("ts"), slice_seconds), "_piece")
-    pieces = (
-        cut.withColumn("_us", micros(F.col("ts")))
-        .select(*KEY, "event_id", "ts", "action", "_piece", "_us")
-        .repartition(*KEY, "_piece")
-        .sortWithinPartitions(*KEY, "_piece", "_us", "event_id")
-    )
-    timeout_us = timeout_minutes * 60_000_000
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, state, last = None, None, 0
-        for pdf in batches:
-            granted, states, counted = [], [], []
-            rows = zip(pdf["entity_type"], pdf["entity_id"], pdf["_piece"], pdf["action"], pdf["_us"])
-            for kind, ident, piece, action, now in rows:
-                if (kind, ident, piece) != at:
-                    at, state, last = (kind, ident, piece), None, 0
-                state, last, ok, n = step(state, last, action, now, timeout_us)
-                granted.append(ok)
-                states.append(state)
-                counted.append(n)
-            yield pdf[[*KEY, "event_id", "ts", "action"]].assign(granted=granted, state=states, counted=counted)
-
-    return pieces.mapInPandas(fold, OUT)
-
-
-def state_of_log(log: DataFrame) -> DataFrame:
-    """Per entity: current state, attempts, granted and refused claims."""
-    claim = F.col("action") == CLAIM
-    return log.groupBy(*KEY).agg(
-        F.max_by("state", F.struct("ts", "event_id")).alias("state"),
-        F.sum("counted").alias("attempts"),
-        F.count(F.when(claim & F.col("granted"), 1)).alias("granted"),
-        F.count(F.when(claim & ~F.col("granted"), 1)).alias("refused"),
-    )
-
-
-class _Claims(StatefulProcessor):
-    """One entity's state across micro-batches."""
-
-    def __init__(self, timeout_us: int):
-        self.timeout_us = timeout_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("kept", "state string, last_us bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        got = self.kept.get() if self.kept.exists() else None
-        state, last = (got[0], got[1]) if got else (None, 0)
-        pdf = pd.concat(list(rows)).sort_values(["us", "event_id"])
-        granted, states, counted = [], [], []
-        for action, now in zip(pdf["action"], pdf["us"]):
-            state, last, ok, n = step(state, last, action, int(now), self.timeout_us)
-            granted.append(ok)
-            states.append(state)
-            counted.append(n)
-        self.kept.update((state, int(last)))
-        yield pdf[[*KEY, "event_id", "ts", "action"]].assign(granted=granted, state=states, counted=counted)
-
-    def close(self) -> None:
-        pass
-
-
-def stream_state_machine(events: DataFrame, timeout_minutes: int = 30) -> DataFrame:
-    """The streaming twin of ``state_log``; rows of an entity are ordered within a micro-batch,
-    whose size the source limits."""
-    ensure_rocksdb(events.sparkSession)
-    return (
-        events.withColumn("us", micros(F.col("ts")))
-        .groupBy(*KEY)
-        .transformWithStateInPandas(
-            statefulProcessor=_Claims(timeout_minutes * 60_000_000),
-            outputStructType=OUT,
-            outputMode="append",
-            timeMode="none",
-        )
-    )
-
-
 RESULT = "operation_id string, event_id bigint, result string, replayed boolean"
 
 
 class _FirstResult(StatefulProcessor):
-    """Keeps the first result of an operation."""
+    """Keeps the first result of an operation for a time."""
+
+    def __init__(self, ttl_ms: int | None):
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("kept", "result string")
+        self.kept = handle.getValueState("kept", "result string", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values(["us", "event_id"])
@@ -169,14 +46,22 @@ class _FirstResult(StatefulProcessor):
         pass
 
 
-def stream_idempotent_result(operations: DataFrame) -> DataFrame:
-    """Every operation answers with its first result; operations: operation_id, event_id, ts, result."""
+def stream_idempotent_result(operations: DataFrame, ttl_hours: float | None = None) -> DataFrame:
+    """Every operation answers with its first result; operations: operation_id, event_id, ts, result.
+
+    With ``ttl_hours`` a result is forgotten so long after it was stored; such a query runs on the clock and is for
+    continuous triggers, as it doesn't end by itself. One operation's rows of a micro-batch are held at once;
+    the source's limits bound them.
+    """
     ensure_rocksdb(operations.sparkSession)
     return (
         operations.withColumn("us", micros(F.col("ts")))
         .groupBy("operation_id")
         .transformWithStateInPandas(
-            statefulProcessor=_FirstResult(), outputStructType=RESULT, outputMode="append", timeMode="none"
+            statefulProcessor=_FirstResult(None if ttl_hours is None else int(ttl_hours * 3_600_000)),
+            outputStructType=RESULT,
+            outputMode="append",
+            timeMode="none" if ttl_hours is None else "ProcessingTime",
         )
     )
 

@@ -265,30 +265,6 @@ def _files(spark, path, df, parts, key="event_id"):
         piece.coalesce(1).write.mode("append").parquet(path)
 
 
-def test_state_machine_stream_is_batch(spark, tmp_path):
-    rnd = random.Random(5)
-    actions = ["CLAIM", "CLAIM", "CLAIM", "RELEASE", "COMPLETE", "FAIL", "RESET", "DEAD_LETTER"]
-    rows = [("T", 1 if rnd.random() < 0.6 else rnd.randrange(5), i, at, rnd.choice(actions)) for _, i, at, _ in log(400)]
-    schema = "entity_type string, entity_id bigint, event_id bigint, ts timestamp_ntz, action string"
-    df = spark.createDataFrame(rows, schema)
-    batch = stateful.state_log(df, 30, 3600)
-    want, state = {}, {}
-    for kind, ident, i, at, action in rows:
-        s, last = state.get(ident, (None, 0))
-        us = int((at - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
-        s, last, ok, n = stateful.step(s, last, action, us, 30 * 60_000_000)
-        state[ident] = (s, last)
-        want[i] = (ok, s, n)
-    assert {r.event_id: (r.granted, r.state, r.counted) for r in batch.collect()} == want
-    now = {r.entity_id: r.state for r in stateful.state_of_log(batch).collect()}
-    assert now == {k: v[0] for k, v in state.items()}
-
-    _files(spark, str(tmp_path / "in"), df, 3)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    out = flows.run_to_table(stateful.stream_state_machine(stream, 30), str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert {r.event_id: (r.granted, r.state, r.counted) for r in out.collect()} == want
-
-
 def test_first_result_replayed_across_batches(spark, tmp_path):
     df = spark.createDataFrame(
         [(f"op{i % 3}", i, START + timedelta(minutes=i), f"r{i}") for i in range(12)],
