@@ -180,7 +180,7 @@ CAT_SQL = """cat AS (SELECT event_id, ts, concat('T', CAST(user_id % 4 AS VARCHA
   CASE event_id % 8 WHEN 0 THEN 'spotify api rate limit hit' WHEN 1 THEN 'genius unauthorized' WHEN 2 THEN 'database timeout' WHEN 3 THEN 'invalid artist'
    WHEN 4 THEN 'bad request' WHEN 5 THEN 'internal error' WHEN 6 THEN 'spotify: not found' ELSE 'boom' END AS message,
   CASE event_id % 8 WHEN 0 THEN 'TRANSIENT_RATE_LIMIT' WHEN 1 THEN 'PERMANENT_AUTH' WHEN 2 THEN 'TRANSIENT_TIMEOUT' WHEN 3 THEN 'PERMANENT_VALIDATION'
-   WHEN 4 THEN 'PERMANENT_BAD_REQUEST' WHEN 5 THEN 'SYSTEM' WHEN 6 THEN 'PERMANENT_NOT_FOUND' ELSE 'UNKNOWN' END AS category FROM events WHERE event_type = 'error')"""
+   WHEN 4 THEN 'PERMANENT_BAD_REQUEST' WHEN 5 THEN 'SYSTEM' WHEN 6 THEN 'PERMANENT_NOT_FOUND' ELSE 'UNKNOWN' END AS category FROM events)"""
 # texts behind CAT_SQL, by event_id % 8
 ERROR_TEXTS = [
     "spotify api rate limit hit", "genius unauthorized", "database timeout", "invalid artist",
@@ -191,8 +191,7 @@ ERROR_TEXTS = [
 def _errors(s, d):
     e = F.col("event_id")
     message = F.element_at(F.array(*[F.lit(t) for t in ERROR_TEXTS]), (e % 8 + 1).cast("int"))
-    rows = tb.table(s, d, "events").filter(F.col("event_type") == "error")
-    return rows.select(
+    return tb.table(s, d, "events").select(
         e, "ts", F.concat(F.lit("T"), (F.col("user_id") % 4).cast("string")).alias("entity_type"),
         F.col("user_id").alias("entity_id"), F.concat(F.lit("op"), (F.col("user_id") % 3).cast("string")).alias("operation"),
         message.alias("message"),

@@ -277,17 +277,17 @@ def _credits(s, d):
 
 @query("link_track_producers", "track_producers", f"""WITH c AS (SELECT l_orderkey * 10 + l_linenumber AS track_id, l_suppkey AS producer_id, arg_min(1 - l_discount, (l_shipdate, l_discount)) AS confidence FROM lineitem GROUP BY 1, 2)
 SELECT track_id, producer_id, round(coalesce(t.confidence, c.confidence), 4) AS confidence, CASE WHEN t.track_id IS NULL THEN 'genius' ELSE t.source END AS source,
-  coalesce(t.created_at, {THEN}) AS created_at FROM c LEFT JOIN track_producers t USING (track_id, producer_id)""")
+  coalesce(t.created_at, {THEN}) AS created_at FROM c LEFT JOIN (SELECT * FROM track_producers WHERE producer_id % 10 = 0) t USING (track_id, producer_id)""")
 def _(s, d):
-    stored = tb.track_producers(s, d).withColumn("confidence", F.col("confidence").cast("decimal(5,4)"))
+    stored = tb.track_producers(s, d).filter(F.col("producer_id") % 10 == 0).withColumn("confidence", F.col("confidence").cast("decimal(5,4)"))
     return upsert.link_track_producers(stored, _credits(s, d), CATALOG_AS_OF)
 
 
 @query("link_track_producers_update", "track_producers", f"""WITH c AS (SELECT l_orderkey * 10 + l_linenumber AS track_id, l_suppkey AS producer_id, arg_max(1 - l_discount, (l_shipdate, l_discount)) AS confidence,
   arg_min(l_returnflag, (-epoch_us(l_shipdate), 1 - l_discount, l_returnflag)) AS source FROM lineitem GROUP BY 1, 2)
-SELECT track_id, producer_id, round(c.confidence, 4) AS confidence, c.source, coalesce(t.created_at, {THEN}) AS created_at FROM c LEFT JOIN track_producers t USING (track_id, producer_id)""")
+SELECT track_id, producer_id, round(c.confidence, 4) AS confidence, c.source, coalesce(t.created_at, {THEN}) AS created_at FROM c LEFT JOIN (SELECT * FROM track_producers WHERE producer_id % 10 = 0) t USING (track_id, producer_id)""")
 def _(s, d):
-    stored = tb.track_producers(s, d).withColumn("confidence", F.col("confidence").cast("decimal(5,4)"))
+    stored = tb.track_producers(s, d).filter(F.col("producer_id") % 10 == 0).withColumn("confidence", F.col("confidence").cast("decimal(5,4)"))
     return upsert.link_track_producers(stored, _credits(s, d), CATALOG_AS_OF, "update")
 
 
@@ -409,7 +409,8 @@ def _event_stream(s, d):
 
 
 @query("stream_rollup", "work_metrics", """WITH e AS (SELECT date_trunc('hour', max(ts) - INTERVAL 10 MINUTE) AS closed FROM work_metrics)
-SELECT metric_name, queue, date_trunc('hour', ts)::TIMESTAMP AS period_start, round(sum(metric_value), 6) AS sum_value, count(*) AS count_value
+SELECT metric_name, queue, date_trunc('hour', ts)::TIMESTAMP AS period_start, round(min(metric_value), 6) AS min_value, round(max(metric_value), 6) AS max_value,
+  round(avg(metric_value), 6) AS avg_value, round(sum(metric_value), 6) AS sum_value, count(*) AS count_value
   FROM work_metrics, e WHERE ts < closed GROUP BY 1, 2, 3""")
 def _(s, d):
     """Hourly windows the watermark has closed."""
@@ -420,7 +421,7 @@ def _(s, d):
     )
     out = scratch(s, "rollup")
     rows = flows.run_to_table(flows.stream_rollup(m, ["queue"]), f"{out}/data", f"{out}/checkpoint")
-    return rows.select("metric_name", "queue", "period_start", "sum_value", "count_value")
+    return rows.select("metric_name", "queue", "period_start", "min_value", "max_value", "avg_value", "sum_value", "count_value")
 
 
 @query("stream_dedup_ttl", "", "SELECT DISTINCT concat(event_type, ':', CAST(user_id AS VARCHAR)) AS dedup_key FROM events")
@@ -557,7 +558,8 @@ def _(s, d):
     return popular.join(links, "producer_id").select(F.col("name").alias("producer_name"), "track_count", "artist_count", "website")
 
 
-@query("rollup_write", "work_metrics", """SELECT metric_name, queue, date_trunc('day', ts)::TIMESTAMP AS period_start, count(*) AS count_value FROM work_metrics GROUP BY 1, 2, 3""")
+@query("rollup_write", "work_metrics", """SELECT metric_name, queue, date_trunc('day', ts)::TIMESTAMP AS period_start, round(min(metric_value), 6) AS min_value, round(max(metric_value), 6) AS max_value,
+  round(avg(metric_value), 6) AS avg_value, round(sum(metric_value), 6) AS sum_value, count(*) AS count_value FROM work_metrics GROUP BY 1, 2, 3""")
 def _(s, d):
     """Roll-ups stored by period and written a second time: each period is replaced, not doubled."""
     path = scratch(s, "rollups")
@@ -565,4 +567,4 @@ def _(s, d):
     metrics.write_rollup(rows, path)
     metrics.write_rollup(rows, path)
     back = s.read.schema(rows.schema).parquet(path)
-    return back.select("metric_name", "queue", "period_start", "count_value")
+    return back.select("metric_name", "queue", "period_start", "min_value", "max_value", "avg_value", "sum_value", "count_value")

@@ -191,10 +191,11 @@ def _(s, d):
     )
 
 
-@query("all_queue_snapshots", "messages", f"SELECT {MSG_SQL} FROM messages WHERE queue_name IN ('view', 'click', 'error')")
+@query("all_queue_snapshots", "messages", f"SELECT {MSG_SQL} FROM messages ")
 def _(s, d):
     m = _messages(s, d)
-    parts = {f"q_{q}": m.filter(F.col("queue_name") == q).drop("queue_name") for q in ("view", "click", "error")}
+    kinds = ("view", "click", "error", "purchase", "signup")
+    parts = {f"q_{q}": m.filter(F.col("queue_name") == q).drop("queue_name") for q in kinds}
     return queues.all_queue_snapshots(parts).select(*MSG)
 
 
@@ -461,12 +462,15 @@ def _(s, d):
     return _messages(s, d).select("msg_id", bodies.json_get(b, "$.k", "int").alias("k"), bodies.json_get(b, "$.missing").alias("missing"))
 
 
-@query("json_has_key", "messages", "SELECT msg_id, true AS has_k, false AS has_x, msg_id % 2 = 0 AS has_null_key FROM messages")
+@query("json_has_key", "messages", f"""SELECT msg_id, {K_SQL} % 3 <> 0 AS has_own, {K_SQL} % 5 = 0 AS has_x, msg_id % 2 = 0 AS has_null_key FROM messages""")
 def _(s, d):
-    b = F.col("message")
+    """Keys that depend on each message's number; one body is no object."""
+    k = F.get_json_object("message", "$.k").cast("int")
+    own = F.when(k % 3 == 0, F.lit("[1]")).otherwise(F.concat(F.lit('{"own":'), k.cast("string"), F.lit("}")))
+    x = F.when(k % 5 == 0, F.lit('{"y":1,"x":{"y":2}}')).otherwise(F.lit('{"y":{"x":1}}'))
     with_null = F.when(F.col("msg_id") % 2 == 0, F.lit('{"a":null}')).otherwise(F.lit('{"b":1}'))
     return _messages(s, d).select(
-        "msg_id", bodies.json_has_key(b, "k").alias("has_k"), bodies.json_has_key(b, "x").alias("has_x"),
+        "msg_id", bodies.json_has_key(own, "own").alias("has_own"), bodies.json_has_key(x, "x").alias("has_x"),
         bodies.json_has_key(with_null, "a").alias("has_null_key"),
     )
 

@@ -10,26 +10,31 @@ from cratedig.session import ensure_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BESIDE = "(c_custkey + c_custkey % 10 * 1000000000)"  # ids of rows beside those of the base tables
+
 # The catalog and log tables as SQL over the base tables, for the check side only.
 VIEWS = {
-    "artists": """SELECT c_custkey AS artist_id, c_name AS name, CAST(c_custkey % 101 AS INT) AS popularity,
-        c_mktsegment AS genre,
-        CASE WHEN c_custkey % 5 = 0 THEN TIMESTAMP '2001-08-01 23:30:00'
-             WHEN c_custkey % 5 = 1 THEN TIMESTAMP '2001-08-01 12:00:00'
-             ELSE TIMESTAMP '2001-07-20 00:00:00' END AS created_at FROM customer""",
-    "albums": """SELECT o_orderkey AS album_id, o_custkey AS artist_id, CAST(o_orderdate AS DATE) AS release_date,
-        o_orderdate AS updated_at,
-        CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_orderkey % 8 AS INT) END AS total_tracks
-        FROM orders WHERE o_orderstatus = 'F'""",
-    "tracks": """SELECT l_orderkey * 10 + l_linenumber AS track_id, l_orderkey AS album_id, MIN(p_name) AS name,
+    "artists": f"""SELECT id AS artist_id, name, CAST(id % 101 AS INT) AS popularity, genre,
+        CASE WHEN id % 5 = 0 THEN TIMESTAMP '2001-08-01 23:30:00'
+             WHEN id % 5 = 1 THEN TIMESTAMP '2001-08-01 12:00:00'
+             ELSE TIMESTAMP '2001-07-20 00:00:00' END AS created_at FROM (
+          SELECT c_custkey AS id, c_name AS name, c_mktsegment AS genre FROM customer UNION ALL
+          SELECT {BESIDE}, concat(c_name, ' again'), c_mktsegment FROM customer WHERE c_custkey % 10 IN (1, 2, 3))""",
+    "albums": f"""SELECT id AS album_id, artist_id, CAST(day AS DATE) AS release_date, day AS updated_at,
+        CASE WHEN id % 4 = 0 THEN NULL ELSE CAST(id % 8 AS INT) END AS total_tracks FROM (
+          SELECT o_orderkey AS id, o_custkey AS artist_id, o_orderdate AS day FROM orders UNION ALL
+          SELECT {BESIDE}, {BESIDE}, TIMESTAMP '2001-07-01 00:00:00' FROM customer WHERE c_custkey % 10 IN (2, 3, 6))""",
+    "tracks": f"""SELECT l_orderkey * 10 + l_linenumber AS track_id, l_orderkey AS album_id, MIN(p_name) AS name,
         CAST(MAX(l_quantity) AS INT) AS popularity, MAX(l_shipdate) AS updated_at
-        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""",
+        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2 UNION ALL
+        SELECT {BESIDE} * 10 + 1, {BESIDE}, 'beside', 7, TIMESTAMP '2001-07-02 00:00:00' FROM customer WHERE c_custkey % 10 IN (3, 4)""",
     "producers": """SELECT s_suppkey AS producer_id, s_name AS name,
         CASE WHEN s_suppkey % 20 = 0 THEN TIMESTAMP '2001-07-01 00:00:00' ELSE NULL END AS enriched_at
         FROM supplier""",
-    "track_producers": """SELECT l_orderkey * 10 + l_linenumber AS track_id, l_suppkey AS producer_id,
+    "track_producers": f"""SELECT l_orderkey * 10 + l_linenumber AS track_id, l_suppkey AS producer_id,
         MAX(1 - l_discount) AS confidence, MIN(l_returnflag) AS source, MIN(l_shipdate) AS created_at
-        FROM lineitem WHERE l_suppkey % 10 = 0 GROUP BY 1, 2""",
+        FROM lineitem GROUP BY 1, 2 UNION ALL
+        SELECT {BESIDE} * 10 + 1, {BESIDE}, 0.5, 'X', TIMESTAMP '2001-07-03 00:00:00' FROM customer WHERE c_custkey % 10 = 5""",
     "messages": """SELECT event_id AS msg_id, event_type AS queue_name, ts AS enqueued_at,
         CAST(event_id % 5 AS INT) AS read_ct, CASE WHEN event_id % 3 = 0 THEN ts ELSE NULL END AS vt,
         user_id, value, props AS message FROM events""",

@@ -20,9 +20,21 @@ def _ts(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+# Rows beside those of the base tables, made from customers by the last digit of their key; their ids lie far beyond the keys.
+# 1: an artist without albums, 2: with an album without tracks, 3: with a track without credits. 4: a track of an unknown
+# album, 5: a credit of an unknown track and producer, 6: an album of an unknown artist.
+BEYOND = 1_000_000_000
+
+
+def _beside(spark: SparkSession, sf_dir: str, *digits: int) -> DataFrame:
+    digit = F.col("c_custkey") % 10
+    return table(spark, sf_dir, "customer").filter(digit.isin(*digits)).withColumn("id", F.col("c_custkey") + digit * BEYOND)
+
+
 def artists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
+    every = table(spark, sf_dir, "customer").withColumn("id", F.col("c_custkey"))
+    key = F.col("id")
+    return every.unionByName(_beside(spark, sf_dir, 1, 2, 3).withColumn("c_name", F.concat("c_name", F.lit(" again")))).select(
         key.alias("artist_id"),
         F.col("c_name").alias("name"),
         (key % 101).cast("int").alias("popularity"),
@@ -35,17 +47,15 @@ def artists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def albums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    return (
-        table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderstatus") == "F")
-        .select(
-            key.alias("album_id"),
-            F.col("o_custkey").alias("artist_id"),
-            F.col("o_orderdate").cast("date").alias("release_date"),
-            F.col("o_orderdate").alias("updated_at"),
-            F.when(key % 4 != 0, (key % 8).cast("int")).alias("total_tracks"),
-        )
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("artist_id"), F.col("o_orderdate").alias("day"))
+    more = _beside(spark, sf_dir, 2, 3, 6).select("id", F.col("id").alias("artist_id"), _ts("2001-07-01 00:00:00").cast(orders.schema["day"].dataType).alias("day"))
+    key = F.col("id")
+    return orders.unionByName(more).select(
+        key.alias("album_id"),
+        "artist_id",
+        F.col("day").cast("date").alias("release_date"),
+        F.col("day").alias("updated_at"),
+        F.when(key % 4 != 0, (key % 8).cast("int")).alias("total_tracks"),
     )
 
 
@@ -60,11 +70,16 @@ def tracks(spark: SparkSession, sf_dir: str, names: bool = False) -> DataFrame:
     if names:
         lines = lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         extra = [F.min("p_name").alias("name")]
-    return lines.groupBy(_track_id(), F.col("l_orderkey").alias("album_id")).agg(
+    every = lines.groupBy(_track_id(), F.col("l_orderkey").alias("album_id")).agg(
         *extra,
         F.max("l_quantity").cast("int").alias("popularity"),
         F.max("l_shipdate").alias("updated_at"),
     )
+    more = _beside(spark, sf_dir, 3, 4).select(
+        (F.col("id") * 10 + 1).alias("track_id"), F.col("id").alias("album_id"), *([F.lit("beside").alias("name")] if names else []),
+        F.lit(7).alias("popularity"), _ts("2001-07-02 00:00:00").cast(every.schema["updated_at"].dataType).alias("updated_at"),
+    )
+    return every.unionByName(more)
 
 
 def producers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,16 +91,16 @@ def producers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def track_producers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_suppkey") % 10 == 0)
-        .groupBy(_track_id(), F.col("l_suppkey").alias("producer_id"))
-        .agg(
-            F.max(1 - F.col("l_discount")).alias("confidence"),
-            F.min("l_returnflag").alias("source"),
-            F.min("l_shipdate").alias("created_at"),
-        )
+    every = table(spark, sf_dir, "lineitem").groupBy(_track_id(), F.col("l_suppkey").alias("producer_id")).agg(
+        F.max(1 - F.col("l_discount")).alias("confidence"),
+        F.min("l_returnflag").alias("source"),
+        F.min("l_shipdate").alias("created_at"),
+    )
+    more = _beside(spark, sf_dir, 5).select(
+        (F.col("id") * 10 + 1).alias("track_id"), F.col("id").alias("producer_id"), F.lit(0.5).cast(every.schema["confidence"].dataType).alias("confidence"),
+        F.lit("X").alias("source"), _ts("2001-07-03 00:00:00").cast(every.schema["created_at"].dataType).alias("created_at"),
     )
+    return every.unionByName(more)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

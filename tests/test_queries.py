@@ -27,4 +27,7 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     result, _ = harness.compare(spark, con, name, QUERIES[name], CHECKS.get(name), SF)
-    assert result.startswith(("ok", "rows")), result
+    if name in CHECKS:
+        assert result == "ok", result
+    else:  # these have tests of their own; here they must give rows
+        assert result.startswith("rows=") and result != "rows=0", result
