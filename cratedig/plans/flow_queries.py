@@ -558,6 +558,46 @@ def _(s, d):
     return popular.join(links, "producer_id").select(F.col("name").alias("producer_name"), "track_count", "artist_count", "website")
 
 
+DEAD_SQL = """g AS (SELECT event_id AS id, CAST(user_id AS VARCHAR) AS u, event_id % 4 AS q, event_id // 4 % 4 AS kind FROM events)
+SELECT CASE q WHEN 0 THEN 'artist_discovery' WHEN 1 THEN 'album_discovery' WHEN 2 THEN 'track_discovery' ELSE 'producer_identification' END AS queue_name,
+  CAST(id AS VARCHAR) AS dedup_key, CASE WHEN kind = 0 THEN 'Invalid message format: message body is empty or null'
+    WHEN q = 0 THEN 'Missing artistName in message'
+    WHEN q = 1 AND kind = 1 THEN 'Missing required field: spotifyId must be provided'
+    WHEN q = 1 THEN concat('Missing required field: artistId must be provided for artist Unknown Artist (', u, ')')
+    WHEN q = 2 AND kind = 1 THEN 'Missing required field: albumSpotifyId must be provided'
+    WHEN q = 2 THEN 'Missing required field: albumId must be provided'
+    WHEN kind = 1 THEN 'Missing required field: trackId must be provided'
+    ELSE concat('Track not found with ID: none', u) END AS failure_reason
+  FROM g WHERE q = 3 OR kind < 2 OR (kind < 3 AND q <> 0)"""
+
+
+@query("stage_chain_dead", "artists", f"WITH {DEAD_SQL}")
+def _(s, d):
+    """Messages of every queue, some of them good, through all stages: what is refused comes back with its reason."""
+    i, u = F.col("event_id"), F.col("user_id").cast("string")
+    kind = F.floor(i / 4) % 4
+    names = [
+        ("artist_discovery", "artistName", "artistName", "artistName"), ("album_discovery", "artistId", "spotifyId", "spotifyId"),
+        ("track_discovery", "albumId", "spotifyId", "spotifyId"), ("producer_identification", "x", "trackId", "trackId"),
+    ]
+    more = {}
+    for number, (queue, first, second, third) in enumerate(names):
+        value = F.concat(F.lit("none"), u) if queue == "producer_identification" else u
+        one = lambda name: F.concat(F.lit(f'{{"{name}":"'), value, F.lit('"}'))  # noqa: B023, E731
+        both = F.concat(F.lit(f'{{"{first}":"'), u, F.lit(f'","{third}":"'), u, F.lit('"}'))
+        lacking = F.lit('{"artistName":""}') if queue == "artist_discovery" else one(first)
+        good = one(third) if queue == "producer_identification" else both  # of unknown tracks, which are refused too
+        body = F.when(kind == 0, F.lit("[]")).when(kind == 1, lacking).when(kind == 2, one(second)).otherwise(good)
+        more[queue] = tb.table(s, d, "events").filter(i % 4 == number).select(
+            F.lit(queue).alias("queue_name"), i.cast("string").alias("dedup_key"), body.alias("message")
+        )
+    seeds = stages.seed_artist_discovery(tb.artists(s, d).limit(0).select(F.col("name").alias("artist_name")))
+    none = {k: f(s, d).limit(0) for k, f in (("artist_search", _artist_search), ("song_search", _song_search), ("song_details", _song_details))}
+    pages = {"album_pages": _album_pages(s, d).drop("artist_id").limit(0), "track_pages": _track_pages(s, d).drop("album_id").limit(0)}
+    got = stages.stage_chain(s, seeds, none | pages, CATALOG_AS_OF, scratch(s, "chain-dead"), more)
+    return got["dead"].select("queue_name", "dedup_key", "failure_reason")
+
+
 @query("rollup_write", "work_metrics", """SELECT metric_name, queue, date_trunc('day', ts)::TIMESTAMP AS period_start, round(min(metric_value), 6) AS min_value, round(max(metric_value), 6) AS max_value,
   round(avg(metric_value), 6) AS avg_value, round(sum(metric_value), 6) AS sum_value, count(*) AS count_value FROM work_metrics GROUP BY 1, 2, 3""")
 def _(s, d):

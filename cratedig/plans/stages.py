@@ -8,12 +8,13 @@ a network.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cratedig import schemas
-from cratedig.functions.bodies import coalesce_aliases, first_of, json_build
+from cratedig.functions.bodies import coalesce_aliases, first_of, is_object, json_build
 from cratedig.functions.text import dedup_key_for, extract_producers
 from cratedig.operators import upsert
 from cratedig.operators.dedup import first_of_key
@@ -101,8 +102,38 @@ def fan_out_producer_to_social(producers: DataFrame) -> DataFrame:
 # --- stages -----------------------------------------------------------------
 
 def distinct_requests(messages: DataFrame) -> DataFrame:
-    """One message per key; which of several equal requests is kept does not matter, but it is fixed."""
-    return first_of_key(messages, "dedup_key", "message", keep_unkeyed=False)
+    """One message per key; which of several equal requests is kept does not matter, but it is fixed. Without a key all stay."""
+    return first_of_key(messages, "dedup_key", "message")
+
+
+def refused(messages: DataFrame, queue: str, tracks: DataFrame | None = None) -> DataFrame:
+    """The messages a stage cannot work on, with the reason: queue_name, dedup_key, message, failure_reason.
+
+    The stage's own step leaves exactly these out. ``tracks`` are the known ones, for the credit stage.
+    """
+    body = F.col("message")
+    empty = F.when(F.coalesce(~is_object(body), F.lit(True)), F.lit("Invalid message format: message body is empty or null"))
+    missing = lambda c, name: F.when(c.isNull(), F.lit(f"Missing required field: {name} must be provided"))
+    if queue == "artist_discovery":
+        why = F.when(first_of(body, "artistName").isNull(), F.lit("Missing artistName in message"))
+    elif queue == "album_discovery":
+        m = coalesce_aliases(body, queue)
+        of = F.concat(F.lit("Missing required field: artistId must be provided for artist "), m["artist_name"], F.lit(" ("), m["spotify_id"], F.lit(")"))
+        why = F.coalesce(missing(m["spotify_id"], "spotifyId"), F.when(m["artist_id"].isNull(), of))
+    elif queue == "track_discovery":
+        m = coalesce_aliases(body, queue)
+        why = F.coalesce(missing(m["album_spotify_id"], "albumSpotifyId"), missing(m["album_id"], "albumId"))
+    elif queue == "producer_identification":
+        why = missing(first_of(body, "trackId", "track_id"), "trackId")
+    else:
+        raise ValueError(f"no rules for {queue}")
+    tagged = messages.withColumn("failure_reason", F.coalesce(empty, why))
+    out = tagged.filter(F.col("failure_reason").isNotNull())
+    if tracks is not None:
+        asked = tagged.filter(F.col("failure_reason").isNull()).withColumn("track_id", first_of(body, "trackId", "track_id"))
+        lost = asked.join(tracks.select("track_id"), "track_id", "left_anti")
+        out = out.unionByName(lost.withColumn("failure_reason", F.concat(F.lit("Track not found with ID: "), "track_id")).drop("track_id"))
+    return out.select("queue_name", "dedup_key", "message", "failure_reason")
 
 
 def _all_but(df: DataFrame, key: str) -> list[str]:
@@ -167,27 +198,38 @@ def stage_chain(
     responses: dict[str, DataFrame],
     as_of: str,
     folder: str,
+    more: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """All five stages over an empty catalog; every stage's result is a table under ``folder``.
 
-    responses: artist_search, album_pages, track_pages, song_search, song_details.
+    responses: artist_search, album_pages, track_pages, song_search, song_details. ``more`` adds messages from elsewhere
+    to a queue. Messages that a stage refuses are the table ``dead``.
     """
 
     def empty(schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
-    found = artist_stage(seeds, responses["artist_search"]).drop("name_matches")
+    more = more or {}
+
+    def asked(queue: str, made: DataFrame) -> DataFrame:
+        return made.unionByName(more[queue]) if queue in more else made
+
+    messages = {"artist_discovery": asked("artist_discovery", seeds)}
+    found = artist_stage(messages["artist_discovery"], responses["artist_search"]).drop("name_matches")
     artists = _store(upsert.upsert_artists(empty(schemas.ARTISTS), found, as_of), f"{folder}/artists")
-    found = album_stage(fan_out_artist_to_album(artists), responses["album_pages"])
+    messages["album_discovery"] = asked("album_discovery", fan_out_artist_to_album(artists))
+    found = album_stage(messages["album_discovery"], responses["album_pages"])
     albums = _store(upsert.upsert_albums(empty(schemas.ALBUMS), found, as_of), f"{folder}/albums")
-    found = track_stage(fan_out_album_to_track(albums), responses["track_pages"])
+    messages["track_discovery"] = asked("track_discovery", fan_out_album_to_track(albums))
+    found = track_stage(messages["track_discovery"], responses["track_pages"])
     tracks = _store(upsert.upsert_tracks(empty(schemas.TRACKS), found, as_of), f"{folder}/tracks")
+    messages["producer_identification"] = asked("producer_identification", fan_out_track_to_producer(tracks))
     credits = _store(
-        producer_stage(
-            fan_out_track_to_producer(tracks), tracks, responses["song_search"], responses["song_details"]
-        ),
+        producer_stage(messages["producer_identification"], tracks, responses["song_search"], responses["song_details"]),
         f"{folder}/credits",
     )
+    parts = [refused(m, queue, tracks if queue == "producer_identification" else None) for queue, m in messages.items()]
+    dead = _store(reduce(DataFrame.unionByName, parts), f"{folder}/dead")
     named = _store(
         upsert.upsert_producers(empty(schemas.PRODUCERS), upsert.new_producers(credits), as_of, "insert"),
         f"{folder}/new_producers",
@@ -199,7 +241,7 @@ def stage_chain(
         upsert.link_track_producers(empty(schemas.TRACK_PRODUCERS), linked, as_of), f"{folder}/track_producers"
     )
     producers = _store(social_stage(fan_out_producer_to_social(named), named, as_of), f"{folder}/producers")
-    return {"artists": artists, "albums": albums, "tracks": tracks, "producers": producers, "track_producers": links}
+    return {"artists": artists, "albums": albums, "tracks": tracks, "producers": producers, "track_producers": links, "dead": dead}
 
 
 # --- queue contracts for streaming ------------------------------------------
