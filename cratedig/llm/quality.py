@@ -26,8 +26,8 @@ RULES: dict[str, str] = {
 }
 BASE_RULES = ("short", "repeated")
 HOST_LIMIT = 0.5
-#: The largest weight of the prior, in documents.
-STRONGEST = 1000.0
+#: Bounds of the prior's weight, in documents.
+WEAKEST, STRONGEST = 10.0, 1000.0
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -93,7 +93,7 @@ def host_verdicts(measured: DataFrame, host: str, rules: dict[str, str] | None =
     """From measured documents: one row per host (null is a host) with ``host_failed``.
 
     For each rule a beta prior is fitted to the hosts' failure rates by their mean and variance. Two numbers a rule
-    reach the driver. With one host, or hosts that hardly differ, the prior is at its strongest (``STRONGEST`` documents).
+    reach the driver. With one host, or hosts that hardly differ, the prior weighs ``STRONGEST`` documents, never less than ``WEAKEST``.
     """
     rules = rules or RULES
     hosts = keep(
@@ -110,7 +110,7 @@ def host_verdicts(measured: DataFrame, host: str, rules: dict[str, str] | None =
     for name in rules:
         mean, spread = seen[f"mean_{name}"] or 0.0, seen[f"spread_{name}"] or 0.0
         between = max(spread - mean * (1 - mean) * (seen["inverse"] or 0.0), 0.0)  # what chance doesn't explain
-        strength = min(STRONGEST, max(1.0, mean * (1 - mean) / between - 1)) if between > 0 else STRONGEST
+        strength = min(STRONGEST, max(WEAKEST, mean * (1 - mean) / between - 1)) if between > 0 else STRONGEST
         bad = bad | ((F.col(f"failed_{name}") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength)) > limit)
     return hosts.select("host", bad.alias("host_failed"))
 

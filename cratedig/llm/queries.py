@@ -97,7 +97,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT rule, mean, greatest(spread - mean * (1 - mean) * inverse, 0) AS between_hosts FROM seen),
     strengths AS (
         SELECT rule, mean, CASE WHEN between_hosts > 0
-            THEN least(1000, greatest(1, mean * (1 - mean) / between_hosts - 1)) ELSE 1000 END AS strength FROM priors),
+            THEN least(1000, greatest(10, mean * (1 - mean) / between_hosts - 1)) ELSE 1000 END AS strength FROM priors),
     hosts AS (
         SELECT source, bool_or((k + mean * strength) / (n + strength) > 0.5) AS host_failed
         FROM rules JOIN strengths USING (rule) GROUP BY source)
