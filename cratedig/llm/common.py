@@ -49,9 +49,29 @@ def clear_of(df: DataFrame, *wanted: str) -> list[str]:
 
 
 def worker_store(name: str) -> dict:
-    """A dictionary that lives as long as this Python process, so that later tasks of a worker find it filled."""
+    """A dictionary that lives as long as this Python process, so that later tasks of a worker find it filled.
+
+    Only the operator that asked last keeps one; another's is given up.
+    """
     holder = sys.modules.setdefault("_cratedig_worker_store", types.ModuleType("_cratedig_worker_store"))
-    return holder.__dict__.setdefault(name, {})
+    held = getattr(holder, "held", None)
+    if held is None or held[0] != name:
+        held = holder.held = (name, {})
+    return held[1]
+
+
+def content_key(columns: list[str]) -> Column:
+    """128 bits that depend on the values of some columns: rows with equal values have equal keys."""
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit("b"), *reversed(columns)).alias("b"))
+
+
+def bounded(rows: DataFrame, h: Column, value: str, most: int) -> list:
+    """At most ``most`` values, those of smallest hash, one for each hash; only hashes decide, so tasks send no texts."""
+    hashed = rows.select(h.alias("h"), F.col(value).alias("v"))
+    edge = hashed.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    if edge is None:
+        return []
+    return [r["v"] for r in hashed.where(F.col("h") <= edge).groupBy("h").agg(F.min("v").alias("v")).orderBy("h").collect()]
 
 
 class Recent:

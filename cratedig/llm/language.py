@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cratedig import session
-from cratedig.llm.common import Recent, as_bytes, clear_of, keep, worker_store
+from cratedig.llm.common import Recent, as_bytes, bounded, clear_of, content_key, keep, worker_store
 
 SAMPLE = 1000
 #: A language needs this share of the declared rows, so there are at most 1 / LEAST_SHARE of them.
@@ -38,7 +38,7 @@ SITE_WEIGHT, HOST_WEIGHT, TAG_WEIGHT = 50.0, 20.0, 5.0
 FAR_OFF = 6.0
 LEAST_POSTERIOR = 0.5
 WORD = re.compile(r"[^\W\d_]+")
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 
 
 def trigrams(word: str) -> list[int]:
@@ -87,8 +87,8 @@ def sample(rows: DataFrame, text: str, declared: str, languages: list[str], per_
     """At most ``per_language`` texts of each language, those of smallest hash."""
     out = []
     for language in languages:
-        some = rows.where((F.col(declared) == language) & F.col(text).isNotNull()).select(F.col(text).alias("t"))
-        out += [(r["t"], language) for r in some.orderBy(F.xxhash64("t"), "t").limit(per_language).collect()]
+        some = rows.where((F.col(declared) == language) & F.col(text).isNotNull())
+        out += [(t, language) for t in bounded(some, F.xxhash64(text), text, per_language)]
     return out
 
 
@@ -108,10 +108,10 @@ def with_likelihoods(rows: DataFrame, model: TextModel, name: str, text: str = "
             store.clear()
             store["model"], store["cache"] = (languages, usual), Recent(CACHED_WORDS)
 
-        def weigh(words: list[str]) -> Iterator[np.ndarray]:
+        def weigh(words: list[str]) -> Iterator[bytes]:
             for w in words:
                 t = trigrams(w)
-                yield np.append(logs[t].sum(axis=0), len(t)).astype(np.float32)
+                yield np.append(logs[t].sum(axis=0), len(t)).astype(np.float32).tobytes()
 
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
@@ -119,11 +119,11 @@ def with_likelihoods(rows: DataFrame, model: TextModel, name: str, text: str = "
                 split = [WORD.findall(t.decode("utf-8", "replace").lower()) for t in part.column(part.num_columns - 1).to_pylist()]
                 index = {w: i for i, w in enumerate(set().union(*split))}
                 known = store["cache"].ensure(index, weigh)
-                table = np.array([known[w] for w in index], np.float64).reshape(len(index), k + 1)
+                table = np.frombuffer(b"".join(map(known.__getitem__, index)), np.float32).reshape(len(index), k + 1)
                 out = np.zeros((len(split), k + 2))
                 for i, words in enumerate(split):
                     if words:
-                        sums = table[np.fromiter(map(index.__getitem__, words), np.int64, len(words))].sum(axis=0)
+                        sums = table[np.fromiter(map(index.__getitem__, words), np.int64, len(words))].sum(axis=0, dtype=np.float64)
                         mean = sums[:k] / sums[k]
                         out[i] = [*(mean * min(sums[k], FULL_TRIGRAMS)), mean.max(), sums[k]]
                 offsets = pa.array(np.arange(len(split) + 1) * (k + 2), pa.int32())
@@ -241,12 +241,16 @@ def identified(rows: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` (text, lang, source), without documents of unknown language. Rows are written once."""
-    (row,) = clear_of(docs, "row")
-    rows = keep(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
-    slim = rows.select(F.col(row).alias("row"), "text", *evidence_of_documents(docs))
-    gone = identified(slim).where("not kept").select(F.col("row").alias(row))
-    return rows.join(gone, row, "left_anti").select(*docs.columns)
+    """The columns of ``docs`` (text, lang, source), without documents of unknown language.
+
+    The decision depends on these three columns alone, so the rows that go are named by a key of their values; ``docs``
+    is read again for the rest and is not copied.
+    """
+    (key,) = clear_of(docs, "key")
+    made = content_key(["text", "lang", "source"])
+    slim = docs.select(made.alias("key"), "text", *evidence_of_documents(docs))
+    gone = keep(identified(slim).where("not kept").select(F.col("key").alias(key)).distinct(), "unknown-language")
+    return docs.withColumn(key, made).join(gone, key, "left_anti").select(*docs.columns)
 
 
 session.ship_with_jobs(__name__)

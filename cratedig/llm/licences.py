@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cratedig import session
-from cratedig.llm.common import clear_of
+from cratedig.llm.common import bounded, clear_of
 
 # Statements by which the families are known.
 TEMPLATES = {
@@ -179,7 +179,7 @@ def negatives(docs: DataFrame, bound: int = NEGATIVES) -> list[str]:
     lines = F.split("text", "\n")
     h = F.xxhash64("text")
     one = docs.where("text is not null").select(F.get(lines, F.pmod(h, F.size(lines)).cast("int")).alias("line"), h.alias("h"))
-    return [r["line"] for r in one.orderBy("h", "line").limit(bound).collect()]
+    return bounded(one, F.col("h"), "line", bound)
 
 
 FOUND = "array<struct<line:int,family:string,probability:double,alike:double>>"

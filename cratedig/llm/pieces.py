@@ -28,8 +28,8 @@ from cratedig.llm.common import Recent, as_bytes, clear_of, worker_store
 
 SPACE = "▁"
 #: Distinct units in each of the two generations of a Python worker's cache, and pairs it has checked.
-CACHED_UNITS = 300_000
-CACHED_PAIRS = 1_000_000
+CACHED_UNITS = 250_000
+CACHED_PAIRS = 500_000
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cratedig import session
-from cratedig.llm.common import as_bytes, clear_of, keep, shuffle_parts
+from cratedig.llm.common import as_bytes, clear_of, content_key, keep, shuffle_parts
 from cratedig.llm.components import components
 
 BITS, RADIUS, BLOCKS, SHINGLE, SEED = 64, 3, 5, 3, 42
@@ -209,18 +209,24 @@ def component_ids(docs: DataFrame, blocks: int = BLOCKS, radius: int = RADIUS) -
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The columns of ``docs``, with one document of each component: the one of smallest id (null ids last).
 
-    Of several rows with that id the first written stays. Rows are written with their fingerprint and a row number, and
-    the rows that go are removed by an anti join, so no group is ever gathered.
+    Of several rows with that id the one of smallest content key stays, once. Only ids and keys of content are written;
+    ``docs`` is read again, and rows are taken out by joins on the key, so no group is ever gathered. A row that
+    stays and comes more than once in the table is reduced to one by a grouping of such rows alone.
     """
-    fp, row = clear_of(docs, "fp", "row")
-    rows = keep(with_fingerprints(docs, fp).withColumn(row, F.monotonically_increasing_id()), "documents")
-    slim = rows.select(F.col(fp).alias("fp"), F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col(row).alias("row")).alias("who"))
-    ids = slim.groupBy("fp").agg(F.min("who").alias("who"))
-    rooted = keep(near_copies(ids), "roots")
-    best = rooted.groupBy("root").agg(F.min("who").alias("best"))
-    stay = best.select(F.col("best.row").alias(row))
-    go = rows.select(row).join(stay, row, "left_anti")
-    return rows.join(go, row, "left_anti").select(*docs.columns)
+    (key,) = clear_of(docs, "key")
+    content = content_key(docs.columns)
+    given = docs.select(F.col("doc_id").alias("doc_id"), "text", content.alias("key"))
+    rows = keep(with_fingerprints(given, "fp").drop("text"), "fingerprints")
+    who = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"))
+    rooted = keep(near_copies(rows.groupBy("fp").agg(F.min(who).alias("who"))), "roots")
+    best = rooted.groupBy("root").agg(F.min("who").alias("who")).select(F.col("who.key").alias("key"))
+    seen = keep(rows.groupBy("key").agg(F.count(F.lit(1)).alias("times")), "keys")
+    stay = keep(best.join(seen, "key"), "stay")
+    go = keep(seen.join(stay.where("times = 1"), "key", "left_anti").select(F.col("key").alias(key)), "go")
+    several = keep(stay.where("times > 1").select(F.col("key").alias(key)), "several")
+    keyed = docs.withColumn(key, content)
+    once = keyed.join(several, key, "left_semi").dropDuplicates([key])
+    return keyed.join(go, key, "left_anti").unionByName(once).select(*docs.columns)
 
 
 session.ship_with_jobs(__name__)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cratedig import session
-from cratedig.llm.common import Recent, clear_of, crc_mod, worker_store
+from cratedig.llm.common import Recent, bounded, clear_of, crc_mod, worker_store
 
 TOXIC_SAMPLE, CLEAN_SAMPLE = 2500, 5000
 FEATURES = 1 << 18
@@ -145,8 +145,8 @@ def sample(docs: DataFrame, labels: DataFrame, held_out: int, toxic: int, clean:
     pool = docs.where(crc_mod("doc_id", held_out) != 0).select("doc_id", "text").join(marks, "doc_id")
     rows: list = []
     for value, bound in ((1, toxic), (0, clean)):
-        some = pool.where((F.col("toxic") > 0) == F.lit(value == 1)).select("text", F.xxhash64("doc_id").alias("h"), "doc_id")
-        rows += [(r["text"] or "", value) for r in some.orderBy("h", "doc_id", "text").limit(bound).collect()]
+        some = pool.where((F.col("toxic") > 0) == F.lit(value == 1)).withColumn("text", F.coalesce("text", F.lit("")))
+        rows += [(t, value) for t in bounded(some, F.xxhash64("doc_id"), "text", bound)]
     rows.sort(key=lambda r: zlib.crc32(r[0].encode("utf-8", "replace")))
     return [t for t, _ in rows], np.array([y == 1 for _, y in rows], bool)
 

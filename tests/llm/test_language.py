@@ -1,3 +1,5 @@
+import random
+
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
@@ -12,8 +14,8 @@ WORDS = {
 
 
 def text(lang, seed, n=12):
-    w = WORDS[lang]
-    return " ".join(w[(seed * 3 + i * i) % len(w)] for i in range(n))
+    rng = random.Random(f"{lang}{seed}")
+    return " ".join(rng.choice(WORDS[lang]) for _ in range(n))
 
 
 def rows(spark, extra=()):
