@@ -28,7 +28,7 @@ from cratedig.llm.common import Recent, as_bytes, shuffle_parts, worker_store
 HEAD, BODY, TAIL = "<QI", "<BqI", "<I"
 NULL_ID, WIDE = 1, 2
 #: Distinct words in each of the two generations of a Python worker's cache.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 
 INDEX = "shard int, offset long, length long, doc_id long, n_tokens long, tokens_before long, ids_crc32 long"
 
