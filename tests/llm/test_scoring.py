@@ -47,7 +47,7 @@ def test_dirty_rows_with_small_bounds(spark):
     want, n = plain([(r[0], r[1]) for r in rows])
     got = scoring.scores(data.dirty(spark), max_bits=1 << 14, frequent=3).collect()
     assert {r.train_tokens for r in got} == {n}
-    key = lambda x: (x[1], round(x[3], 6))
+    key = lambda x: (x[1], round(x[3], 6), x[0], x[2])
     have = sorted(((r.held_out, r.n_tokens, r.n_known, r.base_score) for r in got), key=key)
     for a, b in zip(have, sorted(want, key=key), strict=True):
         assert a[:3] == b[:3] and close(a[3], b[3])
