@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,7 +52,7 @@ def is_mark(token: str) -> bool:
 def laid_out(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words, and for each distinct (sentence, word) its sentence and word; the document of each sentence."""
     index: dict[str, int] = {}
-    sentence, word, owner = [], [], []
+    sentence, word, owner = array("q"), array("q"), array("q")
     for doc, text in enumerate(texts):
         owner.append(doc)
         for token in TOKEN.findall(text.lower()):
@@ -60,8 +61,9 @@ def laid_out(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.nd
             else:
                 sentence.append(len(owner) - 1)
                 word.append(index.setdefault(token, len(index)))
-    key = np.unique(np.array(sentence, np.int64) * max(1, len(index)) + np.array(word, np.int64)) if index else np.empty(0, np.int64)
-    return list(index), key // max(1, len(index)), key % max(1, len(index)), np.array(owner, np.int64)
+    size = max(1, len(index))
+    key = np.unique(np.frombuffer(sentence, np.int64) * size + np.frombuffer(word, np.int64)) if index else np.empty(0, np.int64)
+    return list(index), key // size, key % size, np.frombuffer(owner, np.int64)
 
 
 def soft_plus(z: np.ndarray) -> np.ndarray:
@@ -91,12 +93,14 @@ def fit(texts: list[str], toxic: np.ndarray, epochs: int = EPOCHS) -> Trained:
     check = np.arange(len(texts)) % 5 == 4
     learn = ~check
     # documents of either kind that hold a feature; the weights start from their log-odds
-    doc, word = np.divmod(np.unique(owner[s] * len(words) + w), len(words))
     many = np.bincount(f_word, minlength=len(words))
     first = np.cumsum(many) - many
-    inside = np.arange(many[word].sum()) - np.repeat(np.cumsum(many[word]) - many[word], many[word])
-    holds = np.unique(np.repeat(doc, many[word]) * len(used) + f[np.repeat(first[word], many[word]) + inside])
-    with_toxic, with_clean = (np.bincount((holds % len(used))[k[holds // len(used)]], minlength=len(used)) for k in (toxic & learn, ~toxic & learn))
+    with_toxic, with_clean = np.zeros(len(used), np.int64), np.zeros(len(used), np.int64)
+    bounds = np.searchsorted(owner[s], np.arange(len(texts) + 1))
+    for i in np.flatnonzero(learn):
+        own = np.unique(w[bounds[i] : bounds[i + 1]])
+        inside = np.arange(many[own].sum()) - np.repeat(np.cumsum(many[own]) - many[own], many[own])
+        (with_toxic if toxic[i] else with_clean)[np.unique(f[np.repeat(first[own], many[own]) + inside])] += 1
     n_toxic, n_clean = max(1, (toxic & learn).sum()), max(1, (~toxic & learn).sum())
     free = with_toxic + with_clean >= LEAST_DOCUMENTS
     start = np.log((with_toxic + 1) / (n_toxic + 2)) - np.log((with_clean + 1) / (n_clean + 2))
