@@ -5,7 +5,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from tests import harness
 
-SF = "/root/testdata/sf0.001"
+SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 QUERIES, CHECKS = queries(), oracle_sql()
 
 
@@ -27,6 +27,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     result, _ = harness.compare(spark, con, name, QUERIES[name], CHECKS.get(name), SF)
+    if result == "ok-EMPTY":  # nothing to compare in the smallest tables
+        result, _ = harness.compare(spark, harness.duck(LARGER), name, QUERIES[name], CHECKS[name], LARGER)
     if name in CHECKS:
         assert result == "ok", result
     else:  # these have tests of their own; here they must give rows
