@@ -164,6 +164,7 @@ def test_upsert_twice_is_once(spark):
     batch = _tracks(spark)
     once = upsert.upsert_tracks(spark.createDataFrame([], schemas.TRACKS), batch, "2024-01-01")
     twice = upsert.upsert_tracks(once, batch, "2024-01-01")
+    once, twice = (df.withColumn("metadata", F.to_json("metadata")) for df in (once, twice))
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
 
 
@@ -212,13 +213,13 @@ def test_bucketed_table(spark, tmp_path):
     assert tables.read_table(spark, path, schema).count() == 101
 
 
-def test_process_track_batch(spark):
+def test_process_track_batch(spark, tmp_path):
     from cratedig import schemas
 
     body = '[{"spotify_id":"s1","name":"Song"},{"spotify_id":"s2","name":"SONG!"},{"spotify_id":"s1","name":"Song 2"}]'
     rows = spark.createDataFrame([(1, body, "al", "ar")], "batch_id int, tracks_json string, album_id string, artist_id string")
     out = upsert.process_track_batch(
-        rows, spark.createDataFrame([], schemas.TRACKS), spark.createDataFrame([], schemas.NORMALIZED_TRACKS), "2024-01-01"
+        rows, spark.createDataFrame([], schemas.TRACKS), spark.createDataFrame([], schemas.NORMALIZED_TRACKS), "2024-01-01", str(tmp_path)
     )
     assert {r.spotify_id: r.name for r in out["tracks"].collect()} == {"s1": "Song 2", "s2": "SONG!"}
     songs = {r.normalized_name: r.representative_track_id for r in out["normalized_tracks"].collect()}
@@ -227,6 +228,16 @@ def test_process_track_batch(spark):
     assert [r.position for r in out["results"].orderBy("position").collect()] == [0, 1, 2]
 
 
+def test_only_a_missing_path_reads_as_empty(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    from cratedig.sources.tables import read_or_empty
+
+    assert read_or_empty(spark, str(tmp_path / "none"), "a int", "b int").columns == ["a", "b"]
+    with pytest.raises(AnalysisException):
+        read_or_empty(spark, str(tmp_path / "none"), "a no_such_type", "b int").count()
+
+
 # --- splits and queues ------------------------------------------------------------
 
 def test_split_keeps_every_message(spark):
