@@ -60,9 +60,14 @@ def worker_store(name: str) -> dict:
     return held[1]
 
 
-def content_key(columns: list[str]) -> Column:
-    """128 bits that depend on the values of some columns: rows with equal values have equal keys."""
-    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit("b"), *reversed(columns)).alias("b"))
+def content_key(df: DataFrame, columns: list[str]) -> Column:
+    """128 bits that depend on the values of some columns, and on which are null: rows with equal values have equal keys.
+
+    Columns that hold maps have no hash and are left out.
+    """
+    plain = [F.col(f"`{c}`") for c in columns if "map<" not in dict(df.dtypes)[c]]
+    nulls = [c.isNull() for c in plain]
+    return F.struct(F.xxhash64(*plain, *nulls).alias("a"), F.xxhash64(F.lit("b"), *nulls, *reversed(plain)).alias("b"))
 
 
 def bounded(rows: DataFrame, h: Column, value: str, most: int) -> list:

@@ -247,7 +247,7 @@ def accepted(docs: DataFrame) -> DataFrame:
     is read again for the rest and is not copied.
     """
     (key,) = clear_of(docs, "key")
-    made = content_key(["text", "lang", "source"])
+    made = content_key(docs, ["text", "lang", "source"])
     slim = docs.select(made.alias("key"), "text", *evidence_of_documents(docs))
     gone = keep(identified(slim).where("not kept").select(F.col("key").alias(key)).distinct(), "unknown-language")
     return docs.withColumn(key, made).join(gone, key, "left_anti").select(*docs.columns)

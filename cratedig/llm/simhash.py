@@ -214,7 +214,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     stays and comes more than once in the table is reduced to one by a grouping of such rows alone.
     """
     (key,) = clear_of(docs, "key")
-    content = content_key(docs.columns)
+    content = content_key(docs, docs.columns)
     given = docs.select(F.col("doc_id").alias("doc_id"), "text", content.alias("key"))
     rows = keep(with_fingerprints(given, "fp").drop("text"), "fingerprints")
     who = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"))

@@ -64,6 +64,13 @@ def test_dirty_rows(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == stay
 
 
+def test_repeated_rows_and_nulls_are_told_apart(spark):
+    rows = [(1, "a b c d", None), (1, "a b c d", None), (None, "x y z w", "q"), (None, "x y z w", "q"), (None, "q", None), (None, None, "q")]
+    docs = spark.createDataFrame(rows * 3, "doc_id bigint, text string, source string").withColumn("more", F.create_map(F.lit(1), F.lit(2)))
+    kept = simhash.one_of_each(docs).select("doc_id", "text", "source").collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, set(rows)))
+
+
 def test_empty_and_single(spark):
     assert simhash.component_ids(data.empty(spark)).count() == 0
     assert simhash.one_of_each(data.empty(spark)).count() == 0
