@@ -226,7 +226,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     several = keep(stay.where("times > 1").select(F.col("key").alias(key)), "several")
     keyed = docs.withColumn(key, content)
     once = keyed.join(several, key, "left_semi").dropDuplicates([key])
-    return keyed.join(go, key, "left_anti").unionByName(once).select(*docs.columns)
+    # the rows that go have no bound, so they are never broadcast, whatever their size here
+    return keyed.join(go.hint("merge"), key, "left_anti").unionByName(once).select(*docs.columns)
 
 
 session.ship_with_jobs(__name__)
