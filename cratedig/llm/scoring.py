@@ -1,10 +1,12 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Words and neighbouring pairs of the training texts are counted exactly. The
-filter holds each kept n-gram once for every level up to the quantised logarithm
-of its count; asking for level 1, 2, ... until a miss gives the count back, never
-too low and rarely too high. Its size is bounded (``MAX_BITS``), so it can be sent
-to every worker; when the n-grams outgrow it, the rarest pairs stay out.
+Words and neighbouring pairs of the training texts are counted exactly. A filter
+holds an n-gram once for every level up to the quantised logarithm of its count;
+asking for level 1, 2, ... until a miss gives the count back, never too low and
+rarely too high. Each shard has a region with all of its pairs, those seen once
+too; its bits grow with them. Only frequent n-grams (``OFTEN``, at most ``MAX_BITS``)
+are also in a filter that is sent to every worker. Pairs that this one doesn't hold
+are asked for at their shard, once for each block of documents.
 
 Counts travel packed: a task sends each shard one row of sorted hashes and
 counts, so the shuffle carries few rows and a shard is merged in numpy. A shard
@@ -13,7 +15,7 @@ partitions, and a hot word is one entry per task.
 
 Words are identified by 64-bit hashes. The exact unigram base score needs every
 word's count: the most frequent words (at most ``FREQUENT``) are broadcast, the rest
-are looked up at their shard.
+are looked up at their shard, with the pairs.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from cratedig.llm.common import Recent, as_bytes, crc_mod, keep, shuffle_parts,
 
 FREQUENT = 1 << 19
 MAX_BITS = 1 << 27
+#: Pairs with this share of the tokens are frequent, whatever the input's size; there can be no more than 1 / OFTEN.
+OFTEN = 2.0**-20
 BITS_PER_LEVEL = 12
 PROBES = 4
 BASE = 1.5
@@ -42,17 +46,18 @@ ADD = 0.1
 CACHED_WORDS = 300_000
 #: Tokens that a task gathers before it sends them on.
 FLUSH = 2_000_000
+#: Bytes of text whose documents ask the shards together.
+BLOCK = 6 << 20
 END = np.uint64(0x5BD1E9955BD1E995)
 HIST = 256
 
 
 @dataclass
 class Model:
-    """What workers need: totals, the frequent words, and the filter's regions one after another."""
+    """What workers need: totals, the frequent words, and the filter of frequent n-grams, its regions one after another."""
 
     tokens: int
     words: int
-    kept_share: float
     frequent: np.ndarray
     frequent_counts: np.ndarray
     least_pair_level: int
@@ -67,7 +72,32 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix(first * np.uint64(0x9E3779B97F4A7C15) + (second ^ np.uint64(0xD6E8FEB86659FD93)))
+    """48 bits, which is far more than the filter tells apart."""
+    return mix(first * np.uint64(0x9E3779B97F4A7C15) + (second ^ np.uint64(0xD6E8FEB86659FD93))) >> np.uint64(16)
+
+
+def packed(x: np.ndarray, width: int) -> bytes:
+    """Whole numbers of at most ``width`` bytes: how many, then their bytes in planes, compressed."""
+    planes = np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8).T[:width].tobytes()
+    return np.array([len(x)], "<u4").tobytes() + pa.compress(planes, codec="zstd", asbytes=True) if len(x) else b""
+
+
+def unpacked(data: bytes, width: int) -> np.ndarray:
+    size = int(np.frombuffer(data[:4], "<u4")[0]) if data else 0
+    out = np.zeros((size, 8), np.uint8)
+    if size:
+        planes = pa.decompress(data[4:], decompressed_size=width * size, codec="zstd", asbytes=True)
+        out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, size).T
+    return out.view("<u8").reshape(-1)
+
+
+def packed_pairs(x: np.ndarray) -> bytes:
+    """Pair hashes in ascending order, as differences."""
+    return packed(np.diff(x, prepend=np.uint64(0)), 6)
+
+
+def unpacked_pairs(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, 6), dtype=np.uint64)
 
 
 def shard_of(x: np.ndarray, shards: int) -> np.ndarray:
@@ -137,11 +167,26 @@ def batches_of(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 <<
 
 
 PACKED = "shard int, words binary, counts binary, pairs binary, pair_counts binary"
-COUNTED = f"{PACKED}, n_tokens long, n_words long, word_levels array<long>, pair_levels array<long>, pair_tokens array<long>"
+COUNTED = f"{PACKED}, n_tokens long, n_words long, word_levels array<long>, pair_levels array<long>, bits binary"
+
+
+def region(x: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """A filter of n-grams up to their levels, as packed bits, as large as they need."""
+    bits = np.zeros(max(64, -(-int(top.sum()) * BITS_PER_LEVEL // 64) * 64), bool)
+    put(bits, x, top)
+    return np.packbits(bits, bitorder="little")
+
+
+def put(bits: np.ndarray, x: np.ndarray, top: np.ndarray) -> None:
+    for step in range(1, int(top.max(initial=0)) + 1):
+        x, top = x[top >= step], top[top >= step]
+        for probe in range(PROBES):
+            bits[places(x, step, probe, len(bits))] = True
 
 
 def counted(docs: DataFrame, shards: int) -> DataFrame:
-    """Exact word counts and the counts of pairs seen twice or more, one row per shard, as a written table.
+    """Exact word counts, the region of all pairs (``bits``), and the counts of pairs seen twice or more, from which the
+    frequent ones are taken: one row per shard, as a written table.
 
     ``docs`` has a column ``data`` with the texts' bytes.
     """
@@ -151,7 +196,7 @@ def counted(docs: DataFrame, shards: int) -> DataFrame:
         pairs: list = []
         held = 0
 
-        def packed() -> pa.RecordBatch:
+        def gathered() -> pa.RecordBatch:
             w, wc = with_counts(np.concatenate([x for x, _ in words]), np.concatenate([c for _, c in words]))
             p, pc = with_counts(np.concatenate(pairs))
             cols = [[], [], [], [], []]
@@ -159,7 +204,7 @@ def counted(docs: DataFrame, shards: int) -> DataFrame:
             for s in range(shards):
                 a, b = wo[wb[s] : wb[s + 1]], po[pb[s] : pb[s + 1]]
                 if len(a) or len(b):
-                    for col, v in zip(cols, (s, w[a].tobytes(), wc[a].astype("<u4").tobytes(), p[b].tobytes(), pc[b].astype("<u4").tobytes())):
+                    for col, v in zip(cols, (s, w[a].tobytes(), wc[a].astype("<u4").tobytes(), packed_pairs(p[b]), packed(pc[b], 4))):
                         col.append(v)
             types = [pa.int32()] + [pa.binary()] * 4
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [c.split()[0] for c in PACKED.split(", ")])
@@ -172,26 +217,28 @@ def counted(docs: DataFrame, shards: int) -> DataFrame:
             pairs.append(pair_hash(np.concatenate([[END], h[:-1]]), h))
             held += len(ids)
             if held >= FLUSH:
-                yield packed()
+                yield gathered()
                 words, pairs, held = [], [], 0
         if held:
-            yield packed()
+            yield gathered()
 
     def merge(table: pa.Table) -> pa.Table:
         def column(name: str, kind: str) -> np.ndarray:
             return np.frombuffer(b"".join(table[name].to_pylist()), kind)
 
         w, wc = with_counts(column("words", "<u8"), column("counts", "<u4").astype(np.int64))
-        p, pc = with_counts(column("pairs", "<u8"), column("pair_counts", "<u4").astype(np.int64))
-        p, pc = p[pc > 1], pc[pc > 1]
+        pairs = [unpacked_pairs(x) for x in table["pairs"].to_pylist()]
+        times = [unpacked(x, 4) for x in table["pair_counts"].to_pylist()]
+        p, pc = with_counts(np.concatenate(pairs), np.concatenate(times).astype(np.int64))
         pl = level(pc)
+        bits = region(p, pl)
+        p, pc, pl = p[pc > 1], pc[pc > 1], pl[pc > 1]
         row = [
             table["shard"][0].as_py(), w.tobytes(), wc.astype("<u8").tobytes(), p.tobytes(), pc.astype("<u8").tobytes(), int(wc.sum()), len(w),
-            np.bincount(level(wc), minlength=HIST).tolist(), np.bincount(pl, minlength=HIST).tolist(),
-            np.bincount(pl, weights=pc, minlength=HIST).astype(np.int64).tolist(),
+            np.bincount(level(wc), minlength=HIST).tolist(), np.bincount(pl, minlength=HIST).tolist(), bits.tobytes(),
         ]
         longs = pa.list_(pa.int64())
-        types = [pa.int32()] + [pa.binary()] * 4 + [pa.int64()] * 2 + [longs] * 3
+        types = [pa.int32()] + [pa.binary()] * 4 + [pa.int64()] * 2 + [longs] * 2 + [pa.binary()]
         return pa.table([pa.array([v], t) for v, t in zip(row, types)], names=[c.split()[0] for c in COUNTED.split(", ")])
 
     return keep(docs.select("data").mapInArrow(send, PACKED).groupBy("shard").applyInArrow(merge, COUNTED), "counts")
@@ -209,12 +256,12 @@ def _level_sums(shards: DataFrame, column: str) -> np.ndarray:
 def fitted(shards: DataFrame, n_shards: int, max_bits: int = MAX_BITS, frequent: int = FREQUENT) -> Model:
     """The model from the counted shards. The driver gets totals, at most ``frequent`` words and ``max_bits`` bits."""
     n, v = shards.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
-    word_levels, pair_levels, pair_tokens = (_level_sums(shards, c) for c in ("word_levels", "pair_levels", "pair_tokens"))
+    word_levels, pair_levels = (_level_sums(shards, c) for c in ("word_levels", "pair_levels"))
     above = np.cumsum(word_levels[::-1])[::-1]
     least_frequent = int(np.argmax(above <= frequent))
     q = np.arange(HIST)
     spent = lambda least, hist: int((q * hist)[least:].sum())
-    least_pair, least_word = 2, 1
+    least_pair, least_word = max(2, int(level(np.array([max(1.0, n * OFTEN)]))[0])), 1
     while (spent(least_pair, pair_levels) + spent(least_word, word_levels)) * BITS_PER_LEVEL > max_bits and least_pair < HIST - 1:
         least_pair += 1
         if spent(least_word, word_levels) * BITS_PER_LEVEL > max_bits // 2:
@@ -239,10 +286,7 @@ def fitted(shards: DataFrame, n_shards: int, max_bits: int = MAX_BITS, frequent:
                     if len(x) == 0:
                         continue
                     top = level(c.astype(np.int64))
-                    for step in range(1, int(top.max(initial=0)) + 1):
-                        x, top = x[top >= max(step, least)], top[top >= max(step, least)]
-                        for probe in range(PROBES):
-                            bits[places(x, step, probe, region_bits)] = True
+                    put(bits, x[top >= least], top[top >= least])
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(regions), pa.int32()), pa.array([np.packbits(b, bitorder="little").tobytes() for b in regions.values()], pa.binary())],
             ["region", "bits"],
@@ -260,8 +304,7 @@ def fitted(shards: DataFrame, n_shards: int, max_bits: int = MAX_BITS, frequent:
     whole = np.zeros((REGIONS, region_bits // 8), np.uint8)
     for r in made.groupBy("region").applyInArrow(unite, "region int, bits binary").collect():
         whole[r["region"]] = np.frombuffer(r["bits"], np.uint8)
-    share = float(pair_tokens[least_pair:].sum() / n) if n else 0.0
-    return Model(n, v, share, h[order], c[order], least_pair, whole.reshape(-1), region_bits)
+    return Model(n, v, h[order], c[order], least_pair, whole.reshape(-1), region_bits)
 
 
 def places(x: np.ndarray, step: int | np.ndarray, probe: int, region_bits: int) -> np.ndarray:
@@ -269,25 +312,69 @@ def places(x: np.ndarray, step: int | np.ndarray, probe: int, region_bits: int)
     return (mix(x + np.uint64(step * 0x632BE59BD9B4E019 + probe * 0xD1342543DE82EF95 & 2**64 - 1)) % np.uint64(region_bits)).astype(np.int64)
 
 
-def levels_in(model: Model | SimpleNamespace, x: np.ndarray, n_shards: int) -> np.ndarray:
-    """The level of each n-gram: probes of rising levels until one misses."""
+def levels_at(bits: np.ndarray, region_bits: int, x: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
+    """The level of each n-gram in packed bits: probes of rising levels until one misses."""
     out = np.zeros(len(x), np.int64)
     at = np.arange(len(x))
-    start = (shard_of(x, n_shards) % REGIONS) * model.region_bits
     step = 0
     while len(at):
         step += 1
         for probe in range(PROBES):
-            bit = start[at] + places(x[at], step, probe, model.region_bits)
-            at = at[(model.filter[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
+            bit = places(x[at], step, probe, region_bits)
+            if start is not None:
+                bit += start[at]
+            at = at[(bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
         out[at] = step
         if step == HIST - 1:
             break
     return out
 
 
-DOCS = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-TAIL = "shard int, hashes binary, uids binary, times binary"
+def levels_in(model: Model | SimpleNamespace, x: np.ndarray, n_shards: int) -> np.ndarray:
+    """The level of each n-gram in the filter that every worker has."""
+    return levels_at(model.filter, model.region_bits, x, (shard_of(x, n_shards) % REGIONS) * model.region_bits)
+
+
+@dataclass
+class Asked:
+    """What a block knows by the broadcast model, and what it asks: the words and pairs in the order of their shards."""
+
+    counts: np.ndarray
+    rare: np.ndarray
+    word_at: np.ndarray
+    word_bounds: np.ndarray
+    levels: np.ndarray
+    of_token: np.ndarray
+    pair_at: np.ndarray
+    pair_bounds: np.ndarray
+    pairs: np.ndarray
+
+
+def asked(m: SimpleNamespace, known: np.ndarray, ids: np.ndarray, shards: int) -> Asked:
+    """Depends on the block and the model alone, so that answers can be put in place by asking again.
+
+    ``counts`` are of words (0 if rare), ``levels`` of the block's distinct pairs, to which ``of_token`` points.
+    """
+    at = np.minimum(np.searchsorted(m.frequent, known), max(0, len(m.frequent) - 1))
+    often = (m.frequent[at] == known) if len(m.frequent) else np.zeros(len(known), bool)
+    counts = np.where(often, m.frequent_counts[at] if len(m.frequent) else 0, 0)
+    before = np.concatenate([[len(known) - 1], ids[:-1]])
+    pairs, of_token = np.unique(pair_hash(known[before], known[ids]), return_inverse=True)
+    levels = levels_in(m, pairs, shards)
+    levels[levels < m.least_pair_level] = 0  # the filter has no such pairs
+    words, others = np.flatnonzero(~often), np.flatnonzero(levels == 0)
+    (wo, wb), (po, pb) = by_shard(known[words], shards), by_shard(pairs[others], shards)
+    return Asked(counts, ~often, words[wo], wb, levels, of_token, others[po], pb, pairs)
+
+
+BLOCKS = "block long, words binary, ids binary, lengths array<long>, doc_id array<long>, held_out array<boolean>"
+ASKED = "shard int, block long, words binary, pairs binary"
+ANSWERS = "block long, shard int, counts binary, levels binary"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
 
 def scores(docs: DataFrame, held_out: int = 10, max_bits: int = MAX_BITS, frequent: int = FREQUENT) -> DataFrame:
@@ -295,7 +382,8 @@ def scores(docs: DataFrame, held_out: int = 10, max_bits: int = MAX_BITS, freque
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Null and empty texts are the end token
     alone. A null id counts as training. Rows are scored one by one, repeated ones too; an empty table gives no rows, and
-    without training texts every word has probability one tenth of nothing's count, as the formula says.
+    without training texts every word has probability one tenth of nothing's count, as the formula says. ``max_bits`` and
+    ``frequent`` bound what is broadcast, not what is known.
     """
     spark = docs.sparkSession
     part_of = F.coalesce(crc_mod("doc_id", held_out) == 0, F.lit(False))
@@ -307,93 +395,85 @@ def scores(docs: DataFrame, held_out: int = 10, max_bits: int = MAX_BITS, freque
     n, v = model.tokens, model.words
     floor = np.log10(n + ADD * (v + 1))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        number = TaskContext.get().partitionId() << 33
+        longs = pa.list_(pa.int64())
+        types = [pa.int64(), pa.binary(), pa.binary(), longs, longs, pa.list_(pa.bool_())]
+        for part in batches_of(batches, 0, BLOCK):
+            known, ids, lengths = tokens(part.column(0).to_pylist())
+            # frequent words get small numbers; END stays the last
+            order = np.append(np.argsort(-np.bincount(ids, minlength=len(known))[:-1], kind="stable"), len(known) - 1)
+            place = np.empty(len(known), np.int64)
+            place[order] = np.arange(len(known))
+            known, ids = known[order], place[ids]
+            row = [number, known.tobytes(), packed(ids, 4), lengths.tolist(), part.column(1).to_pylist(), part.column(2).to_pylist()]
+            number += 1
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], _names(BLOCKS))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = SimpleNamespace(**sent.value)
+        types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        for batch in batches:
+            for block, words, ids in zip(*(c.to_pylist() for c in batch.columns)):
+                known = np.frombuffer(words, "<u8")
+                a = asked(m, known, unpacked(ids, 4).astype(np.int64), shards)
+                words, pairs = known[a.word_at], a.pairs[a.pair_at]
+                full = np.flatnonzero((np.diff(a.word_bounds) > 0) | (np.diff(a.pair_bounds) > 0)).tolist()
+                of_shard = lambda x, b: [x[b[s] : b[s + 1]] for s in full]  # noqa: B023, E731
+                parts = [[w.tobytes() for w in of_shard(words, a.word_bounds)], [packed_pairs(x) for x in of_shard(pairs, a.pair_bounds)]]
+                cols = [full, [block] * len(full), *parts]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], _names(ASKED))
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Counts of words and levels of pairs, block by block."""
+        cols: list[list] = [[], [], [], []]
+        if right.num_rows:
+            words, counts = (np.frombuffer(right[c][0].as_py(), "<u8") for c in ("words", "counts"))
+            bits = np.frombuffer(right["bits"][0].as_py(), np.uint8)
+        for shard, block, w, p in zip(*(left[c].to_pylist() for c in _names(ASKED))):
+            w, p = np.frombuffer(w, "<u8"), unpacked_pairs(p)
+            c, top = np.zeros(len(w), "<u8"), np.zeros(len(p), np.int64)
+            if right.num_rows:
+                if len(words):
+                    at = np.minimum(np.searchsorted(words, w), len(words) - 1)
+                    c = np.where(words[at] == w, counts[at], np.uint64(0)).astype("<u8")
+                top = levels_at(bits, 8 * len(bits), p)
+            for col, x in zip(cols, (block, shard, c.tobytes(), top.astype(np.uint8).tobytes())):
+                col.append(x)
+        types = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+        return pa.table([pa.array(c, t) for c, t in zip(cols, types)], names=_names(ANSWERS))
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
         m = SimpleNamespace(**sent.value)
         middle = level_counts()
-        names = [c.split()[0] for c in f"{DOCS}, {TAIL}".split(", ")]
-        types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-        next_uid = TaskContext.get().partitionId() << 33
-        held: list = []
-
-        def tail() -> pa.RecordBatch:
-            h, u, t = (np.concatenate(x) for x in zip(*held))
-            order, bounds = by_shard(h, shards)
-            rows = [order[bounds[s] : bounds[s + 1]] for s in range(shards)]
-            full = [s for s in range(shards) if len(rows[s])]
-            cols = [[None] * len(full)] * 7 + [full, *([x[rows[s]].tobytes() for s in full] for x in (h, u, t))]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
-
-        for part in batches_of(batches, 0, 2 << 20):
-            known, ids, lengths = tokens(part.column(0).to_pylist())
-            rows = np.repeat(np.arange(len(lengths)), lengths)
-            at = np.minimum(np.searchsorted(m.frequent, known), max(0, len(m.frequent) - 1))
-            often = (m.frequent[at] == known) if len(m.frequent) else np.zeros(len(known), bool)
-            c = np.where(often, m.frequent_counts[at] if len(m.frequent) else 0, 0)
-            logs = np.where(often, np.log10(c + ADD) - floor, 0.0)
-            n_docs = len(lengths)
-            base = np.bincount(rows, logs[ids], n_docs)
-            n_known = np.bincount(rows, often[ids], n_docs).astype(np.int64)
+        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        made = [pa.table([pa.array([], t) for t in types], names=_names(SCORES))]
+        for _, words, ids, lengths, doc_ids, held in zip(*(left[c].to_pylist() for c in _names(BLOCKS))):
+            known, ids, lengths = np.frombuffer(words, "<u8"), unpacked(ids, 4).astype(np.int64), np.array(lengths, np.int64)
+            a = asked(m, known, ids, shards)
+            for shard, c, top in zip(*(right[x].to_pylist() for x in ("shard", "counts", "levels"))):
+                a.counts[a.word_at[a.word_bounds[shard] : a.word_bounds[shard + 1]]] = np.frombuffer(c, "<u8").astype(np.int64)
+                a.levels[a.pair_at[a.pair_bounds[shard] : a.pair_bounds[shard + 1]]] = np.frombuffer(top, np.uint8)
+            rows, size = np.repeat(np.arange(len(lengths)), lengths), len(lengths)
+            base = np.bincount(rows, (np.log10(a.counts + ADD) - floor)[ids], size)
+            n_known = np.bincount(rows, (a.counts > 0)[ids], size).astype(np.int64)
             # the model: levels of words and of pairs, interpolated
-            single = middle[levels_in(m, known, shards)]
+            single = np.where(a.counts > 0, middle[level(np.maximum(a.counts, 1))], 0.0)
             own = (single + ADD) / (n + ADD * (v + 1))
             before = np.concatenate([[len(known) - 1], ids[:-1]])
-            pair = middle[levels_in(m, pair_hash(known[before], known[ids]), shards)]
-            pair = np.minimum(pair, np.minimum(single[before], single[ids]))
-            p = (pair + PRIOR * own[ids]) / (np.maximum(single[before] * m.kept_share, pair) + PRIOR)
-            total = np.bincount(rows, np.log10(p), n_docs)
-            uids = np.arange(next_uid, next_uid + n_docs)
-            next_uid += n_docs
-            none = pa.nulls(n_docs)
-            cols = [uids, part.column(1), part.column(2), lengths, n_known, base, total]
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(cols, types)), *(none.cast(t) for t in types[7:])], names)
-            rare = ~often[ids]
-            if rare.any():
-                key, times = np.unique(rows[rare] * np.int64(len(known)) + ids[rare], return_counts=True)
-                held.append((known[key % len(known)], uids[key // len(known)], times.astype("<u4")))
-                if sum(len(h[0]) for h in held) >= FLUSH:
-                    yield tail()
-                    held = []
-        if held:
-            yield tail()
-
-    made = keep(given.mapInArrow(score, f"{DOCS}, {TAIL}"), "scores")
-    per_doc = made.where("uid is not null").select(*(c.split()[0] for c in DOCS.split(", ")))
-    asked = made.where("shard is not null").select(*(c.split()[0] for c in TAIL.split(", ")))
-
-    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Sums of the rare words' terms, packed by blocks of documents."""
-        h, u, t = (np.frombuffer(b"".join(left[c].to_pylist()), k) for c, k in (("hashes", "<u8"), ("uids", "<i8"), ("times", "<u4")))
-        if len(h) == 0:
-            return pa.table([pa.array([], t) for t in (pa.int64(), pa.binary(), pa.binary(), pa.binary())], names=["block", "uids", "known", "sums"])
-        words = np.frombuffer(b"".join(right["words"].to_pylist()), "<u8")
-        counts = np.frombuffer(b"".join(right["counts"].to_pylist()), "<u8").astype(np.int64)
-        at = np.minimum(np.searchsorted(words, h), max(0, len(words) - 1))
-        c = np.where(words[at] == h, counts[at], 0) if len(words) else np.zeros(len(h), np.int64)
-        who, back = np.unique(u, return_inverse=True)
-        sums = np.bincount(back, t * (np.log10(c + ADD) - floor), len(who))
-        found = np.bincount(back, t * (c > 0), len(who)).astype("<i8")
-        block = who >> 12
-        starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        cuts = list(zip(starts, [*starts[1:], len(who)]))
-        cols = [pa.array(block[starts])] + [pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (who, found, sums)]
-        return pa.table(cols, names=["block", "uids", "known", "sums"])
-
-    def add(table: pa.Table) -> pa.Table:
-        u, k, s = (np.frombuffer(b"".join(table[c].to_pylist()), d) for c, d in (("uids", "<i8"), ("known", "<i8"), ("sums", "<f8")))
-        who, back = np.unique(u, return_inverse=True)
-        return pa.table([who, np.bincount(back, k, len(who)).astype(np.int64), np.bincount(back, s, len(who))], names=["of", "more_known", "more"])
-
-    replies = asked.groupBy("shard").cogroup(table.select("shard", "words", "counts").groupBy("shard")).applyInArrow(
-        answer, "block long, uids binary, known binary, sums binary"
-    )
-    more = replies.groupBy("block").applyInArrow(add, "of long, more_known long, more double")
-    joined = per_doc.join(more, F.col("uid") == F.col("of"), "left")
-    return joined.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score",
-    )
+            pair = np.minimum(middle[a.levels][a.of_token], np.minimum(single[before], single[ids]))
+            p = (pair + PRIOR * own[ids]) / (np.maximum(single[before], pair) + PRIOR)
+            cols = [doc_ids, held, lengths, n_known, base, np.bincount(rows, np.log10(p), size)]
+            made.append(pa.table([pa.array(c, t) for c, t in zip(cols, types)], names=_names(SCORES)))
+        return pa.concat_tables(made)
+
+    blocks = keep(given.mapInArrow(split, BLOCKS), "blocks")
+    questions = blocks.select("block", "words", "ids").mapInArrow(ask, ASKED)
+    answers = questions.groupBy("shard").cogroup(table.select("shard", "words", "counts", "bits").groupBy("shard")).applyInArrow(answer, ANSWERS)
+    made = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, SCORES)
+    return made.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 session.ship_with_jobs(__name__)

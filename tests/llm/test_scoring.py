@@ -74,3 +74,29 @@ def test_filter_never_gives_too_small_levels(spark):
     assert (scoring.levels_in(model, strangers, 512) > 0).mean() < 0.02
     middle = scoring.level_counts()
     assert middle[1] == 1 and middle[2] == 2 and all(scoring.level(np.array([1, 2, 3])) == [1, 2, 3])
+
+
+def test_what_is_known_does_not_depend_on_the_broadcast_bounds(spark):
+    """Pairs outside the broadcast filter, those seen once too, are found at their shards: the model score stays the same."""
+    docs = spark.createDataFrame([(i, data.prose(i, 150)) for i in range(80)], "doc_id bigint, text string")
+    wide = {r.doc_id: r.score for r in scoring.scores(docs).collect()}
+    for bits, words in ((1 << 16, 3), (64, 0)):
+        got = {r.doc_id: r.score for r in scoring.scores(docs, max_bits=bits, frequent=words).collect()}
+        assert sum(abs(got[i] - wide[i]) for i in wide) < 5e-3 * sum(abs(x) for x in wide.values())
+
+
+def test_pairs_seen_once_are_known(spark):
+    """'a b' was seen once in training and 'b a' never, from words of equal counts."""
+    train = [i for i in range(1000) if not data.held_out(i, 10)][:2]
+    asked = [i for i in range(1000) if data.held_out(i, 10)][:2]
+    rows = [(train[0], "x a b y"), (train[1], "y b x a z"), (asked[0], "a b"), (asked[1], "b a")]
+    got = {r.doc_id: r.score for r in scoring.scores(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[asked[0]] > got[asked[1]] + 1e-6
+
+
+def test_regions_grow_with_the_pairs():
+    small, large = (scoring.region(scoring.mix(np.arange(n, dtype=np.uint64)), np.ones(n, np.int64)) for n in (1000, 50_000))
+    assert len(large) > 45 * len(small)
+    strangers = scoring.mix(np.arange(1 << 20, (1 << 20) + 20_000, dtype=np.uint64))
+    assert (scoring.levels_at(large, 8 * len(large), scoring.mix(np.arange(50_000, dtype=np.uint64))) >= 1).all()
+    assert (scoring.levels_at(large, 8 * len(large), strangers) > 0).mean() < 0.02
