@@ -143,23 +143,54 @@ class Model:
         return best if best >= ALIKE else 0.0
 
     def judge(self, paragraph: str) -> tuple[str, float, float] | None:
-        """Family, calibrated probability and template share; None for a paragraph without a confirmed statement."""
-        tokens = words(paragraph)
+        """Family, calibrated probability and template share of the surest finding; None without a confirmed statement."""
+        found = self.findings(words(paragraph))
+        return max(found, key=lambda f: f[2])[1:] if found else None
+
+    def findings(self, tokens: list[str]) -> list[tuple[int, str, float, float]]:
+        """All confirmed statements in their order: first word, family, calibrated probability, template share.
+
+        Each template that a stretch around telling words holds is judged where it stands, at its own length; of
+        findings that cover each other by more than half the one closest to its template stays.
+        """
         if self.telling.isdisjoint(tokens):
-            return None
-        found = None
-        # a statement may stand in a long line: the classifier sees the words around each telling one
+            return []
+        near = []
         marks = [i for i, w in enumerate(tokens) if w in self.telling]
         for a, b in spans(marks, len(tokens)):
             grams = ngrams(tokens[a:b])
-            at = self.vector(grams)
+            for family, template in self.templates:
+                if len(template & grams) >= ALIKE * len(template):
+                    near += [(alike, c, d, family) for alike, c, d in places(tokens, a, b, template)]
+        kept: list[tuple[int, int, str, float, float]] = []
+        for alike, c, d, family in sorted(near, key=lambda x: (-x[0], x[1] - x[2], x[1], x[3])):
+            if any(2 * (min(d, y) - max(c, x)) > min(d - c, y - x) for x, y, *_ in kept):
+                continue
+            at = self.vector(ngrams(tokens[c:d]))
             x = self.weights[at].sum(axis=0) / np.sqrt(max(1, len(at))) + self.weights[-1]
             p = softmax(x * self.scale)
             best = int(np.argmax(p))
-            if self.families[best] != UNKNOWN and p[best] >= CERTAIN and (alike := self.confirmed(grams, self.families[best])):
-                if found is None or p[best] > found[1]:
-                    found = (self.families[best], float(p[best]), alike)
-        return found
+            if self.families[best] == family and p[best] >= CERTAIN:
+                kept.append((c, d, family, float(p[best]), alike))
+        return [(c, *rest) for c, _, *rest in sorted(kept)]
+
+
+def places(tokens: list[str], a: int, b: int, template: set[str]) -> list[tuple[float, int, int]]:
+    """Where a template stands between two words: share, first word, end; the closest places, none over another."""
+    size = sum(1 for g in template if g.count(" ") == 0)
+    size = max(size, 2 + sum(1 for g in template if g.count(" ") == 2))
+    seen = []
+    for length in (size, size + max(1, size // 4)):
+        for c in range(a, max(a, b - length) + 1):
+            d = min(b, c + length)
+            share = len(template & ngrams(tokens[c:d])) / len(template)
+            if share >= ALIKE:
+                seen.append((share, c, d))
+    out: list[tuple[float, int, int]] = []
+    for share, c, d in sorted(seen, key=lambda x: (-x[0], x[2] - x[1], x[1])):
+        if all(d <= y or c >= z for _, y, z in out):
+            out.append((share, c, d))
+    return out
 
 
 def spans(marks: list[int], size: int, reach: int = 30) -> list[tuple[int, int]]:
@@ -210,8 +241,9 @@ def with_licences(docs: DataFrame, name: str = "licences", text: str = "text") -
                 found = []
                 if any(w in low for w in telling):
                     for i, line in enumerate(low.split("\n")):
-                        if any(w in line for w in telling) and (hit := judge.judge(line)):
-                            found.append({"line": i, "family": hit[0], "probability": hit[1], "alike": hit[2]})
+                        if any(w in line for w in telling):
+                            for _, *hit in judge.findings(words(line)):
+                                found.append({"line": i, "family": hit[0], "probability": hit[1], "alike": hit[2]})
                 out.append(found)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, kind)], [*batch.schema.names[:-1], name])
 

@@ -39,3 +39,14 @@ def test_dirty_rows(spark):
     assert made.columns == [*data.dirty(spark).columns, "licences"]
     assert made.count() == len(data.dirty_rows()) and made.where("size(licences) > 0").count() == 0
     assert licences.scanned(data.empty(spark)).count() == 0
+
+
+def families(model, text):
+    return [f[1] for f in model.findings(licences.words(text))]
+
+
+def test_every_statement_of_a_line_is_found():
+    model = licences.Model([data.prose(i, 25) for i in range(300)])
+    line = "Released under the MIT License. Licensed under the Apache License, Version 2.0."
+    assert families(model, line) == ["MIT", "Apache"]
+    assert families(model, f"{line} {data.prose(2, 90)} Licensed under CC BY-NC 4.0. All rights reserved.") == ["MIT", "Apache", "CC-BY-NC", "reserved"]
