@@ -1,6 +1,7 @@
 """Licence statements: a paragraph classifier whose findings are confirmed against templates.
 
-Paragraphs are the lines of a document. Features are the word n-grams (one to
+Paragraphs are runs of lines that hold words; marks of comments are no words, so a
+statement may be wrapped. A finding's line is that of its first word. Features are the word n-grams (one to
 three words) of the templates below; a softmax regression over them tells the
 families and an unknown class apart. It is trained on altered templates and on a
 bounded sample of the corpus's own lines (``NEGATIVES``), and its certainty is
@@ -193,6 +194,21 @@ def places(tokens: list[str], a: int, b: int, template: set[str]) -> list[tuple[
     return out
 
 
+def paragraphs(text: str) -> Iterator[tuple[list[str], list[int]]]:
+    """The words of each run of lines that have some, and the number of each word's line."""
+    tokens: list[str] = []
+    lines: list[int] = []
+    for i, line in enumerate(text.split("\n")):
+        if some := words(line):
+            tokens += some
+            lines += [i] * len(some)
+        elif tokens:
+            yield tokens, lines
+            tokens, lines = [], []
+    if tokens:
+        yield tokens, lines
+
+
 def spans(marks: list[int], size: int, reach: int = 30) -> list[tuple[int, int]]:
     """Stretches of words around the marks, joined where they overlap."""
     out: list[list[int]] = []
@@ -240,10 +256,9 @@ def with_licences(docs: DataFrame, name: str = "licences", text: str = "text") -
                 low = whole.as_py().lower()
                 found = []
                 if any(w in low for w in telling):
-                    for i, line in enumerate(low.split("\n")):
-                        if any(w in line for w in telling):
-                            for _, *hit in judge.findings(words(line)):
-                                found.append({"line": i, "family": hit[0], "probability": hit[1], "alike": hit[2]})
+                    for tokens, lines in paragraphs(low):
+                        for at, *hit in judge.findings(tokens):
+                            found.append({"line": lines[at], "family": hit[0], "probability": hit[1], "alike": hit[2]})
                 out.append(found)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, kind)], [*batch.schema.names[:-1], name])
 

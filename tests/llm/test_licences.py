@@ -50,3 +50,14 @@ def test_every_statement_of_a_line_is_found():
     line = "Released under the MIT License. Licensed under the Apache License, Version 2.0."
     assert families(model, line) == ["MIT", "Apache"]
     assert families(model, f"{line} {data.prose(2, 90)} Licensed under CC BY-NC 4.0. All rights reserved.") == ["MIT", "Apache", "CC-BY-NC", "reserved"]
+
+
+def test_wrapped_statements(spark):
+    texts = [
+        "Title\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation",
+        "# x\n#\n# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions\n# are met:\n",
+        "/*\n * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 3\n */",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.families, r.first_line) for r in licences.scanned(docs).collect()}
+    assert got == {0: ("MIT", 2), 1: ("BSD", 2), 2: ("GPL", 1)}
