@@ -26,14 +26,24 @@ from pyspark.sql import DataFrame, functions as F
 from cratedig import session
 from cratedig.llm.common import bounded, clear_of
 
-# Statements by which the families are known.
+# Names with versions, statements and passages by which the families are known.
 TEMPLATES = {
     "Apache": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
+        "Apache License, Version 2.0",
         "SPDX-License-Identifier: Apache-2.0",
     ],
+    "AGPL": [
+        "GNU Affero General Public License",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
     "BSD": [
+        "BSD License",
+        "BSD 2-Clause License",
+        "BSD 3-Clause License",
+        "SPDX-License-Identifier: BSD-2-Clause",
         "Released under the BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "SPDX-License-Identifier: BSD-3-Clause",
@@ -41,17 +51,32 @@ TEMPLATES = {
     "CC-BY": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-NC": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-SA": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "CC0": ["CC0 1.0 Universal", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
+    "EPL": ["Eclipse Public License", "SPDX-License-Identifier: EPL-2.0"],
     "GPL": [
+        "GNU General Public License",
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
+    "ISC": [
+        "ISC License",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "SPDX-License-Identifier: ISC",
+    ],
+    "LGPL": [
+        "GNU Lesser General Public License",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+    ],
     "MIT": [
+        "MIT License",
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
         "SPDX-License-Identifier: MIT",
     ],
-    "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
+    "MPL": ["Mozilla Public License", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.", "SPDX-License-Identifier: Unlicense"],
     "reserved": ["All rights reserved."],
 }
 UNKNOWN = "unknown"

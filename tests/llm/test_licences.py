@@ -61,3 +61,14 @@ def test_wrapped_statements(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     got = {r.doc_id: (r.families, r.first_line) for r in licences.scanned(docs).collect()}
     assert got == {0: ("MIT", 2), 1: ("BSD", 2), 2: ("GPL", 1)}
+
+
+def test_phrasings_that_are_no_templates():
+    model = licences.Model([data.prose(i, 25) for i in range(300)])
+    for text, family in (
+        ("Licensed under the GNU General Public License, version 3.", "GPL"), ("Distributed under the terms of the GNU General Public License version 2", "GPL"),
+        ("MIT License", "MIT"), ("You may use this under the MIT license", "MIT"), ("GNU LESSER GENERAL PUBLIC LICENSE Version 2.1", "LGPL"),
+        ("covered by the GNU Affero General Public License v3", "AGPL"), ("Made available under the Eclipse Public License 2.0", "EPL"),
+        ("This package uses the ISC license", "ISC"), ("dedicated with CC0 1.0 Universal", "CC0"), ("the 3-clause BSD license applies", "BSD"),
+    ):
+        assert families(model, text) == [family], (text, families(model, text))
