@@ -21,14 +21,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cratedig import session
-from cratedig.llm.common import Recent, as_bytes, bounded, clear_of, content_key, keep, worker_store
+from cratedig.llm.common import Recent, as_bytes, clear_of, content_key, keep, worker_store
 
 SAMPLE = 1000
-#: A language needs this share of the declared rows, so there are at most 1 / LEAST_SHARE of them.
-LEAST_SHARE = 0.01
+#: A language needs so many declared rows, whatever the number of others.
+LEAST_ROWS = 5
+#: Tags of the form of an ISO 639 code can name a language; the standard has a fixed number of them.
+CODE = "^[a-z]{2,3}$"
 SLOTS = 1 << 16
 #: Trigrams of one text depend on each other; at most so many count in full.
 FULL_TRIGRAMS = 60.0
@@ -75,21 +77,28 @@ def fit(rows: list[tuple[str, str]], languages: list[str]) -> TextModel:
     return TextModel(languages, logs, float(np.mean(fits)) if fits else -20.0, float(np.std(fits)) + 0.1 if fits else 5.0)
 
 
-def declared_languages(rows: DataFrame, declared: str, least_share: float = LEAST_SHARE) -> list[str]:
-    """Declared tags with at least ``least_share`` of the tagged rows, in code point order."""
-    tagged = rows.where(F.col(declared).isNotNull())
-    total = tagged.count()
-    many = tagged.groupBy(declared).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(1, least_share * total))
+def declared_languages(rows: DataFrame, declared: str, least_rows: int = LEAST_ROWS) -> list[str]:
+    """Declared codes of at least ``least_rows`` rows, in code point order."""
+    tagged = rows.where(F.col(declared).rlike(CODE))
+    many = tagged.groupBy(declared).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_rows)
     return sorted(r[0] for r in many.select(declared).collect())
 
 
 def sample(rows: DataFrame, text: str, declared: str, languages: list[str], per_language: int = SAMPLE) -> list[tuple[str, str]]:
-    """At most ``per_language`` texts of each language, those of smallest hash."""
-    out = []
-    for language in languages:
-        some = rows.where((F.col(declared) == language) & F.col(text).isNotNull())
-        out += [(t, language) for t in bounded(some, F.xxhash64(text), text, per_language)]
-    return out
+    """At most ``per_language`` texts of each language, those of smallest hash, one for each hash, in one pass for all."""
+    if not languages:
+        return []
+    hashed = rows.where(F.col(declared).isin(languages) & F.col(text).isNotNull()).select(
+        F.col(declared).alias("of"), F.xxhash64(text).alias("h"), F.col(text).alias("t")
+    )
+    slim = hashed.select("of", "h").distinct()
+    first = slim.withColumn("n", F.row_number().over(Window.partitionBy("of").orderBy("h"))).where(F.col("n") <= per_language)
+    edges = {r["of"]: r["h"] for r in first.groupBy("of").agg(F.max("h").alias("h")).collect()}
+    edge = F.create_map(*[F.lit(x) for pair in edges.items() for x in pair]) if edges else None
+    if edge is None:
+        return []
+    some = hashed.where(F.col("h") <= edge[F.col("of")]).groupBy("of", "h").agg(F.min("t").alias("t"))
+    return [(r["t"], r["of"]) for r in some.orderBy("of", "h").collect()]
 
 
 def with_likelihoods(rows: DataFrame, model: TextModel, name: str, text: str = "text") -> DataFrame:
@@ -203,7 +212,8 @@ def decided(rows: DataFrame, model: TextModel) -> DataFrame:
 def evidence_of_documents(docs: DataFrame) -> list[Column]:
     """Documents declare a language and have a source, which stands for the host; they have no address."""
     none = F.lit(None).cast("string")
-    return [F.lower("lang").alias("declared"), none.alias("suffix"), F.lit("documents").alias("site"), F.col("source").cast("string").alias("host")]
+    code = F.regexp_extract(F.lower("lang"), "^([a-z]{2,3})[-_]", 1)  # of en-us the language
+    return [F.when(code != "", code).otherwise(F.lower("lang")).alias("declared"), none.alias("suffix"), F.lit("documents").alias("site"), F.col("source").cast("string").alias("host")]
 
 
 def evidence_of_pages(html: str = "html", url: str = "url") -> list[Column]:

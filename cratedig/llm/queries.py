@@ -144,7 +144,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("long")
     of_docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), none.alias("page_id"), "text", *language.evidence_of_documents(docs))
     of_pages = pages.select(none.alias("doc_id"), F.col("page_id").cast("long").alias("page_id"), language.page_text().alias("text"), *language.evidence_of_pages())
-    return language.identified(of_docs.unionByName(of_pages), labelled=of_docs.select("text", "declared"))
+    return language.identified(of_docs.unionByName(of_pages))
 
 
 @query("op5_licence_scan")

@@ -75,3 +75,30 @@ def test_dirty_rows(spark):
     assert 0 < kept.count() <= len(data.dirty_rows())
     assert not [r for r in kept.collect() if not data.words(r.text)]
     assert language.accepted(data.empty(spark)).count() == 0
+
+
+def test_a_rare_language_is_found_however_many_others_there_are(spark):
+    """Six rows of 2,006, declared only by some rows, are a language of their own."""
+    WORDS["cc"] = "oeghi uaqqo yioxe eijju oaxxu iuoqe".split()
+    many = [(10_000 + i, text("aa", i), "aa", "org", "site.org", "h0.site.org") for i in range(2000)]
+    few = [(20_000 + i, text("cc", i, 30), "cc", None, None, None) for i in range(6)] + [(30_000, text("cc", 99, 30), None, None, None, None)]
+    got = {r.id: r.lang for r in language.identified(rows(spark, many + few)).where("id >= 20000").collect()}
+    assert set(got.values()) == {"cc"} and len(got) == 7
+
+
+def test_tags_that_are_no_codes_are_no_languages(spark):
+    extra = [(500 + i, text("aa", i), "english", None, None, None) for i in range(30)]
+    assert language.declared_languages(rows(spark, extra), "declared") == ["aa", "bb"]
+
+
+def test_pages_declare_languages_too(spark, tmp_path):
+    """The query learns a language that no document has."""
+    from cratedig.llm import queries
+
+    WORDS["cc"] = "oeghi uaqqo yioxe eijju oaxxu iuoqe".split()
+    docs = [(i, text(x, i, 40), x, "s") for i in range(60) for x in [("aa", "bb")[i % 2]]]
+    pages = [(i, f'<html lang="cc"><p>{text("cc", i, 40)}</p></html>', f"http://h{i}.cc/") for i in range(20)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(pages, "page_id bigint, html string, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = [r.lang for r in queries.QUERIES["op7_language_id"](spark, str(tmp_path)).collect() if r.page_id is not None]
+    assert got == ["cc"] * 20
