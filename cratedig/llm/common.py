@@ -70,13 +70,35 @@ def content_key(df: DataFrame, columns: list[str]) -> Column:
     return F.struct(F.xxhash64(*plain, *nulls).alias("a"), F.xxhash64(F.lit("b"), *nulls, *reversed(plain)).alias("b"))
 
 
-def bounded(rows: DataFrame, h: Column, value: str, most: int) -> list:
-    """At most ``most`` values, those of smallest hash, one for each hash; only hashes decide, so tasks send no texts."""
-    hashed = rows.select(h.alias("h"), F.col(value).alias("v"))
-    edge = hashed.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
-    if edge is None:
-        return []
-    return [r["v"] for r in hashed.where(F.col("h") <= edge).groupBy("h").agg(F.min("v").alias("v")).orderBy("h").collect()]
+def hash_cut(rows: DataFrame, h: Column, most: int, bits: int = 12) -> int:
+    """The largest bound, as far as found, that at most ``most`` distinct hashes (long) don't exceed.
+
+    Distinct hashes are counted by their leading bits, and only the bucket at the bound is counted again by its next
+    bits: the driver gets at most ``2 ** bits`` counts at a time, no task more than its share. Below the smallest long
+    there is nothing, so a bound of that value may leave one hash.
+    """
+    hashed = rows.select(h.alias("h")).where("h is not null").distinct()
+    low, width, left = -(1 << 63), 64, most
+    while width > 0 and left > 0:
+        step = min(bits, width)
+        width -= step
+        counts = hashed.where(F.col("h").between(low, low + (1 << width + step) - 1)).groupBy(F.shiftright("h", width).alias("at")).agg(F.count(F.lit(1)).alias("n"))
+        found = {r["at"]: r["n"] for r in counts.collect()}
+        at, last = low >> width, (low >> width) + (1 << step)
+        while at < last and found.get(at, 0) <= left:
+            left -= found.get(at, 0)
+            at += 1
+        low = at << width
+        if at == last or found[at] <= max(64, most // 8) and left < most // 2:
+            break
+    return max(low - 1, -(1 << 63))
+
+
+def bounded(rows: DataFrame, h: Column, value: str, most: int, longest: int = 1 << 15) -> list:
+    """At most ``most`` values of at most ``longest`` bytes, those of smallest hash, one for each hash."""
+    hashed = rows.select(h.alias("h"), F.col(value).alias("v")).where(F.octet_length("v") <= longest)
+    few = hashed.where(F.col("h") <= hash_cut(hashed, F.col("h"), most)).groupBy("h").agg(F.min("v").alias("v"))
+    return [r["v"] for r in few.orderBy("h").collect()]
 
 
 class Recent:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cratedig import session
-from cratedig.llm import language, licences, mixing, neighbours, pieces, quality, records, scoring, simhash, toxicity
+from cratedig.llm import compression, language, licences, mixing, neighbours, pieces, quality, records, scoring, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -151,3 +151,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence statements of every document."""
     return licences.scanned(table(spark, sf_dir, "documents"))
+
+
+@query("op13_compression_quality")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, by which dictionary compresses it better."""
+    return compression.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
