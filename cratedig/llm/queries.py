@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cratedig import session
-from cratedig.llm import compression, language, licences, mixing, neighbours, pieces, quality, records, scoring, simhash, toxicity
+from cratedig.llm import compression, language, licences, mixing, neighbours, pieces, quality, records, scoring, simhash, toxicity, trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -153,6 +153,54 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scanned(table(spark, sf_dir, "documents"))
 
 
+#: crc32 of ASCII text in SQL: its table from the generating polynomial, then byte by byte.
+CRC = """
+    tab AS (
+        SELECT list(v ORDER BY b) AS tab FROM (
+            SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v
+            FROM range(256) r(b)))"""
+
+
+def crc_of(bytes_: str) -> str:
+    return f"xor(list_reduce(list_concat([4294967295], {bytes_}), lambda x, y: xor(x >> 8, tab[(xor(x, y) & 255) + 1])), 4294967295)"
+
+
+@query(
+    "op11_prefix_trie",
+    sql=f"""
+    WITH {CRC},
+    own AS (
+        SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    opened AS (SELECT *, {crc_of("list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))")} % 4 AS h FROM own, tab),
+    convs AS (
+        SELECT o.conv_id, list_concat(coalesce(b.turns, [])[1:o.h], o.turns[o.h + 1:]) AS turns
+        FROM opened o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+    spots AS (SELECT conv_id AS member, d AS depth, turns[1:d] AS prefix, d = len(turns) AS ends FROM convs, unnest(range(len(turns) + 1)) u(d)),
+    grouped AS (
+        SELECT depth, prefix, min(member) AS conv_id, count(*) AS n_convs,
+            sha256(coalesce(string_agg(CAST(member AS VARCHAR), ',' ORDER BY member) FILTER (WHERE ends), '')) AS ends_sha256
+        FROM spots GROUP BY depth, prefix),
+    parents AS (
+        SELECT g.*, p.conv_id AS parent_conv_id,
+            (g.n_convs - 1) * CASE WHEN g.depth = 0 THEN 0 ELSE len(list_filter(string_split_regex(g.prefix[-1].t, '[\x20\x09-\x0D]+'), lambda w: w <> '')) END AS saved
+        FROM grouped g LEFT JOIN grouped p ON p.depth = g.depth - 1 AND p.prefix = g.prefix[1:g.depth - 1]),
+    kids AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM parents WHERE depth > 0 GROUP BY ALL),
+    full_nodes AS (SELECT p.*, coalesce(n_children, 0) AS n_children FROM parents p LEFT JOIN kids USING (conv_id, depth)),
+    ancestors AS (
+        SELECT g.conv_id AS top, g.depth AS top_depth, s.member, s.depth FROM spots s JOIN grouped g USING (depth, prefix)),
+    sums AS (
+        SELECT a.top AS conv_id, a.top_depth AS depth, sum(v.saved) AS saved_tokens, count(*) FILTER (WHERE v.n_children = 0) AS n_leaves
+        FROM full_nodes v JOIN ancestors a ON a.member = v.conv_id AND a.depth <= v.depth GROUP BY ALL)
+    SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+    FROM full_nodes JOIN sums USING (conv_id, depth)
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of rebuilt conversations with its subtree totals."""
+    return trie.nodes(table(spark, sf_dir, "conversations"))
+
+
 @query("op13_compression_quality")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, by which dictionary compresses it better."""
