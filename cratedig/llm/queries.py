@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cratedig import session
-from cratedig.llm import compression, language, licences, mixing, neighbours, pieces, quality, records, scoring, simhash, toxicity, trie
+from cratedig.llm import compression, language, licences, mixing, neighbours, pieces, quality, records, scoring, simhash, spelling, toxicity, trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -183,7 +183,7 @@ def crc_of(bytes_: str) -> str:
         FROM spots GROUP BY depth, prefix),
     parents AS (
         SELECT g.*, p.conv_id AS parent_conv_id,
-            (g.n_convs - 1) * CASE WHEN g.depth = 0 THEN 0 ELSE len(list_filter(string_split_regex(g.prefix[-1].t, '[\x20\x09-\x0D]+'), lambda w: w <> '')) END AS saved
+            (g.n_convs - 1) * CASE WHEN g.depth = 0 THEN 0 ELSE len(list_filter(string_split_regex(g.prefix[-1].t, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) END AS saved
         FROM grouped g LEFT JOIN grouped p ON p.depth = g.depth - 1 AND p.prefix = g.prefix[1:g.depth - 1]),
     kids AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM parents WHERE depth > 0 GROUP BY ALL),
     full_nodes AS (SELECT p.*, coalesce(n_children, 0) AS n_children FROM parents p LEFT JOIN kids USING (conv_id, depth)),
@@ -201,6 +201,46 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.nodes(table(spark, sf_dir, "conversations"))
 
 
+UTF8 = "flatten(list_transform(string_split({}, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, CAST(unicode(c) AS BIGINT) - 64] END))"
+
+
+@query(
+    "op12_spelling_variants",
+    sql=f"""
+    WITH RECURSIVE {CRC},
+    runs AS (
+        SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+        FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents)
+        WHERE length(run) >= 7 GROUP BY ALL),
+    hashed AS (
+        SELECT run, n, {crc_of(UTF8.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run"))} AS h FROM runs, tab),
+    counted AS (
+        SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n) AS n
+        FROM hashed GROUP BY 1),
+    words AS (SELECT word, CAST(n AS BIGINT) AS n, length(word) AS c FROM counted WHERE n >= 2 AND length(word) >= 7),
+    shorter AS (SELECT word, n, c, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM words, unnest(range(c)) u(i)),
+    near AS (
+        SELECT a.word, b.word AS near FROM shorter a JOIN shorter b USING (c, i, rest) WHERE a.word <> b.word
+        UNION SELECT s.word, w.word FROM shorter s JOIN words w ON s.rest = w.word
+        UNION SELECT w.word, s.word FROM shorter s JOIN words w ON s.rest = w.word),
+    best AS (
+        SELECT near.word, count(*) AS n_near, max(o.n) AS top, list(near.near ORDER BY o.n DESC, encode(near.near))[1] AS form
+        FROM near JOIN words o ON o.word = near.near GROUP BY near.word),
+    formed AS (
+        SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 10 * w.n THEN form END AS form, CASE WHEN top >= 10 * w.n THEN top END AS form_n
+        FROM words w LEFT JOIN best USING (word)),
+    walk AS (
+        SELECT word, word AS at FROM formed
+        UNION ALL SELECT walk.word, formed.form FROM walk JOIN formed ON walk.at = formed.word WHERE formed.form IS NOT NULL),
+    walked AS (SELECT walk.word, at AS root FROM walk JOIN formed ON walk.at = formed.word WHERE formed.form IS NULL)
+    SELECT word, form, root, n, n_near, form_n FROM formed JOIN walked USING (word)
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words' number, usual form and root."""
+    return spelling.grouped(table(spark, sf_dir, "documents"))
+
+
 @query("op13_compression_quality")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, by which dictionary compresses it better."""
