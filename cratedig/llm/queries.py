@@ -230,9 +230,9 @@ UTF8 = "flatten(list_transform(string_split({}, ''), lambda c: CASE WHEN unicode
         SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 10 * w.n THEN form END AS form, CASE WHEN top >= 10 * w.n THEN top END AS form_n
         FROM words w LEFT JOIN best USING (word)),
     walk AS (
-        SELECT word, word AS at FROM formed
-        UNION ALL SELECT walk.word, formed.form FROM walk JOIN formed ON walk.at = formed.word WHERE formed.form IS NOT NULL),
-    walked AS (SELECT walk.word, at AS root FROM walk JOIN formed ON walk.at = formed.word WHERE formed.form IS NULL)
+        SELECT word, word AS last FROM formed
+        UNION ALL SELECT walk.word, formed.form FROM walk JOIN formed ON walk.last = formed.word WHERE formed.form IS NOT NULL),
+    walked AS (SELECT walk.word, walk.last AS root FROM walk JOIN formed ON walk.last = formed.word WHERE formed.form IS NULL)
     SELECT word, form, root, n, n_near, form_n FROM formed JOIN walked USING (word)
     """,
 )
