@@ -8,6 +8,9 @@ lower bound of its query in the cell. Survivors are computed again from the
 original vectors in double precision, and the cells' short lists are merged by
 heaps. The result is that of a full search.
 
+Rows are numbered in the order of their ids, so that equal or missing ids don't
+matter to the search and ties go to the smaller number; ids are put back at the end.
+
 A cell holds one query tile and one candidate tile, whatever the table's size.
 """
 
@@ -22,7 +25,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cratedig import session
-from cratedig.llm.common import keep
+from cratedig.llm.common import keep, numbered
 
 QUERY_TILE, TILE = 4096, 8192
 #: Query rows multiplied at a time inside a cell.
@@ -133,13 +136,14 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_i
             query_tile: int = QUERY_TILE, tile: int = TILE) -> DataFrame:
     """The k candidates of largest inner product for each query: query_id, rank, vec_id, score.
 
-    All usable rows but the query's own are candidates; vectors of another dimension are not comparable and are left
-    out of a query's list. Ties go to the smaller id. Rows without an id take no part. An id that is repeated counts
-    once, with the smallest of its vectors. A query with fewer candidates gets them all; empty tables give no rows.
+    All usable rows but the query's own are candidates, those of equal id too; vectors of another dimension are not
+    comparable and are left out of a query's list. Ties go to the smaller id, among equal ids to any row, and a null id
+    comes last. A repeated row is a query each time, with a list each time; a null id makes no query where ``is_query``
+    is null for it. A query with fewer candidates gets them all; empty tables give no rows.
     """
     double = F.col(vector).cast("array<double>").alias("v")
-    valid = rows.where(usable(vector) & F.col(vec_id).isNotNull()).select(F.col(vec_id).cast("long").alias("id"), double, is_query.alias("q"))
-    single = keep(valid.groupBy("id").agg(F.min(F.struct("v", "q")).alias("r")).select("id", "r.v", "r.q"), "vectors")
+    valid = rows.where(usable(vector)).select(F.col(vec_id).cast("long").alias("name"), double, F.coalesce(is_query, F.lit(False)).alias("q"), F.monotonically_increasing_id().alias("tie"))
+    single = keep(numbered(valid, [F.col("name").asc_nulls_last(), F.col("tie")], "id").select("id", "name", "v", "q"), "vectors")
     queries = tiles(single.where("q").select("id", "v"), query_tile)
     candidates = tiles(single.select("id", "v"), tile)
     # the grid: each query tile is sent to every candidate tile of its dimension, as far as there are any
@@ -183,7 +187,11 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_i
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 4, types)], names)
 
     found = cells.mapInArrow(search, FOUND).repartition("query_id").sortWithinPartitions("query_id")
-    return found.mapInArrow(merge, "query_id long, rank int, vec_id long, score double")
+    lists = found.mapInArrow(merge, "query_id long, rank int, vec_id long, score double")
+    names = single.select("id", "name")
+    asked = names.select(F.col("id").alias("query_id"), F.col("name").alias("query_name"))
+    lists = lists.join(asked, "query_id").join(names.withColumnRenamed("id", "vec_id"), "vec_id")
+    return lists.select(F.col("query_name").alias("query_id"), "rank", F.col("name").alias("vec_id"), "score")
 
 
 session.ship_with_jobs(__name__)

@@ -115,14 +115,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op10_block_neighbours",
     sql="""
     WITH v AS (
-        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
         WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
     pairs AS (
-        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) AS score
-        FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+        SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) AS score
+        FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.r <> c.r)
     SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM pairs
-    WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+    WINDOW best AS (PARTITION BY r ORDER BY score DESC, vec_id)
     QUALIFY rank <= 20
     """,
 )

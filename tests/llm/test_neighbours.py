@@ -14,23 +14,27 @@ def frame(spark, rows):
 
 def plain(rows, k, is_query):
     """The k best by sequential sums of doubles, ties to the smaller id."""
-    fine = {}
+    fine = []
     for i, v in rows:
-        if i is None or not v or any(x is None or not np.isfinite(x) for x in v) or not any(v):
-            continue
-        v = [float(np.float32(x)) for x in v]
-        fine[i] = min(v, fine.get(i, v))
+        if v and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            fine.append((i, [float(np.float32(x)) for x in v]))
     out = []
-    for q in (i for i in fine if is_query(i)):
+    for at, (q, mine) in enumerate(fine):
+        if q is None or not is_query(q):
+            continue
         found = []
-        for c, v in fine.items():
-            if c != q and len(v) == len(fine[q]):
+        for other, (c, v) in enumerate(fine):
+            if other != at and len(v) == len(mine):
                 s = 0.0
-                for a, b in zip(fine[q], v):
+                for a, b in zip(mine, v):
                     s += a * b
-                found.append((-s, c))
-        out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(sorted(found)[:k])]
-    return sorted(out)
+                found.append((-s, c is None, c or 0))
+        out += [(q, n + 1, None if none else c, -s) for n, (s, none, c) in enumerate(sorted(found)[:k])]
+    return ordered(out)
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: (*r[:2], r[2] is None, r[2] or 0, r[3]))
 
 
 @pytest.mark.parametrize("tile", [7, 8192])
@@ -44,7 +48,7 @@ def test_equals_full_search(spark, tile):
     rows += [(400, None), (401, []), (402, [0.0] * 16), (403, [float("nan")] * 16), (404, [float("inf")] + [1.0] * 15), (405, [None] + [1.0] * 15)]
     rows += [(None, [1.0] * 16), (20, rows[20][1]), (60, [9.0] * 16), (500, [1.0, 2.0]), (501, [2.0, 1.0]), (520, [3.0] * 3)]
     got = neighbours.nearest(frame(spark, rows), F.col("vec_id") % 20 == 0, k=5, query_tile=tile, tile=tile)
-    assert sorted(map(tuple, got.collect())) == plain(rows, 5, lambda i: i % 20 == 0)
+    assert ordered(map(tuple, got.collect())) == plain(rows, 5, lambda i: i % 20 == 0)
 
 
 def test_fewer_candidates_than_k_and_empty(spark):
@@ -62,3 +66,10 @@ def test_bounds_hold():
     near = (ac.astype(float) @ bc.astype(float).T) * asc[:, None] * bsc
     slack = ar[:, None] * bn + an[:, None] * br + ar[:, None] * br
     assert (np.abs(a @ b.T - near) <= slack + 1e-9).all()
+
+
+def test_rows_of_equal_id_are_all_candidates(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.1]), (1, [9.0, 0.0]), (2, [1.0, 1.0]), (0, [3.0, 3.0]), (None, [2.0, 0.0])]
+    got = neighbours.nearest(frame(spark, rows), F.col("vec_id") % 20 == 0)
+    assert ordered(map(tuple, got.collect())) == plain(rows, 20, lambda i: i % 20 == 0)
+    assert (0, 1, 1, 9.0) in map(tuple, got.collect())
