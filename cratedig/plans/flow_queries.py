@@ -13,7 +13,7 @@ from cratedig.plans.registry import query
 from cratedig.session import scratch
 from cratedig.sources import payloads, queue_files, tables, testbed as tb
 from cratedig.sources.testbed import CATALOG_AS_OF, EVENTS_AS_OF
-from cratedig.streaming import flows, stateful
+from cratedig.streaming import flows, linked, stateful
 
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 THEN = "TIMESTAMP '2001-08-02 00:00:00'"
@@ -424,15 +424,38 @@ def _(s, d):
     return rows.select("metric_name", "queue", "period_start", "min_value", "max_value", "avg_value", "sum_value", "count_value")
 
 
-@query("stream_dedup_ttl", "", "SELECT DISTINCT concat(event_type, ':', CAST(user_id AS VARCHAR)) AS dedup_key FROM events")
+TTL_SQL = """WITH RECURSIVE e AS (SELECT event_id, ts, concat(event_type, ':', CAST(user_id AS VARCHAR)) AS dedup_key,
+  row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) AS rn FROM events),
+r AS (SELECT event_id, dedup_key, rn, ts AS last, true AS kept FROM e WHERE rn = 1
+ UNION ALL SELECT e.event_id, e.dedup_key, e.rn, CASE WHEN e.ts >= r.last + INTERVAL 3 DAY THEN e.ts ELSE r.last END, e.ts >= r.last + INTERVAL 3 DAY
+ FROM r JOIN e ON e.dedup_key = r.dedup_key AND e.rn = r.rn + 1) SELECT event_id, dedup_key FROM r WHERE kept"""
+
+
+#: The log is given to a stream up to one of these days at a time.
+DAYS = ("2024-01-06", "2024-01-11", "2024-01-19", "2024-01-27", None)
+
+
+def _in_steps(s, d, make):
+    """Runs a query of the event stream again and again, as the log grows to each of DAYS; its checkpoint carries it on."""
+    out = scratch(s, "steps")
+    log, after = tb.table(s, d, "events"), None
+    for day in DAYS:
+        since = F.lit(True) if after is None else F.col("ts") >= after
+        log.filter(since & (F.lit(True) if day is None else F.col("ts") < day)).write.mode("append").parquet(f"{out}/log")
+        made = make(s.readStream.schema(log.schema).parquet(f"{out}/log"))
+        rows, after = flows.run_to_table(made, f"{out}/data", f"{out}/checkpoint"), day
+    return rows
+
+
+@query("stream_dedup_ttl", "", TTL_SQL)
 def _(s, d):
-    """With a TTL longer than the log every key passes once."""
-    m = _event_stream(s, d).select(
-        F.concat(F.col("event_type"), F.lit(":"), F.col("user_id").cast("string")).alias("dedup_key"), F.col("ts").alias("enqueued_at")
-    )
-    out = scratch(s, "dedup")
-    rows = flows.run_to_table(flows.stream_dedup_ttl(m, "dedup_key", "40 days"), f"{out}/data", f"{out}/checkpoint")
-    return rows.select("dedup_key")
+    """Each message that passes blocks its key for three days, over several runs of the stream."""
+
+    def passed(e):
+        m = e.select("event_id", F.col("ts").alias("enqueued_at"), F.concat(F.col("event_type"), F.lit(":"), F.col("user_id").cast("string")).alias("dedup_key"))
+        return stateful.stream_dedup_ttl(m, "dedup_key", 3 * 86400, tie="event_id")
+
+    return _in_steps(s, d, passed).select("event_id", "dedup_key")
 
 
 def _message_stream(s, d):
@@ -517,15 +540,44 @@ def _(s, d):
 
 @query("stream_idempotent_result", "", RESULT_SQL)
 def _(s, d):
-    out = scratch(s, "results")
-    return flows.run_to_table(stateful.stream_idempotent_result(_operations(_event_stream(s, d))), f"{out}/data", f"{out}/checkpoint")
+    return _in_steps(s, d, lambda e: stateful.stream_idempotent_result(_operations(e)))
 
 
-TTL_SQL = """WITH RECURSIVE e AS (SELECT event_id, ts, concat(event_type, ':', CAST(user_id AS VARCHAR)) AS dedup_key,
-  row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts, event_id) AS rn FROM events),
-r AS (SELECT event_id, dedup_key, rn, ts AS last, true AS kept FROM e WHERE rn = 1
- UNION ALL SELECT e.event_id, e.dedup_key, e.rn, CASE WHEN e.ts >= r.last + INTERVAL 3 DAY THEN e.ts ELSE r.last END, e.ts >= r.last + INTERVAL 3 DAY
- FROM r JOIN e ON e.dedup_key = r.dedup_key AND e.rn = r.rn + 1) SELECT event_id, dedup_key FROM r WHERE kept"""
+@query("stream_idempotent_resumed", "", """WITH RECURSIVE log AS (
+  SELECT concat('op', CAST(user_id AS VARCHAR), event_type) AS operation_id, event_id, ts, concat('r', CAST(event_id AS VARCHAR)) AS result FROM events
+  UNION ALL SELECT concat('op', CAST(c_custkey AS VARCHAR), 'purchase'), -1, TIMESTAMP '2023-12-30 12:00:00', concat('stored', CAST(c_custkey AS VARCHAR)) FROM customer),
+n AS (SELECT *, row_number() OVER (PARTITION BY operation_id ORDER BY ts, event_id) AS rn FROM log),
+r AS (SELECT operation_id, event_id, rn, ts AS since, result, false AS replayed FROM n WHERE rn = 1
+ UNION ALL SELECT n.operation_id, n.event_id, n.rn, CASE WHEN n.ts < r.since + INTERVAL 5 DAY THEN r.since ELSE n.ts END,
+   CASE WHEN n.ts < r.since + INTERVAL 5 DAY THEN r.result ELSE n.result END, n.ts < r.since + INTERVAL 5 DAY
+ FROM r JOIN n ON n.operation_id = r.operation_id AND n.rn = r.rn + 1)
+SELECT operation_id, event_id, result, replayed FROM r WHERE event_id >= 0""")
+def _(s, d):
+    """Results stored before the log began are replayed for five days, as are those of the log."""
+    c = F.col("c_custkey").cast("string")
+    stored = tb.table(s, d, "customer").select(
+        F.concat(F.lit("op"), c, F.lit("purchase")).alias("operation_id"), F.concat(F.lit("stored"), c).alias("result"),
+        F.expr("TIMESTAMP_NTZ '2023-12-30 12:00:00'").alias("stored_at"),
+    )
+    return _in_steps(s, d, lambda e: stateful.stream_idempotent_result(_operations(e), 5 * 86400, stored))
+
+
+@query("stream_retries", "", """WITH RECURSIVE m AS (SELECT event_id, event_type, props, ts, event_id % 6 AS failing FROM events),
+closed AS (SELECT max(ts) AS until FROM events),
+r AS (SELECT event_id, event_type, props, failing, ts AS due, 0 AS read_ct FROM m
+ UNION ALL SELECT event_id, event_type, props, failing, r.due + INTERVAL 1 HOUR * (4 ** read_ct), read_ct + 1 FROM r, closed
+ WHERE read_ct < failing AND read_ct < 4 AND r.due + INTERVAL 1 HOUR * (4 ** read_ct) <= date_trunc('milliseconds', closed.until))
+SELECT event_id AS msg_id, event_type AS queue_name, due AS attempt_at, CAST(read_ct AS INT) AS read_ct,
+  CASE WHEN read_ct >= failing THEN 'done' WHEN read_ct < 4 THEN 'retry' ELSE 'dead' END AS outcome, props AS message FROM r""")
+def _(s, d):
+    """Messages fail up to five times; each waits 1, 4, 16 and 64 hours between attempts and is dead after the fifth."""
+    fails = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: i < F.col("msg_id") % 6)
+
+    def tried(e):
+        m = e.select(F.col("event_id").alias("msg_id"), F.col("event_type").alias("queue_name"), F.col("ts").alias("enqueued_at"), F.lit(0).alias("read_ct"), F.col("props").alias("message"))
+        return stateful.stream_retries(m, fails, [3600 * 4**k for k in range(4)])
+
+    return _in_steps(s, d, tried)
 
 
 @query("dedup_ttl", "", TTL_SQL)
@@ -537,27 +589,50 @@ def _(s, d):
     return dedup.dedup_ttl(m, 3 * 86400, ts="ts", tie="event_id").select("event_id", "dedup_key")
 
 
-@query("stage_chain", "artists albums tracks track_producers producers", """SELECT p.name AS producer_name, count(DISTINCT tp.track_id) AS track_count, count(DISTINCT a.artist_id) AS artist_count,
+CHAIN_SQL = """SELECT p.name AS producer_name, count(DISTINCT tp.track_id) AS track_count, count(DISTINCT a.artist_id) AS artist_count,
   concat('https://', lower(replace(p.name, '#', '')), '.com') AS website
-  FROM producers p JOIN track_producers tp USING (producer_id) JOIN tracks t USING (track_id) JOIN albums al USING (album_id) JOIN artists a USING (artist_id) GROUP BY 1, 4""")
-def _(s, d):
-    """From artist names to linked, enriched producers through all five stages."""
-    from cratedig.operators.catalog import producer_popularity
+  FROM producers p JOIN track_producers tp USING (producer_id) JOIN tracks t USING (track_id) JOIN albums al USING (album_id) JOIN artists a USING (artist_id) GROUP BY 1, 4"""
 
-    seeds = stages.seed_artist_discovery(tb.artists(s, d).select(F.col("name").alias("artist_name")))
-    responses = {
+
+def _responses(s, d):
+    return {
         "artist_search": _artist_search(s, d),
         "album_pages": _album_pages(s, d).drop("artist_id"),
         "track_pages": _track_pages(s, d).drop("album_id"),
         "song_search": _song_search(s, d),
         "song_details": _song_details(s, d),
     }
-    got = stages.stage_chain(s, seeds, responses, CATALOG_AS_OF, scratch(s, "chain"))
+
+
+def _linked_producers(got):
+    from cratedig.operators.catalog import producer_popularity
+
     popular = producer_popularity(got["producers"], got["track_producers"], got["tracks"], got["albums"], got["artists"])
     links = got["producers"].select("producer_id", "social_links.website")
     return popular.join(links, "producer_id").select(F.col("name").alias("producer_name"), "track_count", "artist_count", "website")
 
 
+@query("stage_chain", "artists albums tracks track_producers producers", CHAIN_SQL)
+def _(s, d):
+    """From artist names to linked, enriched producers through all five stages."""
+    seeds = stages.seed_artist_discovery(tb.artists(s, d).select(F.col("name").alias("artist_name")))
+    return _linked_producers(stages.stage_chain(s, seeds, _responses(s, d), CATALOG_AS_OF, scratch(s, "chain")))
+
+
+@query("stage_chain_streams", "artists albums tracks track_producers producers", CHAIN_SQL)
+def _(s, d):
+    """The same through five streaming queries linked by queue folders; names come in two lots, the second after the chain has stopped half-way."""
+    root = scratch(s, "linked")
+    chain = linked.Chain(s, root, {k: stages.stored(v, f"{root}/responses/{k}") for k, v in _responses(s, d).items()}, CATALOG_AS_OF)
+    names = tb.artists(s, d).select(F.col("name").alias("artist_name"))
+    again = F.col("artist_name").endswith("again")
+    linked.send(s, chain.root, stages.seed_artist_discovery(names.filter(~again)), CATALOG_AS_OF)
+    linked.drain(chain, ["artist_discovery", "album_discovery"])
+    linked.send(s, chain.root, stages.seed_artist_discovery(names.filter(again)), CATALOG_AS_OF, batch=1)
+    linked.drain(chain)
+    return _linked_producers(linked.catalog(chain))
+
+
 DEAD_SQL = """g AS (SELECT event_id AS id, CAST(user_id AS VARCHAR) AS u, event_id % 4 AS q, event_id // 4 % 4 AS kind FROM events)
 SELECT CASE q WHEN 0 THEN 'artist_discovery' WHEN 1 THEN 'album_discovery' WHEN 2 THEN 'track_discovery' ELSE 'producer_identification' END AS queue_name,
   CAST(id AS VARCHAR) AS dedup_key, CASE WHEN kind = 0 THEN 'Invalid message format: message body is empty or null'
@@ -591,10 +666,8 @@ def _(s, d):
         more[queue] = tb.table(s, d, "events").filter(i % 4 == number).select(
             F.lit(queue).alias("queue_name"), i.cast("string").alias("dedup_key"), body.alias("message")
         )
-    seeds = stages.seed_artist_discovery(tb.artists(s, d).limit(0).select(F.col("name").alias("artist_name")))
-    none = {k: f(s, d).limit(0) for k, f in (("artist_search", _artist_search), ("song_search", _song_search), ("song_details", _song_details))}
-    pages = {"album_pages": _album_pages(s, d).drop("artist_id").limit(0), "track_pages": _track_pages(s, d).drop("album_id").limit(0)}
-    got = stages.stage_chain(s, seeds, none | pages, CATALOG_AS_OF, scratch(s, "chain-dead"), more)
+    seeds = stages.seed_artist_discovery(tb.artists(s, d).select(F.col("name").alias("artist_name")))
+    got = stages.stage_chain(s, seeds, _responses(s, d), CATALOG_AS_OF, scratch(s, "chain-dead"), more, with_dead=True)
     return got["dead"].select("queue_name", "dedup_key", "failure_reason")
 
 

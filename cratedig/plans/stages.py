@@ -106,10 +106,10 @@ def distinct_requests(messages: DataFrame) -> DataFrame:
     return first_of_key(messages, "dedup_key", "message")
 
 
-def refused(messages: DataFrame, queue: str, tracks: DataFrame | None = None) -> DataFrame:
-    """The messages a stage cannot work on, with the reason: queue_name, dedup_key, message, failure_reason.
+def judged(messages: DataFrame, queue: str, tracks: DataFrame | None = None) -> DataFrame:
+    """Adds ``failure_reason`` to the messages of a stage: null for those it can work on.
 
-    The stage's own step leaves exactly these out. ``tracks`` are the known ones, for the credit stage.
+    The stage's own step leaves out exactly the others. ``tracks`` are the known ones, for the credit stage.
     """
     body = F.col("message")
     empty = F.when(F.coalesce(~is_object(body), F.lit(True)), F.lit("Invalid message format: message body is empty or null"))
@@ -125,15 +125,23 @@ def refused(messages: DataFrame, queue: str, tracks: DataFrame | None = None) ->
         why = F.coalesce(missing(m["album_spotify_id"], "albumSpotifyId"), missing(m["album_id"], "albumId"))
     elif queue == "producer_identification":
         why = missing(first_of(body, "trackId", "track_id"), "trackId")
+    elif queue == "social_enrichment":
+        why = F.lit(None).cast("string")
     else:
         raise ValueError(f"no rules for {queue}")
     tagged = messages.withColumn("failure_reason", F.coalesce(empty, why))
-    out = tagged.filter(F.col("failure_reason").isNotNull())
-    if tracks is not None:
-        asked = tagged.filter(F.col("failure_reason").isNull()).withColumn("track_id", first_of(body, "trackId", "track_id"))
-        lost = asked.join(tracks.select("track_id"), "track_id", "left_anti")
-        out = out.unionByName(lost.withColumn("failure_reason", F.concat(F.lit("Track not found with ID: "), "track_id")).drop("track_id"))
-    return out.select("queue_name", "dedup_key", "message", "failure_reason")
+    if tracks is None:
+        return tagged
+    asked = tagged.withColumn("_track", first_of(body, "trackId", "track_id"))
+    known = tracks.select(F.col("track_id").alias("_track"), F.lit(True).alias("_known")).distinct()
+    lost = F.when(F.col("_known").isNull(), F.concat(F.lit("Track not found with ID: "), "_track"))
+    return asked.join(known, "_track", "left").withColumn("failure_reason", F.coalesce("failure_reason", lost)).drop("_track", "_known")
+
+
+def refused(messages: DataFrame, queue: str, tracks: DataFrame | None = None) -> DataFrame:
+    """The messages a stage cannot work on, with the reason: queue_name, dedup_key, message, failure_reason."""
+    found = judged(messages, queue, tracks).filter(F.col("failure_reason").isNotNull())
+    return found.select("queue_name", "dedup_key", "message", "failure_reason")
 
 
 def _all_but(df: DataFrame, key: str) -> list[str]:
@@ -186,7 +194,7 @@ def social_stage(messages: DataFrame, producers: DataFrame, as_of) -> DataFrame:
     )
 
 
-def _store(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str) -> DataFrame:
     """Writes a stage's table and reads it back: the next stage starts from files, not from a long lineage."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -199,11 +207,12 @@ def stage_chain(
     as_of: str,
     folder: str,
     more: dict[str, DataFrame] | None = None,
+    with_dead: bool = False,
 ) -> dict[str, DataFrame]:
     """All five stages over an empty catalog; every stage's result is a table under ``folder``.
 
     responses: artist_search, album_pages, track_pages, song_search, song_details. ``more`` adds messages from elsewhere
-    to a queue. Messages that a stage refuses are the table ``dead``.
+    to a queue. Messages that a stage refuses are the table ``dead``, if that is wanted.
     """
 
     def empty(schema: str) -> DataFrame:
@@ -216,32 +225,34 @@ def stage_chain(
 
     messages = {"artist_discovery": asked("artist_discovery", seeds)}
     found = artist_stage(messages["artist_discovery"], responses["artist_search"]).drop("name_matches")
-    artists = _store(upsert.upsert_artists(empty(schemas.ARTISTS), found, as_of), f"{folder}/artists")
+    artists = stored(upsert.upsert_artists(empty(schemas.ARTISTS), found, as_of), f"{folder}/artists")
     messages["album_discovery"] = asked("album_discovery", fan_out_artist_to_album(artists))
     found = album_stage(messages["album_discovery"], responses["album_pages"])
-    albums = _store(upsert.upsert_albums(empty(schemas.ALBUMS), found, as_of), f"{folder}/albums")
+    albums = stored(upsert.upsert_albums(empty(schemas.ALBUMS), found, as_of), f"{folder}/albums")
     messages["track_discovery"] = asked("track_discovery", fan_out_album_to_track(albums))
     found = track_stage(messages["track_discovery"], responses["track_pages"])
-    tracks = _store(upsert.upsert_tracks(empty(schemas.TRACKS), found, as_of), f"{folder}/tracks")
+    tracks = stored(upsert.upsert_tracks(empty(schemas.TRACKS), found, as_of), f"{folder}/tracks")
     messages["producer_identification"] = asked("producer_identification", fan_out_track_to_producer(tracks))
-    credits = _store(
+    credits = stored(
         producer_stage(messages["producer_identification"], tracks, responses["song_search"], responses["song_details"]),
         f"{folder}/credits",
     )
-    parts = [refused(m, queue, tracks if queue == "producer_identification" else None) for queue, m in messages.items()]
-    dead = _store(reduce(DataFrame.unionByName, parts), f"{folder}/dead")
-    named = _store(
+    made = {}
+    if with_dead:
+        parts = [refused(m, queue, tracks if queue == "producer_identification" else None) for queue, m in messages.items()]
+        made["dead"] = stored(reduce(DataFrame.unionByName, parts), f"{folder}/dead")
+    named = stored(
         upsert.upsert_producers(empty(schemas.PRODUCERS), upsert.new_producers(credits), as_of, "insert"),
         f"{folder}/new_producers",
     )
     linked = credits.join(named.select("normalized_name", "producer_id"), "normalized_name").select(
         "track_id", "producer_id", "confidence", "source", "position"
     )
-    links = _store(
+    links = stored(
         upsert.link_track_producers(empty(schemas.TRACK_PRODUCERS), linked, as_of), f"{folder}/track_producers"
     )
-    producers = _store(social_stage(fan_out_producer_to_social(named), named, as_of), f"{folder}/producers")
-    return {"artists": artists, "albums": albums, "tracks": tracks, "producers": producers, "track_producers": links, "dead": dead}
+    producers = stored(social_stage(fan_out_producer_to_social(named), named, as_of), f"{folder}/producers")
+    return {"artists": artists, "albums": albums, "tracks": tracks, "producers": producers, "track_producers": links} | made
 
 
 # --- queue contracts for streaming ------------------------------------------

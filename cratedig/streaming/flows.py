@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from cratedig.functions.bodies import parse_body
 from cratedig.operators.dedup import dedup_ttl
@@ -33,15 +33,6 @@ def stream_rollup(metrics: DataFrame, dimensions: list[str], width: str = "1 hou
     )
 
 
-def stream_dedup_ttl(messages: DataFrame, key: str, ttl: str = "24 hours", ts: str = "enqueued_at") -> DataFrame:
-    """Drops messages whose key came within the TTL; state is dropped when the TTL has passed."""
-    return (
-        messages.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, ttl)
-        .dropDuplicatesWithinWatermark([key])
-    )
-
-
 def split_outcomes(messages: DataFrame, valid: Column, error: Column, max_retries: int = 3) -> DataFrame:
     """Adds ``failure_reason``: null for messages that go on."""
     reason = F.when(~F.coalesce(valid, F.lit(False)), F.coalesce(error, F.lit("Invalid message format"))).when(
@@ -91,7 +82,7 @@ def stream_stage(stage: Stage, messages: DataFrame, out: str, checkpoint: str, a
     Per micro-batch: unwrap the bodies, check them, drop repeats within the
     batch and against earlier ones, hand the rest to the stage, and write under
     ``out``: next (messages for the next queue), dead, seen (keys) and metrics
-    (one row of counts). A batch that is run again replaces its own output.
+    (one row of counts, observed in the passes that write). A batch that is run again replaces its own output.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -102,11 +93,13 @@ def stream_stage(stage: Stage, messages: DataFrame, out: str, checkpoint: str, a
         checked = checked.withColumn("dedup_key", stage.dedup_key(F.col("body")))
         valid = F.col("body").isNotNull() & (F.size("errors") == 0)
         error = F.concat(F.lit("Invalid message format: "), F.array_join("errors", "; "))
+        received, passed, refused = Observation(), Observation(), Observation()
+        count = F.count(F.lit(1)).alias("n")
         tagged = split_outcomes(checked, valid, error, max_retries).persist()
         try:
             good = tagged.filter(F.col("failure_reason").isNull())
             seen = earlier_batches(spark, f"{out}/seen", batch_id, SEEN)
-            oldest = good.agg(F.min("enqueued_at")).first()[0]
+            oldest = tagged.observe(received, count).agg(F.min(F.when(F.col("failure_reason").isNull(), F.col("enqueued_at")))).first()[0]
             if oldest is not None:
                 seen = seen.filter(F.col("expires_at") > F.lit(oldest))
             fresh = dedup_ttl(good, stage.ttl_seconds, seen)
@@ -115,20 +108,16 @@ def stream_stage(stage: Stage, messages: DataFrame, out: str, checkpoint: str, a
                 _write(stage.handle(fresh), f"{out}/next", batch_id)
                 dead = tagged.filter(F.col("failure_reason").isNotNull()).drop("body", "errors", "dedup_key")
                 _write(
-                    dlq_add_metadata(dead, F.col("failure_reason"), as_of).drop("failure_reason"), f"{out}/dead", batch_id
+                    dlq_add_metadata(dead.observe(refused, count), F.col("failure_reason"), as_of).drop("failure_reason"), f"{out}/dead", batch_id
                 )
                 until = F.col("enqueued_at") + F.make_dt_interval(
                     F.lit(0), F.lit(0), F.lit(0), F.lit(stage.ttl_seconds).cast("decimal(18,6)")
                 )
-                keys = fresh.filter(F.col("dedup_key").isNotNull()).select(
+                keys = fresh.observe(passed, count).filter(F.col("dedup_key").isNotNull()).select(
                     "dedup_key", F.col("enqueued_at").alias("first_seen_at"), until.alias("expires_at")
                 )
                 _write(keys, f"{out}/seen", batch_id)
-                counts = tagged.agg(
-                    F.count(F.lit(1)).alias("received"),
-                    F.count(F.when(F.col("failure_reason").isNotNull(), 1)).alias("errors"),
-                ).unionByName(fresh.agg(F.count(F.lit(1)).alias("processed")), allowMissingColumns=True)
-                row = counts.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("received", "errors", "processed")])
+                row = counted(spark, received.get["n"], refused.get["n"], passed.get["n"])
                 _write(emit_batch_metric(row, stage.queue, time.time() - started), f"{out}/metrics", batch_id)
             finally:
                 fresh.unpersist()
@@ -138,6 +127,11 @@ def stream_stage(stage: Stage, messages: DataFrame, out: str, checkpoint: str, a
     return _available(messages.writeStream.foreachBatch(each), checkpoint)
 
 
+def counted(spark: SparkSession, received: int, errors: int, processed: int) -> DataFrame:
+    """The counts of a batch, as observed while it was written, as a row for ``emit_batch_metric``."""
+    return spark.createDataFrame([(received, errors, processed)], "received bigint, errors bigint, processed bigint")
+
+
 def emit_batch_metric(counts: DataFrame, queue: str, seconds: float) -> DataFrame:
     """The metric row of a batch from its counts (received, errors, processed)."""
     return counts.select(

@@ -1,11 +1,20 @@
-"""Keyed state: the first result of an operation, replayed on repeats."""
+"""Keyed state with event-time timers: repeats, first results, and failed messages on hold.
+
+All three keep one small state per key and give it up by a timer when the watermark
+passes its end, so the state follows the keys that are still open. A key's rows are
+taken in order of time inside a micro-batch, and micro-batches in the order they come:
+a source that reads oldest first makes results the same however it is cut. Rows later
+than ``lateness`` are dropped by Spark; choose it by the source's disorder.
+
+One key's rows of a micro-batch are held at once; the source's limits bound them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cratedig.functions.times import micros
@@ -13,6 +22,7 @@ from cratedig.session import ROCKSDB, ship_with_jobs
 
 ship_with_jobs(__name__)
 
+
 def ensure_rocksdb(spark: SparkSession) -> None:
     """Keyed state with several types of values needs the RocksDB store."""
     key = "spark.sql.streaming.stateStore.providerClass"
@@ -20,54 +30,127 @@ def ensure_rocksdb(spark: SparkSession) -> None:
         spark.conf.set(key, ROCKSDB)
 
 
-RESULT = "operation_id string, event_id bigint, result string, replayed boolean"
+def in_event_time(rows: DataFrame, ts: str, lateness: str) -> DataFrame:
+    """Rows with a watermark on ``ts`` and their time in microseconds as ``us``."""
+    ensure_rocksdb(rows.sparkSession)
+    return rows.withColumn(ts, F.col(ts).cast("timestamp")).withColumn("us", micros(F.col(ts))).withWatermark(ts, lateness)
 
 
-class _FirstResult(StatefulProcessor):
-    """Keeps the first result of an operation for a time."""
+def in_order(rows: Iterator[pd.DataFrame], tie: str) -> pd.DataFrame:
+    return pd.concat(list(rows)).sort_values(["us", tie], kind="stable")
 
-    def __init__(self, ttl_ms: int | None):
-        self.ttl_ms = ttl_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("kept", "result string", ttlDurationMs=self.ttl_ms)
+class _Until(StatefulProcessor):
+    """Base of states that end: ``until`` is the end in microseconds, and the timer that is set for it."""
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values(["us", "event_id"])
-        known = self.kept.exists()
-        first = self.kept.get()[0] if known else pdf["result"].iloc[0]
-        replayed = [True] * len(pdf)
-        if not known:
-            self.kept.update((first,))
-            replayed[0] = False
-        yield pdf[["operation_id", "event_id"]].assign(result=first, replayed=replayed)
+    value = "until bigint"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", self.value)
+
+    def held(self) -> tuple | None:
+        return tuple(self.state.get()) if self.state.exists() else None
+
+    def hold(self, was: tuple | None, now: tuple) -> None:
+        """Replaces the state and moves its timer; the first field is the end."""
+        if was == now:
+            return
+        if was is not None:
+            self.handle.deleteTimer(self.timer(was[0]))
+        self.handle.registerTimer(self.timer(now[0]))
+        self.state.update(now)
+
+    @staticmethod
+    def timer(us: int) -> int:
+        """Timers are in milliseconds: the first one that isn't before the end."""
+        return -(-us // 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        yield pd.DataFrame()
 
     def close(self) -> None:
         pass
 
 
-def stream_idempotent_result(operations: DataFrame, ttl_hours: float | None = None) -> DataFrame:
-    """Every operation answers with its first result; operations: operation_id, event_id, ts, result.
+class _PassOnce(_Until):
+    """A message passes if none of its key passed within the TTL before it."""
+
+    def __init__(self, ttl_us: int, tie: str, columns: list[str]):
+        self.ttl_us, self.tie, self.columns = ttl_us, tie, columns
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = in_order(rows, self.tie)
+        was = self.held()
+        until, passes = was[0] if was else None, []
+        for us in pdf["us"].tolist():
+            passes.append(until is None or us >= until)
+            if passes[-1]:
+                until = us + self.ttl_us
+        self.hold(was, (until,))
+        yield pdf[passes][self.columns]
+
+
+def stream_dedup_ttl(messages: DataFrame, key: str, ttl_seconds: int, ts: str = "enqueued_at", tie: str = "msg_id", lateness: str = "0 seconds") -> DataFrame:
+    """Messages that pass when each one that passes blocks its key for the TTL; the exact rule of ``dedup.dedup_ttl``.
+
+    The key's state is the end of its block; a timer clears it when the watermark gets there. Messages without a key
+    are not for this operator. (ts, tie) orders a key's messages.
+    """
+    columns = messages.columns
+    schema = ", ".join(f"`{c}` {'timestamp' if c == ts else t}" for c, t in messages.dtypes)
+    return in_event_time(messages, ts, lateness).groupBy(key).transformWithStateInPandas(
+        statefulProcessor=_PassOnce(ttl_seconds * 1_000_000, tie, columns), outputStructType=schema, outputMode="append", timeMode="EventTime"
+    )
+
+
+RESULT = "operation_id string, event_id bigint, result string, replayed boolean"
+
+
+class _FirstResult(_Until):
+    """Answers with the stored result until its end; then the next operation's own result is stored."""
+
+    value = "until bigint, result string"
 
-    With ``ttl_hours`` a result is forgotten so long after it was stored; such a query runs on the clock and is for
-    continuous triggers, as it doesn't end by itself. One operation's rows of a micro-batch are held at once;
-    the source's limits bound them.
+    def __init__(self, ttl_us: int):
+        self.ttl_us = ttl_us
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        us, result = max(zip(initialState["us"].tolist(), initialState["result"].tolist()))
+        self.hold(None, (us + self.ttl_us, result))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = in_order(rows, "event_id")
+        was = now = self.held()
+        results, replayed = [], []
+        for us, result in zip(pdf["us"].tolist(), pdf["result"].tolist()):
+            known = now is not None and us < now[0]
+            if not known:
+                now = (us + self.ttl_us, result)
+            results.append(now[1])
+            replayed.append(known)
+        self.hold(was, now)
+        yield pdf[["operation_id", "event_id"]].assign(result=results, replayed=replayed)
+
+
+def stream_idempotent_result(operations: DataFrame, ttl_seconds: int = 86400 * 36500, stored: DataFrame | None = None, lateness: str = "0 seconds") -> DataFrame:
+    """Every operation answers with its first result, for the TTL after it; operations: operation_id, event_id, ts, result.
+
+    ``stored`` (operation_id, result, stored_at) are results from before, one per operation (the latest counts): the stream
+    starts from them. A timer clears a result when the watermark passes its end.
     """
-    ensure_rocksdb(operations.sparkSession)
-    return (
-        operations.withColumn("us", micros(F.col("ts")))
-        .groupBy("operation_id")
-        .transformWithStateInPandas(
-            statefulProcessor=_FirstResult(None if ttl_hours is None else int(ttl_hours * 3_600_000)),
-            outputStructType=RESULT,
-            outputMode="append",
-            timeMode="none" if ttl_hours is None else "ProcessingTime",
-        )
+    initial = None
+    if stored is not None:
+        initial = stored.select("operation_id", "result", micros(F.col("stored_at")).alias("us")).groupBy("operation_id")
+    rows = in_event_time(operations.select("operation_id", "event_id", "ts", "result"), "ts", lateness)
+    return rows.groupBy("operation_id").transformWithStateInPandas(
+        statefulProcessor=_FirstResult(ttl_seconds * 1_000_000), outputStructType=RESULT, outputMode="append", timeMode="EventTime", initialState=initial
     )
 
 
 def idempotent_result(operations: DataFrame) -> DataFrame:
-    """The same over a finished log: the first result per operation is a small side, found map-side first."""
+    """The same over a finished log, without an end: the first result per operation is a small side, found map-side first."""
     order = F.struct(F.col("ts"), F.col("event_id"))
     first = operations.groupBy("operation_id").agg(
         F.min_by("result", order).alias("first_result"), F.min(order).alias("_at")
@@ -78,3 +161,61 @@ def idempotent_result(operations: DataFrame) -> DataFrame:
         F.col("first_result").alias("result"),
         (F.col("_at.event_id") != F.col("event_id")).alias("replayed"),
     )
+
+
+ATTEMPT = "msg_id bigint, queue_name string, attempt_at timestamp, read_ct int, outcome string, message string"
+
+
+class _Retry(_Until):
+    """Holds a failed message until its back-off is due; then gives it out again with one more read, or as dead."""
+
+    value = "due bigint, read_ct int, queue_name string, message string, fails array<boolean>"
+
+    def __init__(self, delays_us: list[int]):
+        self.delays_us = delays_us
+
+    def attempts(self, key, us: int, read_ct: int, queue: str, message: str, fails: list, up_to: int | None) -> list[tuple]:
+        """The attempt at a time, and those after it that are due already; holds the message if another is to come."""
+        out = []
+        while True:
+            failed = read_ct >= len(fails) or fails[read_ct] is None or bool(fails[read_ct])
+            outcome = "done" if not failed else "retry" if read_ct < len(self.delays_us) else "dead"
+            out.append((key[0], queue, us, read_ct, outcome, message))
+            if outcome != "retry":
+                self.state.clear()
+                return out
+            us, read_ct = us + self.delays_us[read_ct], read_ct + 1
+            if up_to is None or us > up_to:
+                self.handle.registerTimer(self.timer(us))
+                self.state.update((us, read_ct, queue, message, fails))
+                return out
+
+    @staticmethod
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=[c.split()[0] for c in ATTEMPT.split(", ")])
+        out["attempt_at"] = pd.to_datetime(out["attempt_at"], unit="us")
+        return out
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if self.state.exists():  # the message is on hold: given again, it is not tried twice
+            return
+        r = in_order(rows, "read_ct").iloc[0]
+        yield self.frame(self.attempts(key, int(r["us"]), int(r["read_ct"]), r["queue_name"], r["message"], [None if x is None else bool(x) for x in r["fails"]], None))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        due, read_ct, queue, message, fails = self.held()
+        yield self.frame(self.attempts(key, due, read_ct, queue, message, list(fails), timerValues.getCurrentWatermarkInMs() * 1000))
+
+
+def stream_retries(messages: DataFrame, fails: Column, delays_seconds: list[int], ts: str = "enqueued_at", lateness: str = "0 seconds") -> DataFrame:
+    """The attempts of each message: those that fail come back when their back-off is due, with ``read_ct`` one higher.
+
+    messages: msg_id, queue_name, read_ct, message and ``ts``. ``fails`` is an array of booleans: whether the attempt with
+    read_ct 0, 1, ... fails; what lies beyond it, or is null, fails. After a failure with read_ct k the message is on hold for
+    ``delays_seconds[k]``; without a delay for k it is dead. Rows of ATTEMPT: outcome ``done``, ``retry`` (fails and will come
+    back) or ``dead``. An attempt is given out when the watermark has reached it.
+    """
+    rows = in_event_time(messages, ts, lateness).select("msg_id", "queue_name", ts, "us", "read_ct", "message", fails.alias("fails"))
+    return rows.groupBy("msg_id").transformWithStateInPandas(
+        statefulProcessor=_Retry([s * 1_000_000 for s in delays_seconds]), outputStructType=ATTEMPT, outputMode="append", timeMode="EventTime"
+    )
