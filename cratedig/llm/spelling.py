@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cratedig import session
-from cratedig.llm.common import as_bytes, keep
+from cratedig.llm.common import as_bytes, keep, shuffle_parts
 
 LEAST_LETTERS, LEAST_TIMES, RATIO = 7, 2, 10
 #: A run whose hash this number divides loses a letter.
@@ -216,7 +216,8 @@ def near_pairs(words: DataFrame, grams: list[str]) -> DataFrame:
                 rows = [(*x, word, n) for word, n in zip(*(c.to_pylist() for c in part.columns)) for x in lists_of(known, word)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [c.split()[0] for c in schema.split(", ")])
 
-    on = keep(words.select("word", "n").mapInArrow(run, schema), "lists")
+    spread = words.select("word", "n").repartition(shuffle_parts(words.sparkSession), "word")  # a small table, but each word takes a while
+    on = keep(spread.mapInArrow(run, schema), "lists")
     a = on.where("not longer").select("list", "first", "last", F.col("word").alias("a"), F.col("n").alias("a_n"))
     b = on.select("list", "longer", F.col("word").alias("b"), F.col("n").alias("b_n"))
     here = F.expr("(longer OR a < b) AND substring(a, 1, last + 1) <> substring(b, 1, last + 1) AND substring(a, 1, first) = substring(b, 1, first)")
