@@ -234,8 +234,8 @@ def _(s, d):
 
 GIVEN_SQL = """given_artists AS (SELECT DISTINCT artist_id FROM artists WHERE genre = 'BUILDING'),
 given_tracks AS (SELECT track_id FROM tracks WHERE popularity >= 49),
-others AS (SELECT track_id FROM tracks JOIN albums USING (album_id) WHERE artist_id IN (SELECT artist_id FROM given_artists)
-  AND track_id NOT IN (SELECT track_id FROM given_tracks))"""
+others AS (SELECT track_id FROM tracks t JOIN albums al USING (album_id) JOIN given_artists g ON g.artist_id = al.artist_id
+  WHERE NOT EXISTS (SELECT 1 FROM given_tracks x WHERE x.track_id = t.track_id))"""
 
 
 def _given(s, d):

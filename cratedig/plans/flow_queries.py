@@ -191,18 +191,18 @@ def _stored(df, id_col):
 
 
 def _upsert_sql(view, key, col, new):
-    """Stored: rows with an even key, ids unlike the batch's, and old values. Batch: rows with a key not divisible by three."""
-    return f"""SELECT {key} AS k, concat(CASE WHEN {key} % 2 = 0 THEN 'stored-' ELSE '' END, CAST({key} AS VARCHAR)) AS {key},
+    """Batch: rows with a key not divisible by three. Stored: all others and those with an even key, with other ids and old values."""
+    return f"""SELECT {key} AS k, concat(CASE WHEN {key} % 2 = 0 OR {key} % 3 = 0 THEN 'stored-' ELSE '' END, CAST({key} AS VARCHAR)) AS {key},
       CASE WHEN {key} % 3 <> 0 THEN {new} ELSE 'old' END AS {col},
-      CASE WHEN {key} % 2 = 0 THEN TIMESTAMP '2001-01-01 00:00:00' ELSE {THEN} END AS created_at,
+      CASE WHEN {key} % 2 = 0 OR {key} % 3 = 0 THEN TIMESTAMP '2001-01-01 00:00:00' ELSE {THEN} END AS created_at,
       CASE WHEN {key} % 3 <> 0 THEN {THEN} ELSE TIMESTAMP '2001-01-02 00:00:00' END AS updated_at
-      FROM {view} WHERE {key} % 2 = 0 OR {key} % 3 <> 0"""
+      FROM {view}"""
 
 
 def _upserted(df, key, col, fn):
     rows = df.select(F.col(key).alias("k"), _sid(F.col(key)).alias("spotify_id"), F.col(key).cast("string").alias(key), F.col(col))
     other_id = F.concat(F.lit("stored-"), F.col(key))
-    stored = _stored(rows.filter(F.col("k") % 2 == 0).withColumn(col, F.lit("old")).withColumn(key, other_id), key)
+    stored = _stored(rows.filter((F.col("k") % 2 == 0) | (F.col("k") % 3 == 0)).withColumn(col, F.lit("old")).withColumn(key, other_id), key)
     batch = rows.filter(F.col("k") % 3 != 0)
     return fn(stored, batch, CATALOG_AS_OF).select("k", key, col, "created_at", "updated_at")
 
@@ -223,14 +223,14 @@ def _(s, d):
     return _upserted(tb.tracks(s, d, names=True), "track_id", "name", upsert.upsert_tracks)
 
 
-KEPT_PRODUCER = "CASE WHEN producer_id % 2 = 0 THEN concat('stored-', CAST(producer_id AS VARCHAR)) ELSE sha256(lower(name)) END AS producer_id"
+KEPT_PRODUCER = "CASE WHEN producer_id % 2 = 0 OR producer_id % 3 = 0 THEN concat('stored-', CAST(producer_id AS VARCHAR)) ELSE sha256(lower(name)) END AS producer_id"
 
 
 @query("upsert_producers", "producers", f"""SELECT lower(name) AS normalized_name, {KEPT_PRODUCER}, CASE WHEN producer_id % 3 <> 0 THEN name ELSE 'old' END AS name,
-  CASE WHEN producer_id % 3 <> 0 AND producer_id % 5 = 0 THEN concat('@', name) WHEN producer_id % 2 = 0 THEN 'oldhandle' END AS instagram_handle,
-  CASE WHEN producer_id % 2 = 0 THEN '1' END AS meta_old, CASE WHEN producer_id % 3 <> 0 THEN '2' END AS meta_new,
+  CASE WHEN producer_id % 3 <> 0 AND producer_id % 5 = 0 THEN concat('@', name) WHEN producer_id % 2 = 0 OR producer_id % 3 = 0 THEN 'oldhandle' END AS instagram_handle,
+  CASE WHEN producer_id % 2 = 0 OR producer_id % 3 = 0 THEN '1' END AS meta_old, CASE WHEN producer_id % 3 <> 0 THEN '2' END AS meta_new,
   CASE WHEN producer_id % 2 = 0 AND producer_id % 3 <> 0 AND producer_id % 5 = 0 THEN {THEN} END AS enriched_at
-  FROM producers WHERE producer_id % 2 = 0 OR producer_id % 3 <> 0""")
+  FROM producers""")
 def _(s, d):
     """Merge of given values over stored ones, with metadata keys of both."""
     out = upsert.upsert_producers(*_producer_sides(s, d), CATALOG_AS_OF)
@@ -242,7 +242,7 @@ def _(s, d):
 
 @query("upsert_producers_overwrite", "producers", f"""SELECT lower(name) AS normalized_name, {KEPT_PRODUCER}, CASE WHEN producer_id % 3 <> 0 THEN name ELSE 'old' END AS name,
   CASE WHEN producer_id % 3 = 0 THEN 'oldhandle' WHEN producer_id % 5 = 0 THEN concat('@', name) END AS instagram_handle
-  FROM producers WHERE producer_id % 2 = 0 OR producer_id % 3 <> 0""")
+  FROM producers""")
 def _(s, d):
     out = upsert.upsert_producers(*_producer_sides(s, d), CATALOG_AS_OF, "overwrite")
     return out.select("normalized_name", "producer_id", "name", "instagram_handle")
@@ -253,7 +253,7 @@ def _producer_sides(s, d):
     k, n = F.col("producer_id"), F.col("name")
     base = tb.producers(s, d)
     stored = _stored(
-        base.filter(k % 2 == 0).select(
+        base.filter((k % 2 == 0) | (k % 3 == 0)).select(
             F.concat(F.lit("stored-"), k.cast("string")).alias("producer_id"), F.lower(n).alias("normalized_name"), F.lit("old").alias("name"),
             F.lit("oldhandle").alias("instagram_handle"), F.create_map(F.lit("a"), F.lit("1")).alias("metadata"),
             F.lit(None).cast("timestamp_ntz").alias("enriched_at"),
@@ -397,6 +397,12 @@ def _(s, d):
     return s.read.schema(schemas.QUEUE_MESSAGE).json(path).select("queue_name", "msg_id", "message", "read_ct")
 
 
+@query("source_queue_oldest", "messages", """SELECT msg_id, queue_name FROM messages WHERE queue_name = 'purchase' ORDER BY msg_id LIMIT 50""")
+def _(s, d):
+    """One batch: the fifty oldest messages."""
+    return queue_files.source_queue(s, _enqueued(s, d), "purchase", 50).select("msg_id", "queue_name")
+
+
 @query("source_queue", "messages", "SELECT msg_id, queue_name, message, enqueued_at FROM messages WHERE queue_name = 'purchase'")
 def _(s, d):
     return queue_files.source_queue(s, _enqueued(s, d), "purchase").select("msg_id", "queue_name", "message", "enqueued_at")
@@ -447,6 +453,21 @@ def _in_steps(s, d, make):
     return rows
 
 
+@query("stream_quantiles", "work_metrics", """WITH e AS (SELECT date_trunc('day', max(ts) - INTERVAL 10 MINUTE) AS closed FROM work_metrics)
+SELECT metric_name, queue, date_trunc('day', ts)::TIMESTAMP AS period_start, count(*) AS count_value,
+  quantile_disc(metric_value, 0.5) AS p50, quantile_disc(metric_value, 0.95) AS p95
+  FROM work_metrics, e WHERE ts < closed GROUP BY 1, 2, 3""")
+def _(s, d):
+    """Daily percentiles of windows that the watermark has closed; windows of fewer rows than the accuracy are exact."""
+    m = _event_stream(s, d).select(
+        F.when(F.col("event_type").isin("click", "purchase"), "queue_processing").otherwise("api_call").alias("metric_name"),
+        F.col("value").alias("metric_value"), "ts", F.concat(F.lit("q"), (F.col("user_id") % 5).cast("string")).alias("queue"),
+    )
+    out = scratch(s, "quantiles")
+    rows = flows.run_to_table(flows.stream_quantiles(m, ["queue"], {"p50": 0.5, "p95": 0.95}, "1 day"), f"{out}/data", f"{out}/checkpoint")
+    return rows.select("metric_name", "queue", "period_start", "count_value", "p50", "p95")
+
+
 @query("stream_dedup_ttl", "", TTL_SQL)
 def _(s, d):
     """Each message that passes blocks its key for three days, over several runs of the stream."""

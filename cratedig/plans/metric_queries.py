@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cratedig.functions import times
 from cratedig.operators import audits, metrics, queues
 from cratedig.operators.ordered import exact_percentile
 from cratedig.plans.registry import query
-from cratedig.sources import testbed as tb
+from cratedig.sources import dated, testbed as tb
 from cratedig.sources.testbed import EVENTS_AS_OF
 
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -224,9 +226,26 @@ def _(s, d):
     return metrics.retention(tb.work_metrics(s, d), "raw_metrics", EVENTS_AS_OF).select("event_id", "metric_name", "ts")
 
 
+@query("retention_by_partition", "work_metrics", f"""SELECT event_id, metric_name, ts FROM work_metrics WHERE ts >= date_trunc('day', {NOW} - INTERVAL 14 DAY)""")
+def _(s, d):
+    """A table stored by day, whose expired days are dropped as partitions."""
+    store = dated.DatedTable(s, f"kept_metrics_{uuid.uuid4().hex}", "ts")
+    store.append(tb.work_metrics(s, d).select("event_id", "metric_name", "ts"))
+    store.expire(EVENTS_AS_OF, 14)
+    return store.read()
+
+
+@query("purge_by_partition", "work_metrics", f"""SELECT CAST(date_trunc('day', ts) AS DATE) AS day, count(*) AS dropped FROM work_metrics WHERE ts < date_trunc('day', {NOW} - INTERVAL 14 DAY) GROUP BY 1""")
+def _(s, d):
+    """Rows dropped with each expired day, counted on the dropped side alone."""
+    store = dated.DatedTable(s, f"purged_metrics_{uuid.uuid4().hex}", "ts")
+    store.append(tb.work_metrics(s, d).select("event_id", "metric_name", "ts"))
+    return store.expire(EVENTS_AS_OF, 14)
+
+
 @query("scaling_recommendations", "work_metrics messages", f"""WITH s AS ({SUMMARY_SQL}),
-reg AS (SELECT DISTINCT concat('q', CAST(user_id % 7 AS VARCHAR)) AS queue_name FROM messages),
-st AS (SELECT concat('q', CAST(user_id % 7 AS VARCHAR)) AS queue_name, count(*) AS depth FROM messages WHERE user_id % 7 <> 3 GROUP BY 1),
+st AS (SELECT concat('q', CAST(user_id % 3 * 3 AS VARCHAR)) AS queue_name, count(*) AS depth FROM messages GROUP BY 1),
+reg AS (SELECT queue_name FROM st UNION SELECT queue FROM s),
 j AS (SELECT reg.queue_name, coalesce(depth, 0) AS depth, s.*, total_processed / 240.0::DOUBLE AS rate FROM reg LEFT JOIN st USING (queue_name) LEFT JOIN s ON s.queue = reg.queue_name),
 k AS (SELECT *, CASE WHEN rate > 0 THEN depth / rate ELSE 0.0 END AS wait FROM j),
 c AS (SELECT *, CASE WHEN metrics_count IS NULL THEN 'unknown' WHEN depth = 0 THEN 'empty' WHEN wait < 1 THEN 'optimal' WHEN wait < 4 THEN 'acceptable'
@@ -244,11 +263,12 @@ SELECT queue_name, CASE kind WHEN 'empty' THEN 'optimal' ELSE kind END AS status
  CASE WHEN kind <> 'unknown' THEN concat(printf('%.1f', round(error_rate * 100, 1)), '%') END AS error_rate FROM c""")
 def _(s, d):
     named = tb.messages(s, d).withColumn(
-        "queue_name", F.concat(F.lit("q"), (F.col("user_id") % 7).cast("string"))
+        "queue_name", F.concat(F.lit("q"), (F.col("user_id") % 3 * 3).cast("string"))
     )
-    status = queues.queue_status(named.filter(F.col("user_id") % 7 != 3))
+    status = queues.queue_status(named)
     summary = metrics.queue_summary(_tagged(s, d), EVENTS_AS_OF, 240)
-    return queues.scaling_recommendations(named.select("queue_name").distinct(), status, summary, 240)
+    registry = named.select("queue_name").union(summary.select("queue")).distinct()
+    return queues.scaling_recommendations(registry, status, summary, 240)
 
 
 @query("rate_audit_fixed", "work_metrics", """SELECT queue, time_bucket(INTERVAL 1 HOUR, ts)::TIMESTAMP AS window_start, count(*) AS calls

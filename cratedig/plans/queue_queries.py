@@ -183,12 +183,12 @@ def _(s, d):
 
 
 @query("registry_left_queue_status", "messages", """SELECT r.queue_name, coalesce(n, 0) AS message_count, oldest AS oldest_message
-  FROM (SELECT DISTINCT queue_name FROM messages) r LEFT JOIN
-  (SELECT queue_name, count(*) AS n, min(enqueued_at) AS oldest FROM messages WHERE queue_name <> 'view' GROUP BY 1) USING (queue_name)""")
+  FROM (SELECT DISTINCT queue_name FROM messages UNION SELECT DISTINCT concat('unused_', queue_name) FROM messages) r LEFT JOIN
+  (SELECT queue_name, count(*) AS n, min(enqueued_at) AS oldest FROM messages GROUP BY 1) USING (queue_name)""")
 def _(s, d):
-    return queues.registry_left_queue_status(
-        tb.queue_registry(s, d), _messages(s, d).filter(F.col("queue_name") != "view")
-    )
+    registry = tb.queue_registry(s, d)
+    unused = registry.select(F.concat(F.lit("unused_"), "queue_name").alias("queue_name"))
+    return queues.registry_left_queue_status(registry.unionByName(unused), _messages(s, d))
 
 
 @query("all_queue_snapshots", "messages", f"SELECT {MSG_SQL} FROM messages ")
@@ -227,7 +227,7 @@ def _(s, d):
 
 @query("active_queue_monitoring", "messages work_metrics", f"""WITH {WORKERS_SQL}, iss1 AS (SELECT * FROM iss WHERE NOT resolved AND created_at > {NOW} - INTERVAL 1 HOUR),
 cnt AS (SELECT reg.queue_name, count(iss1.event_id) AS n FROM reg LEFT JOIN iss1 ON iss1.worker_name ILIKE concat('%', reg.queue_name, '%') GROUP BY 1),
-st AS (SELECT queue_name, count(*) AS n, min(enqueued_at) AS oldest FROM messages WHERE value > 60 OR queue_name <> 'error' GROUP BY 1),
+st AS (SELECT queue_name, count(*) AS n, min(enqueued_at) AS oldest FROM messages GROUP BY 1),
 av AS (SELECT event_type AS queue_name, avg(batch_size) AS ap, avg(error_count) AS ae FROM work_metrics JOIN events USING (event_id) WHERE work_metrics.ts > {NOW} - INTERVAL 60 HOUR GROUP BY 1)
 SELECT reg.queue_name, coalesce(st.n, 0) AS message_count, st.oldest AS oldest_message, round(ap, 6) AS avg_processed_per_batch, round(ae, 6) AS avg_errors_per_batch,
  cnt.n AS recent_issues_count, CASE WHEN coalesce(st.n, 0) = 0 THEN 'empty' WHEN st.n > 1000 THEN 'high' WHEN st.n > 100 THEN 'medium' ELSE 'normal' END AS queue_load,
@@ -236,7 +236,7 @@ SELECT reg.queue_name, coalesce(st.n, 0) AS message_count, st.oldest AS oldest_m
 FROM reg LEFT JOIN st USING (queue_name) LEFT JOIN av USING (queue_name) LEFT JOIN cnt USING (queue_name)""")
 def _(s, d):
     registry, issues = _workers(s, d)
-    m = tb.messages(s, d).filter((F.col("value") > 60) | (F.col("queue_name") != "error"))
+    m = tb.messages(s, d)
     e = F.col("event_id")
     tags = F.create_map(
         F.lit("queue"), F.col("event_type"), F.lit("processed"), (e % 20).cast("string"), F.lit("errors"), (e % 3).cast("string")

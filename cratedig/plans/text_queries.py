@@ -315,6 +315,44 @@ def _(s, d):
     )
 
 
+@query("validate_album_message", "", """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 THEN false ELSE true END AS valid FROM orders""")
+def _(s, d):
+    """Both ids must look like catalog ids where they are given; one is too short, the other has a mark in it."""
+    k = F.col("o_orderkey")
+    body = F.to_json(F.struct(
+        F.when(k % 3 == 0, F.lit("short")).otherwise(F.lpad(k.cast("string"), 22, "0")).alias("albumId"),
+        F.when(k % 5 == 0, F.lpad(F.lit("-"), 22, "0")).when(k % 2 == 0, F.lpad(F.col("o_custkey").cast("string"), 22, "0")).alias("artistId"),
+    ))
+    return tb.table(s, d, "orders").select(k, (F.size(validate.validate_stage_message(body, "album_discovery")) == 0).alias("valid"))
+
+
+@query("validate_track_message", "", """SELECT l_orderkey, l_linenumber, l_linenumber <> 3 AND l_returnflag <> 'R' AS valid FROM lineitem""")
+def _(s, d):
+    """A track id that is too long, or an album id that is a number instead of text."""
+    k = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
+    track = F.when(F.col("l_linenumber") == 3, F.lpad(k, 31, "0")).otherwise(F.lpad(k, 22, "0"))
+    text = F.to_json(F.struct(track.alias("trackId"), F.lpad(F.col("l_orderkey").cast("string"), 22, "0").alias("albumId")))
+    number = F.to_json(F.struct(track.alias("trackId"), F.col("l_orderkey").alias("albumId")))
+    body = F.when(F.col("l_returnflag") == "R", number).otherwise(text)
+    verdict = F.size(validate.validate_stage_message(body, "track_discovery")) == 0
+    return tb.table(s, d, "lineitem").select("l_orderkey", "l_linenumber", verdict.alias("valid"))
+
+
+@query("validate_credit_message", "", """SELECT p_partkey, (CASE WHEN p_partkey % 7 = 0 THEN 2 ELSE 0 END) + (CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END)
+  + (CASE WHEN p_partkey % 4 = 0 THEN 1 ELSE 0 END) AS n_errors FROM part""")
+def _(s, d):
+    """The id must be a UUID, which counts as two errors where it isn't, and all three fields must be there."""
+    k = F.col("p_partkey")
+    h = F.md5(k.cast("string"))
+    uuid = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("4"), F.substring(h, 14, 3)),
+                       F.concat(F.lit("a"), F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    body = F.to_json(F.struct(
+        F.when(k % 7 == 0, F.lit("12")).otherwise(uuid).alias("trackId"), F.when(k % 3 != 0, F.col("p_name")).alias("trackName"),
+        F.when(k % 4 != 0, F.col("p_brand")).alias("artistName"),
+    ))
+    return tb.table(s, d, "part").select(k, F.size(validate.validate_stage_message(body, "producer_identification")).alias("n_errors"))
+
+
 @query("validate_queue_message", "", """SELECT event_id, event_id % 3 = 0 AS valid, CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 2 = 0
   THEN 'Invalid album discovery message: missing or empty artistId' ELSE 'Invalid producer identification message: missing or empty trackId' END AS error FROM events""")
 def _(s, d):

@@ -11,17 +11,35 @@ from cratedig.functions.bodies import parse_body
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def source_queue(spark: SparkSession, path: str, queue: str, max_batch: int | None = None, streaming: bool = False) -> DataFrame:
-    """Messages of one queue; a stream takes at most ``max_batch`` files per step."""
+#: Messages in a file at most.
+FILE_MESSAGES = 1000
+
+
+def source_queue(
+    spark: SparkSession, path: str, queue: str, max_batch: int | None = None, streaming: bool = False,
+    archive: str | None = None, file_messages: int = FILE_MESSAGES,
+) -> DataFrame:
+    """Messages of one queue, at most ``max_batch`` of them at a time.
+
+    A batch holds the oldest by id. A stream takes as many files in a step as hold no more than ``max_batch`` messages, in
+    the order they were written, given that ``sink_enqueue`` put at most ``file_messages`` in each. With ``archive``, files
+    that a stream has done with are moved there, so that the folder doesn't grow for ever.
+    """
     where = f"{path}/queue_name={queue}"
     schema = ", ".join(f for f in schemas.QUEUE_MESSAGE.split(", ") if not f.startswith("queue_name"))
     if streaming:
         reader = spark.readStream.schema(schema).option("timestampFormat", TIME_FORMAT)
         if max_batch:
-            reader = reader.option("maxFilesPerTrigger", max_batch)
+            if max_batch < file_messages:
+                raise ValueError(f"a file may hold {file_messages} messages, more than the {max_batch} asked for at a time")
+            reader = reader.option("maxFilesPerTrigger", max_batch // file_messages)
+        if archive:
+            reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
         rows = reader.json(where)
     else:
         rows = spark.read.schema(schema).option("timestampFormat", TIME_FORMAT).json(where)
+        if max_batch:
+            rows = rows.orderBy("msg_id").limit(max_batch)
     return rows.withColumn("queue_name", F.lit(queue))
 
 
@@ -37,10 +55,10 @@ def as_messages(df: DataFrame, queue: Column, body: Column, msg_id: Column, enqu
     )
 
 
-def sink_enqueue(messages: DataFrame, path: str, files: int = 8) -> None:
-    """Appends messages to their queues, each in up to ``files`` files."""
-    salt = F.pmod(F.xxhash64("msg_id"), F.lit(files))
-    messages.repartition("queue_name", salt).write.mode("append").option("timestampFormat", TIME_FORMAT).partitionBy("queue_name").json(path)
+def sink_enqueue(messages: DataFrame, path: str, file_messages: int = FILE_MESSAGES) -> None:
+    """Appends messages to their queues in files of at most ``file_messages``, each a range of ids in order."""
+    dealt = messages.repartitionByRange("queue_name", "msg_id").sortWithinPartitions("queue_name", "msg_id")
+    dealt.write.mode("append").option("maxRecordsPerFile", file_messages).option("timestampFormat", TIME_FORMAT).partitionBy("queue_name").json(path)
 
 
 def sink_enqueue_stream(messages: DataFrame, path: str, checkpoint: str):

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from cratedig.functions.bodies import parse_body
 from cratedig.operators.dedup import dedup_ttl
-from cratedig.operators.dlq import META, dlq_add_metadata
+from cratedig.operators.dlq import dlq_add_metadata, dlq_reprocess
 from cratedig.operators.queues import at_max_retries
 from cratedig.plans.stages import Stage
 from cratedig.sources.tables import read_or_empty
@@ -33,6 +33,24 @@ def stream_rollup(metrics: DataFrame, dimensions: list[str], width: str = "1 hou
     )
 
 
+def stream_quantiles(
+    metrics: DataFrame, dimensions: list[str], quantiles: dict[str, float], width: str = "1 hour", lateness: str = "10 minutes", accuracy: int = 10_000
+) -> DataFrame:
+    """Tumbling windows with quantiles of ``metric_value``; a window is emitted once the watermark has passed it.
+
+    The state of a window is a mergeable summary of bounded size: a quantile's rank is off by at most count / accuracy, so
+    windows of fewer rows than ``accuracy`` are exact. Each quantile is a value that occurs.
+    """
+    aggs = [F.percentile_approx("metric_value", q, accuracy).alias(name) for name, q in quantiles.items()]
+    return (
+        metrics.withColumn("ts", F.col("ts").cast("timestamp"))
+        .withWatermark("ts", lateness)
+        .groupBy("metric_name", *dimensions, F.window("ts", width).alias("w"))
+        .agg(F.count(F.lit(1)).alias("count_value"), *aggs)
+        .select("metric_name", *dimensions, F.col("w.start").alias("period_start"), F.col("w.end").alias("period_end"), "count_value", *quantiles)
+    )
+
+
 def split_outcomes(messages: DataFrame, valid: Column, error: Column, max_retries: int = 3) -> DataFrame:
     """Adds ``failure_reason``: null for messages that go on."""
     reason = F.when(~F.coalesce(valid, F.lit(False)), F.coalesce(error, F.lit("Invalid message format"))).when(
@@ -64,6 +82,19 @@ def stream_dlq_split(
     return _available(messages.writeStream.foreachBatch(each), checkpoint)
 
 
+def stream_dlq_reprocess(dead: DataFrame, overrides: Callable[[], DataFrame], out: str, checkpoint: str, as_of):
+    """Starts a query that sends dead letters back to their queues, written under ``out``.
+
+    ``overrides`` gives the table of new bodies (queue_name, msg_id, new_body); it is asked for in each micro-batch, so an
+    override that was added meanwhile takes effect in the next one.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        _write(dlq_reprocess(batch, as_of, overrides()), out, batch_id)
+
+    return _available(dead.writeStream.foreachBatch(each), checkpoint)
+
+
 def _available(writer, checkpoint: str):
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

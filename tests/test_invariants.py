@@ -317,10 +317,10 @@ def test_stage_over_several_batches(spark, tmp_path):
 def test_queue_round_trip(spark, tmp_path):
     m = tb.messages(spark, SF)
     rows = queue_files.as_messages(m, F.col("queue_name"), F.col("message"), F.col("msg_id"), F.col("enqueued_at"))
-    queue_files.sink_enqueue(rows, str(tmp_path / "q"))
+    queue_files.sink_enqueue(rows, str(tmp_path / "q"), file_messages=1)
     one = queue_files.source_queue(spark, str(tmp_path / "q"), "view")
     want = rows.filter(F.col("queue_name") == "view").select(*one.columns)
     assert one.exceptAll(want).count() == 0 and want.exceptAll(one).count() == 0
-    stream = queue_files.source_queue(spark, str(tmp_path / "q"), "view", 1, streaming=True)
+    stream = queue_files.source_queue(spark, str(tmp_path / "q"), "view", 1, streaming=True, file_messages=1)
     queue_files.sink_enqueue_stream(stream, str(tmp_path / "q2"), str(tmp_path / "cp")).awaitTermination()
     assert queue_files.source_queue(spark, str(tmp_path / "q2"), "view").exceptAll(want).count() == 0

@@ -2,12 +2,15 @@
 
 import json
 import random
+import uuid
 from datetime import datetime, timedelta
 
 import pytest
 
+from cratedig.operators import dlq
 from cratedig.operators.catalog import producer_popularity
 from cratedig.plans import stages
+from cratedig.sources import dated, queue_files
 from cratedig.streaming import flows, linked, stateful
 from pyspark.sql import functions as F
 
@@ -126,7 +129,7 @@ WANT = sorted([("Everywhere", 12, 3, True), *((f"Maker {a}{b}", 2, 1, True) for
 
 def test_linked_stages_equal_the_batch_chain_after_stops_and_failures(spark, tmp_path, monkeypatch):
     bad = spark.createDataFrame(BAD, "queue_name string, dedup_key string, message string")
-    batch = stages.stage_chain(spark, seeds(spark, ["Artist 0", "Artist 1", "Artist 2"]), responses(spark), "2024-01-01", str(tmp_path / "batch"), {"artist_discovery": bad})
+    batch = stages.stage_chain(spark, seeds(spark, ["Artist 0", "Artist 1", "Artist 2"]), responses(spark), "2024-01-01", str(tmp_path / "batch"), {"artist_discovery": bad}, with_dead=True)
     assert summary(batch) == WANT
     chain = linked.Chain(spark, str(tmp_path / "linked"), responses(spark), "2024-01-01")
     assert linked.drain(chain) == 0  # no queue yet
@@ -154,3 +157,69 @@ def test_linked_stages_equal_the_batch_chain_after_stops_and_failures(spark, tmp
     assert linked.drain(chain) == 1 and summary(linked.catalog(chain)) == WANT
     counts = flows.read_batches(spark, f"{chain.root}/metrics/artist_discovery").groupBy().sum("processed", "errors", "duplicates").first()
     assert tuple(counts) == (3, 2, 2)
+
+
+# --- queues, retention, dead letters -----------------------------------------------------------------------------
+
+def messages(spark, first, n):
+    rows = [(i, "view", START + timedelta(minutes=i), None, 0, f'{{"k":{i}}}') for i in range(first, first + n)]
+    return spark.createDataFrame(rows, "msg_id bigint, queue_name string, enqueued_at timestamp, vt timestamp, read_ct int, message string")
+
+
+def test_micro_batches_hold_at_most_so_many_messages_and_files_are_archived(spark, tmp_path):
+    queue_files.sink_enqueue(messages(spark, 0, 95), str(tmp_path / "q"), file_messages=10)
+    got, sizes = [], []
+
+    def each(batch, _):
+        rows = [r.msg_id for r in batch.collect()]
+        sizes.append(len(rows))
+        got.extend(rows)
+
+    def run():
+        stream = queue_files.source_queue(spark, str(tmp_path / "q"), "view", 30, streaming=True, archive=str(tmp_path / "done"), file_messages=10)
+        stream.writeStream.foreachBatch(each).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    assert sorted(got) == list(range(95)) and max(sizes) <= 30 and len(sizes) >= 4
+    queue_files.sink_enqueue(messages(spark, 95, 5), str(tmp_path / "q"), file_messages=10)
+    run()
+    run()
+    assert sorted(got) == list(range(100))  # nothing twice, though files are gone
+    assert list((tmp_path / "done").rglob("*.json"))
+    assert [r.msg_id for r in queue_files.source_queue(spark, str(tmp_path / "q"), "view", 3).collect()] == sorted(r.msg_id for r in queue_files.source_queue(spark, str(tmp_path / "q"), "view").collect())[:3]
+    with pytest.raises(ValueError, match="a file may hold"):
+        queue_files.source_queue(spark, str(tmp_path / "q"), "view", 3, streaming=True)
+
+
+def test_expired_days_go_without_touching_other_files(spark):
+    rows = spark.createDataFrame([(i, START + i * timedelta(hours=8)) for i in range(60)], "id bigint, ts timestamp_ntz")
+    store = dated.DatedTable(spark, f"dated_{uuid.uuid4().hex}", "ts")
+    store.append(rows)
+    before = {r[0] for r in store.read().select(F.input_file_name()).distinct().collect()}
+    gone = store.expire("2024-01-15 12:00:00", 7)
+    edge = datetime(2024, 1, 8)
+    assert {r.day: r.dropped for r in gone.collect()} == {(START + i * DAY).date(): 3 for i in range(7)}
+    kept = store.read()
+    assert sorted(r.id for r in kept.collect()) == [i for i in range(60) if START + i * timedelta(hours=8) >= edge]
+    after = {r[0] for r in kept.select(F.input_file_name()).distinct().collect()}
+    assert after < before and store.expire("2024-01-15 12:00:00", 7).count() == 0
+    spark.sql(f"DROP TABLE {store.name}")
+
+
+def test_an_override_takes_effect_in_the_next_batch(spark, tmp_path):
+    schema = "msg_id bigint, queue_name string, enqueued_at timestamp_ntz, vt timestamp_ntz, read_ct int, message string"
+    dead = spark.createDataFrame([(i, "view", START, None, 4, "{bad") for i in range(4)], schema)
+    dead = dlq.dlq_add_metadata(dead, F.lit("broken"), "2024-01-02")
+    given = spark.createDataFrame([("view_dlq", 0, '{"new":0}')], "queue_name string, msg_id bigint, new_body string")
+    given.write.parquet(str(tmp_path / "overrides"))
+
+    def run(ids):
+        dead.filter(F.col("msg_id").isin(ids)).coalesce(1).write.mode("append").parquet(str(tmp_path / "dead"))
+        stream = spark.readStream.schema(dead.schema).parquet(str(tmp_path / "dead"))
+        flows.stream_dlq_reprocess(stream, lambda: spark.read.schema(given.schema).parquet(str(tmp_path / "overrides")), str(tmp_path / "out"), str(tmp_path / "cp"), "2024-01-03").awaitTermination()
+
+    run([0, 1])
+    spark.createDataFrame([("view_dlq", 2, '{"new":2}')], given.schema).write.mode("append").parquet(str(tmp_path / "overrides"))
+    run([2, 3])
+    got = {r.msg_id: (r.message, r.queue_name, r.read_ct) for r in flows.read_batches(spark, str(tmp_path / "out")).collect()}
+    assert got == {0: ('{"new":0}', "view", 0), 1: ("{bad", "view", 0), 2: ('{"new":2}', "view", 0), 3: ("{bad", "view", 0)}
