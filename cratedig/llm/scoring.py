@@ -1,21 +1,27 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Words and neighbouring pairs of the training texts are counted exactly. A filter
-holds an n-gram once for every level up to the quantised logarithm of its count;
+holds a pair once for every level up to the quantised logarithm of its count;
 asking for level 1, 2, ... until a miss gives the count back, never too low and
 rarely too high. Each shard has a region with all of its pairs, those seen once
-too; its bits grow with them. Only frequent n-grams (``OFTEN``, at most ``MAX_BITS``)
+too; its bits grow with them. Only frequent pairs (``OFTEN``, at most ``MAX_BITS``)
 are also in a filter that is sent to every worker. Pairs that this one doesn't hold
 are asked for at their shard, once for each block of documents.
 
-Counts travel packed: a task sends each shard one row of sorted hashes and
-counts, so the shuffle carries few rows and a shard is merged in numpy. A shard
-holds a bounded share of the n-grams because their number follows the input's
-partitions, and a hot word is one entry per task.
+Texts are split into words and hashed once: blocks of documents, as numbers of
+their words, are a written table from which n-grams are counted, asked for and
+scored. Counts travel packed: a task sends each shard one row of sorted hashes and
+counts, so the shuffle carries few rows and a shard is merged in numpy. The number
+of shards follows the number of tokens, so a shard holds a bounded share of the
+n-grams, and a hot word is one entry per task.
 
 Words are identified by 64-bit hashes. The exact unigram base score needs every
-word's count: the most frequent words (at most ``FREQUENT``) are broadcast, the rest
-are looked up at their shard, with the pairs.
+word's count, so words need no filter: the counts of the most frequent (at most
+``FREQUENT``) are broadcast, the others come from their shard with the answers. The
+model takes the quantised logarithm of these counts too.
+
+How much a pair weighs against its second word alone (``PRIORS``) is fitted: each
+training document is scored as if it hadn't been counted, and the best weight taken.
 """
 
 from __future__ import annotations
@@ -30,7 +36,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, functions as F
 
 from cratedig import session
-from cratedig.llm.common import Recent, as_bytes, crc_mod, keep, shuffle_parts, worker_store
+from cratedig.llm.common import as_bytes, crc_mod, keep
 
 FREQUENT = 1 << 19
 MAX_BITS = 1 << 27
@@ -40,21 +46,24 @@ BITS_PER_LEVEL = 12
 PROBES = 4
 BASE = 1.5
 REGIONS = 256
-#: Weight of the word's own probability, as a count of the pair's first word.
-PRIOR = 300.0
+#: Weights of the word's own probability, as counts of the pair's first word, from which one is chosen.
+PRIORS = (3.0, 10.0, 30.0, 100.0, 300.0, 1000.0)
+#: Tokens for each shard, at most about: what is asked is a row for each block and shard, so shards should be few.
+SHARD_TOKENS = 2_000_000
 ADD = 0.1
-CACHED_WORDS = 300_000
 #: Tokens that a task gathers before it sends them on.
-FLUSH = 2_000_000
+FLUSH = 1_500_000
 #: Bytes of text whose documents ask the shards together.
-BLOCK = 6 << 20
+BLOCK = 5 << 20
+#: Tokens whose scores are computed together.
+STEP = 1 << 18
 END = np.uint64(0x5BD1E9955BD1E995)
 HIST = 256
 
 
 @dataclass
 class Model:
-    """What workers need: totals, the frequent words, and the filter of frequent n-grams, its regions one after another."""
+    """What workers need: totals, the frequent words, and the filter of frequent pairs, its regions one after another."""
 
     tokens: int
     words: int
@@ -72,8 +81,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """48 bits, which is far more than the filter tells apart."""
-    return mix(first * np.uint64(0x9E3779B97F4A7C15) + (second ^ np.uint64(0xD6E8FEB86659FD93))) >> np.uint64(16)
+    """44 bits, which is more than the filter tells apart."""
+    return mix(first * np.uint64(0x9E3779B97F4A7C15) + (second ^ np.uint64(0xD6E8FEB86659FD93))) >> np.uint64(20)
 
 
 def packed(x: np.ndarray, width: int) -> bytes:
@@ -127,17 +136,14 @@ def hashes(words: list[bytes]) -> list[int]:
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct word hashes of some texts, the tokens as indexes into them (each text ends with END), and text lengths."""
     split = [t.lower().split() for t in texts]
-    store = worker_store("scoring")
-    cache = store.setdefault("hashes", Recent(CACHED_WORDS))
     distinct = list(set().union(*split))
-    known = cache.ensure(distinct, hashes)
     index = {w: i for i, w in enumerate(distinct)}
     lengths = np.fromiter((len(s) + 1 for s in split), np.int64, len(split))
     ids = np.full(int(lengths.sum()), len(distinct), np.int64)
     inner = np.ones(len(ids), bool)
     inner[np.cumsum(lengths) - 1] = False
     ids[inner] = np.fromiter((index[w] for s in split for w in s), np.int64, int(inner.sum()))
-    return np.append(np.fromiter(map(known.__getitem__, distinct), np.uint64, len(distinct)), END), ids, lengths
+    return np.append(np.array(hashes(distinct), np.uint64), END), ids, lengths
 
 
 def with_counts(x: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -184,11 +190,11 @@ def put(bits: np.ndarray, x: np.ndarray, top: np.ndarray) -> None:
             bits[places(x, step, probe, len(bits))] = True
 
 
-def counted(docs: DataFrame, shards: int) -> DataFrame:
+def counted(blocks: DataFrame, shards: int) -> DataFrame:
     """Exact word counts, the region of all pairs (``bits``), and the counts of pairs seen twice or more, from which the
     frequent ones are taken: one row per shard, as a written table.
 
-    ``docs`` has a column ``data`` with the texts' bytes.
+    ``blocks`` are those of BLOCKS; documents that are held out are not counted.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,16 +215,22 @@ def counted(docs: DataFrame, shards: int) -> DataFrame:
             types = [pa.int32()] + [pa.binary()] * 4
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [c.split()[0] for c in PACKED.split(", ")])
 
-        for part in batches_of(batches, 0):
-            known, ids, _ = tokens(part.column(0).to_pylist())
-            words.append((known, np.bincount(ids, minlength=len(known))))
-            words[-1] = (known[words[-1][1] > 0], words[-1][1][words[-1][1] > 0])
-            h = known[ids]
-            pairs.append(pair_hash(np.concatenate([[END], h[:-1]]), h))
-            held += len(ids)
-            if held >= FLUSH:
-                yield gathered()
-                words, pairs, held = [], [], 0
+        for batch in batches:
+            for block_words, block_ids, lengths, out in zip(*batch.columns):
+                lengths, out = lengths.as_py(), out.as_py()
+                known, ids = np.frombuffer(block_words.as_buffer(), "<u8"), unpacked(block_ids.as_py(), 4).astype(np.int64)
+                train = np.repeat(~np.array(out, bool), lengths)
+                if not train.any():
+                    continue
+                n = np.bincount(ids[train], minlength=len(known))
+                words.append((known[n > 0], n[n > 0]))
+                h = known[ids]
+                pairs.append(pair_hash(np.concatenate([[END], h[:-1]]), h)[train])
+                held += len(pairs[-1])
+                if held >= FLUSH:
+                    yield gathered()
+                    words, pairs, held = [], [], 0
+                    pa.default_memory_pool().release_unused()
         if held:
             yield gathered()
 
@@ -241,7 +253,8 @@ def counted(docs: DataFrame, shards: int) -> DataFrame:
         types = [pa.int32()] + [pa.binary()] * 4 + [pa.int64()] * 2 + [longs] * 2 + [pa.binary()]
         return pa.table([pa.array([v], t) for v, t in zip(row, types)], names=[c.split()[0] for c in COUNTED.split(", ")])
 
-    return keep(docs.select("data").mapInArrow(send, PACKED).groupBy("shard").applyInArrow(merge, COUNTED), "counts")
+    given = blocks.select("words", "ids", "lengths", "held_out")
+    return keep(given.mapInArrow(send, PACKED).groupBy("shard").applyInArrow(merge, COUNTED), "counts")
 
 
 def _level_sums(shards: DataFrame, column: str) -> np.ndarray:
@@ -258,35 +271,29 @@ def fitted(shards: DataFrame, n_shards: int, max_bits: int = MAX_BITS, frequent:
     n, v = shards.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     word_levels, pair_levels = (_level_sums(shards, c) for c in ("word_levels", "pair_levels"))
     above = np.cumsum(word_levels[::-1])[::-1]
-    least_frequent = int(np.argmax(above <= frequent))
     q = np.arange(HIST)
     spent = lambda least, hist: int((q * hist)[least:].sum())
-    least_pair, least_word = max(2, int(level(np.array([max(1.0, n * OFTEN)]))[0])), 1
-    while (spent(least_pair, pair_levels) + spent(least_word, word_levels)) * BITS_PER_LEVEL > max_bits and least_pair < HIST - 1:
+    least_word = int(np.argmax(above <= frequent))
+    least_pair = max(2, int(level(np.array([max(1.0, n * OFTEN)]))[0]))
+    while spent(least_pair, pair_levels) * BITS_PER_LEVEL > max_bits and least_pair < HIST - 1:
         least_pair += 1
-        if spent(least_word, word_levels) * BITS_PER_LEVEL > max_bits // 2:
-            least_word += 1
-    wanted = (spent(least_pair, pair_levels) + spent(least_word, word_levels)) * BITS_PER_LEVEL
+    wanted = spent(least_pair, pair_levels) * BITS_PER_LEVEL
     region_bits = max(64, -(-min(max_bits, wanted) // REGIONS // 64) * 64)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for w, c in zip(batch.column(0), batch.column(1)):
                 w, c = np.frombuffer(w.as_py(), "<u8"), np.frombuffer(c.as_py(), "<u8").astype(np.int64)
-                often = level(c) >= least_frequent
+                often = level(c) >= least_word
                 yield pa.RecordBatch.from_arrays([pa.array([w[often].tobytes()]), pa.array([c[often].astype("<u8").tobytes()])], ["w", "c"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         regions: dict[int, np.ndarray] = {}
         for batch in batches:
-            for shard, w, wc, p, pc in zip(*(c.to_pylist() for c in batch.columns)):
+            for shard, p, pc in zip(*(c.to_pylist() for c in batch.columns)):
                 bits = regions.setdefault(shard % REGIONS, np.zeros(region_bits, bool))
-                for x, c, least in ((w, wc, least_word), (p, pc, least_pair)):
-                    x, c = np.frombuffer(x, "<u8"), np.frombuffer(c, "<u8")
-                    if len(x) == 0:
-                        continue
-                    top = level(c.astype(np.int64))
-                    put(bits, x[top >= least], top[top >= least])
+                x, top = np.frombuffer(p, "<u8"), level(np.frombuffer(pc, "<u8").astype(np.int64))
+                put(bits, x[top >= least_pair], top[top >= least_pair])
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(regions), pa.int32()), pa.array([np.packbits(b, bitorder="little").tobytes() for b in regions.values()], pa.binary())],
             ["region", "bits"],
@@ -300,7 +307,7 @@ def fitted(shards: DataFrame, n_shards: int, max_bits: int = MAX_BITS, frequent:
     h = np.frombuffer(b"".join(r["w"] for r in often), "<u8")
     c = np.frombuffer(b"".join(r["c"] for r in often), "<u8").astype(np.int64)
     order = np.argsort(h)
-    made = shards.select("shard", "words", "counts", "pairs", "pair_counts").mapInArrow(build, "region int, bits binary")
+    made = shards.select("shard", "pairs", "pair_counts").mapInArrow(build, "region int, bits binary")
     whole = np.zeros((REGIONS, region_bits // 8), np.uint8)
     for r in made.groupBy("region").applyInArrow(unite, "region int, bits binary").collect():
         whole[r["region"]] = np.frombuffer(r["bits"], np.uint8)
@@ -340,7 +347,6 @@ class Asked:
     """What a block knows by the broadcast model, and what it asks: the words and pairs in the order of their shards."""
 
     counts: np.ndarray
-    rare: np.ndarray
     word_at: np.ndarray
     word_bounds: np.ndarray
     levels: np.ndarray
@@ -364,61 +370,67 @@ def asked(m: SimpleNamespace, known: np.ndarray, ids: np.ndarray, shards: int) -
     levels[levels < m.least_pair_level] = 0  # the filter has no such pairs
     words, others = np.flatnonzero(~often), np.flatnonzero(levels == 0)
     (wo, wb), (po, pb) = by_shard(known[words], shards), by_shard(pairs[others], shards)
-    return Asked(counts, ~often, words[wo], wb, levels, of_token, others[po], pb, pairs)
+    return Asked(counts, words[wo], wb, levels, of_token, others[po], pb, pairs)
 
 
 BLOCKS = "block long, words binary, ids binary, lengths array<long>, doc_id array<long>, held_out array<boolean>"
 ASKED = "shard int, block long, words binary, pairs binary"
 ANSWERS = "block long, shard int, counts binary, levels binary"
-SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, scores array<double>, unseen array<double>"
 
 
 def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
+def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of documents, as rows of BLOCKS, from (data, doc_id, held_out). A longer document is a block of its own."""
+    from pyspark import TaskContext
+
+    number = TaskContext.get().partitionId() << 33
+    longs = pa.list_(pa.int64())
+    types = [pa.int64(), pa.binary(), pa.binary(), longs, longs, pa.list_(pa.bool_())]
+    for part in batches_of(batches, 0, BLOCK):
+        known, ids, lengths = tokens(part.column(0).to_pylist())
+        # frequent words get small numbers; END stays the last
+        order = np.append(np.argsort(-np.bincount(ids, minlength=len(known))[:-1], kind="stable"), len(known) - 1)
+        place = np.empty(len(known), np.int64)
+        place[order] = np.arange(len(known))
+        known, ids = known[order], place[ids]
+        row = [number, known.tobytes(), packed(ids, 4), lengths.tolist(), part.column(1).to_pylist(), part.column(2).to_pylist()]
+        number += 1
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], _names(BLOCKS))
+        pa.default_memory_pool().release_unused()
+
+
 def scores(docs: DataFrame, held_out: int = 10, max_bits: int = MAX_BITS, frequent: int = FREQUENT) -> DataFrame:
     """Scores of all documents (doc_id, text) by a model of those whose crc32(doc_id) is not divisible by ``held_out``.
 
-    Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Null and empty texts are the end token
-    alone. A null id counts as training. Rows are scored one by one, repeated ones too; an empty table gives no rows, and
-    without training texts every word has probability one tenth of nothing's count, as the formula says. ``max_bits`` and
-    ``frequent`` bound what is broadcast, not what is known.
+    Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, prior. Null and empty texts are the end token
+    alone. A null id counts as training. Rows are scored one by one, repeated ones too; a very long text is a block of its own
+    and is held by one task; an empty table gives no rows, and without training texts every word has probability one tenth of
+    nothing's count, as the formula says. ``max_bits`` and ``frequent`` bound what is broadcast, not what is known. ``prior``
+    is the fitted weight. Other columns, whatever their names, are not read.
     """
     spark = docs.sparkSession
     part_of = F.coalesce(crc_mod("doc_id", held_out) == 0, F.lit(False))
     given = docs.select(as_bytes().alias("data"), F.col("doc_id").cast("long").alias("doc_id"), part_of.alias("held_out"))
-    shards = REGIONS * -(-4 * shuffle_parts(spark) // REGIONS)
-    table = counted(given.where("not held_out"), shards)
+    blocks = keep(given.mapInArrow(split, BLOCKS), "blocks")
+    n_tokens = blocks.select(F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] or 0
+    shards = REGIONS * max(1, -(-n_tokens // (REGIONS * SHARD_TOKENS)))
+    table = counted(blocks, shards)
     model = fitted(table, shards, max_bits, frequent)
     sent = spark.sparkContext.broadcast(vars(model))  # plain values: workers need no import to read them
     n, v = model.tokens, model.words
     floor = np.log10(n + ADD * (v + 1))
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 33
-        longs = pa.list_(pa.int64())
-        types = [pa.int64(), pa.binary(), pa.binary(), longs, longs, pa.list_(pa.bool_())]
-        for part in batches_of(batches, 0, BLOCK):
-            known, ids, lengths = tokens(part.column(0).to_pylist())
-            # frequent words get small numbers; END stays the last
-            order = np.append(np.argsort(-np.bincount(ids, minlength=len(known))[:-1], kind="stable"), len(known) - 1)
-            place = np.empty(len(known), np.int64)
-            place[order] = np.arange(len(known))
-            known, ids = known[order], place[ids]
-            row = [number, known.tobytes(), packed(ids, 4), lengths.tolist(), part.column(1).to_pylist(), part.column(2).to_pylist()]
-            number += 1
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], _names(BLOCKS))
-
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = SimpleNamespace(**sent.value)
         types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
         for batch in batches:
-            for block, words, ids in zip(*(c.to_pylist() for c in batch.columns)):
-                known = np.frombuffer(words, "<u8")
-                a = asked(m, known, unpacked(ids, 4).astype(np.int64), shards)
+            for block, words, ids in zip(*batch.columns):
+                block, known = block.as_py(), np.frombuffer(words.as_buffer(), "<u8")
+                a = asked(m, known, unpacked(ids.as_py(), 4).astype(np.int64), shards)
                 words, pairs = known[a.word_at], a.pairs[a.pair_at]
                 full = np.flatnonzero((np.diff(a.word_bounds) > 0) | (np.diff(a.pair_bounds) > 0)).tolist()
                 of_shard = lambda x, b: [x[b[s] : b[s + 1]] for s in full]  # noqa: B023, E731
@@ -427,28 +439,50 @@ def scores(docs: DataFrame, held_out: int = 10, max_bits: int = MAX_BITS, freque
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], _names(ASKED))
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Counts of words and levels of pairs, block by block."""
-        cols: list[list] = [[], [], [], []]
+        """Counts of words and levels of pairs: all blocks' questions at once, and a row for each block."""
+        asked_words = [np.frombuffer(x.as_buffer(), "<u8") for x in left["words"].combine_chunks()]
+        asked_pairs = [unpacked_pairs(x.as_py()) for x in left["pairs"].combine_chunks()]
+        w, p = (np.concatenate([np.empty(0, np.uint64), *x]) for x in (asked_words, asked_pairs))
+        c, top = np.zeros(len(w), "<u8"), np.zeros(len(p), np.uint8)
         if right.num_rows:
             words, counts = (np.frombuffer(right[c][0].as_py(), "<u8") for c in ("words", "counts"))
             bits = np.frombuffer(right["bits"][0].as_py(), np.uint8)
-        for shard, block, w, p in zip(*(left[c].to_pylist() for c in _names(ASKED))):
-            w, p = np.frombuffer(w, "<u8"), unpacked_pairs(p)
-            c, top = np.zeros(len(w), "<u8"), np.zeros(len(p), np.int64)
-            if right.num_rows:
-                if len(words):
-                    at = np.minimum(np.searchsorted(words, w), len(words) - 1)
-                    c = np.where(words[at] == w, counts[at], np.uint64(0)).astype("<u8")
-                top = levels_at(bits, 8 * len(bits), p)
-            for col, x in zip(cols, (block, shard, c.tobytes(), top.astype(np.uint8).tobytes())):
-                col.append(x)
-        types = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-        return pa.table([pa.array(c, t) for c, t in zip(cols, types)], names=_names(ANSWERS))
+            if len(words):
+                at = np.minimum(np.searchsorted(words, w), len(words) - 1)
+                c = np.where(words[at] == w, counts[at], np.uint64(0)).astype("<u8")
+            top = levels_at(bits, 8 * len(bits), p).astype(np.uint8)
+        parts = [[x[b - n : b].tobytes() for b, n in zip(np.cumsum(sizes), sizes)] for x, sizes in ((c, [len(x) for x in asked_words]), (top, [len(x) for x in asked_pairs]))]
+        return pa.table([left["block"], left["shard"], *(pa.array(x, pa.binary()) for x in parts)], names=_names(ANSWERS))
+
+    def some_at_a_time(lengths: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Token and document ranges of about STEP tokens, so that few numbers a token are held."""
+        ends = np.cumsum(lengths)
+        cuts = [0, *(np.flatnonzero(np.diff(ends // STEP)) + 1).tolist(), len(lengths)]
+        for c, d in zip(cuts, cuts[1:]):
+            if d > c:
+                yield int(ends[c] - lengths[c]), int(ends[d - 1]), c, d
+
+    def scored_part(known: np.ndarray, ids: np.ndarray, a: Asked, of_token: np.ndarray, lengths: np.ndarray, held: np.ndarray) -> tuple:
+        """Base scores, known tokens, and scores by prior: with the document counted, and as if training documents hadn't been."""
+        rows, size = np.repeat(np.arange(len(lengths)), lengths), len(lengths)
+        base = np.bincount(rows, (np.log10(a.counts + ADD) - floor)[ids], size)
+        n_known = np.bincount(rows, (a.counts > 0)[ids], size).astype(np.int64)
+        middle = level_counts()
+        single = np.where(a.counts > 0, middle[level(np.maximum(a.counts, 1))], 0.0)
+        first, second = single[np.concatenate([[len(known) - 1], ids[:-1]])], single[ids]
+        pair = np.minimum(middle[a.levels][of_token], np.minimum(first, second))
+        own = (second + ADD) / (n + ADD * (v + 1))
+        first = np.maximum(first, pair)
+        by_prior = [np.bincount(rows, np.log10((pair + k * own) / (first + k)), size) for k in PRIORS]
+        pair = np.maximum(pair - 1, 0.0)
+        first = np.maximum(first - 1, pair)
+        unseen = [np.where(held, 0.0, np.bincount(rows, np.log10((pair + k * own) / (first + k)), size)) for k in PRIORS]
+        return base, n_known, np.stack(by_prior, 1), np.stack(unseen, 1)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         m = SimpleNamespace(**sent.value)
-        middle = level_counts()
-        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        doubles = pa.list_(pa.float64())
+        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), doubles, doubles]
         made = [pa.table([pa.array([], t) for t in types], names=_names(SCORES))]
         for _, words, ids, lengths, doc_ids, held in zip(*(left[c].to_pylist() for c in _names(BLOCKS))):
             known, ids, lengths = np.frombuffer(words, "<u8"), unpacked(ids, 4).astype(np.int64), np.array(lengths, np.int64)
@@ -456,24 +490,21 @@ def scores(docs: DataFrame, held_out: int = 10, max_bits: int = MAX_BITS, freque
             for shard, c, top in zip(*(right[x].to_pylist() for x in ("shard", "counts", "levels"))):
                 a.counts[a.word_at[a.word_bounds[shard] : a.word_bounds[shard + 1]]] = np.frombuffer(c, "<u8").astype(np.int64)
                 a.levels[a.pair_at[a.pair_bounds[shard] : a.pair_bounds[shard + 1]]] = np.frombuffer(top, np.uint8)
-            rows, size = np.repeat(np.arange(len(lengths)), lengths), len(lengths)
-            base = np.bincount(rows, (np.log10(a.counts + ADD) - floor)[ids], size)
-            n_known = np.bincount(rows, (a.counts > 0)[ids], size).astype(np.int64)
-            # the model: levels of words and of pairs, interpolated
-            single = np.where(a.counts > 0, middle[level(np.maximum(a.counts, 1))], 0.0)
-            own = (single + ADD) / (n + ADD * (v + 1))
-            before = np.concatenate([[len(known) - 1], ids[:-1]])
-            pair = np.minimum(middle[a.levels][a.of_token], np.minimum(single[before], single[ids]))
-            p = (pair + PRIOR * own[ids]) / (np.maximum(single[before], pair) + PRIOR)
-            cols = [doc_ids, held, lengths, n_known, base, np.bincount(rows, np.log10(p), size)]
+            parts = [scored_part(known, ids[a_:b_], a, a.of_token[a_:b_], lengths[c_:d_], np.array(held[c_:d_], bool)) for a_, b_, c_, d_ in some_at_a_time(lengths)]
+            base, n_known, by_prior, unseen = (np.concatenate(x) for x in zip(*parts))
+            cols = [doc_ids, held, lengths, n_known, base, by_prior.tolist(), unseen.tolist()]
             made.append(pa.table([pa.array(c, t) for c, t in zip(cols, types)], names=_names(SCORES)))
         return pa.concat_tables(made)
 
-    blocks = keep(given.mapInArrow(split, BLOCKS), "blocks")
     questions = blocks.select("block", "words", "ids").mapInArrow(ask, ASKED)
     answers = questions.groupBy("shard").cogroup(table.select("shard", "words", "counts", "bits").groupBy("shard")).applyInArrow(answer, ANSWERS)
-    made = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, SCORES)
-    return made.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    made = keep(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, SCORES), "scores")
+    sums = made.select(*(F.coalesce(F.sum(F.col("unseen")[i]), F.lit(0.0)) for i in range(len(PRIORS)))).first()
+    best = max(range(len(PRIORS)), key=lambda i: (sums[i], -i))
+    return made.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score",
+        F.col("scores")[best].alias("score"), F.lit(PRIORS[best]).alias("prior"),
+    )
 
 
 session.ship_with_jobs(__name__)

@@ -62,11 +62,11 @@ def test_empty_and_untrained(spark):
 
 def test_filter_never_gives_too_small_levels(spark):
     texts = [(i, data.prose(i % 3, 200)) for i in range(60)]
-    docs = spark.createDataFrame(texts, "doc_id bigint, text string").selectExpr("CAST(text AS BINARY) AS data")
-    table = scoring.counted(docs, 512)
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").selectExpr("CAST(text AS BINARY) AS data", "doc_id", "false AS held_out")
+    table = scoring.counted(docs.mapInArrow(scoring.split, scoring.BLOCKS), 512)
     model = scoring.fitted(table, 512)
     for r in table.collect():
-        for x, c in ((r.words, r.counts), (r.pairs, r.pair_counts)):
+        for x, c in ((r.pairs, r.pair_counts),):
             x, c = np.frombuffer(x, "<u8"), np.frombuffer(c, "<u8").astype(np.int64)
             if len(x):
                 assert (scoring.levels_in(model, x, 512) >= scoring.level(c)).all()
@@ -100,3 +100,39 @@ def test_regions_grow_with_the_pairs():
     strangers = scoring.mix(np.arange(1 << 20, (1 << 20) + 20_000, dtype=np.uint64))
     assert (scoring.levels_at(large, 8 * len(large), scoring.mix(np.arange(50_000, dtype=np.uint64))) >= 1).all()
     assert (scoring.levels_at(large, 8 * len(large), strangers) > 0).mean() < 0.02
+
+
+def plain_scores(rows, prior):
+    """The model's score with counts known exactly, in dictionaries, and quantised as the filter does."""
+    split = [[*data.words(data.low(t)), None] for _, t in rows]
+    train = [w for (i, _), w in zip(rows, split) if not data.held_out(i, 10)]
+    words = Counter(x for w in train for x in w)
+    pairs = Counter(p for w in train for p in zip([None, *w], w))
+    n, v, middle = sum(words.values()), len(words), scoring.level_counts()
+    about = lambda c: float(middle[scoring.level(np.array([c]))[0]]) if c else 0.0
+    out, unseen = [], 0.0
+    for (i, _), w in zip(rows, split):
+        total = 0.0
+        for p in zip([None, *w], w):
+            first, second = about(words[p[0]]), about(words[p[1]])
+            pair = min(about(pairs[p]), first, second)
+            own = (second + 0.1) / (n + 0.1 * (v + 1))
+            total += math.log10((pair + prior * own) / (max(first, pair) + prior))
+            if not data.held_out(i, 10):
+                once = max(pair - 1, 0.0)
+                unseen += math.log10((once + prior * own) / (max(max(first, pair) - 1, once) + prior))
+        out.append(total)
+    return out, unseen
+
+
+def test_scores_equal_a_plain_model(spark, monkeypatch):
+    """With so many bits that no probe is wrong, each row's score is that of exact dictionaries, and the weight the best of all."""
+    monkeypatch.setattr(scoring, "BITS_PER_LEVEL", 4000)
+    docs = [*data.documents().items()][:60] + [(1000, data.prose(1, 50)), (1001, data.prose(1, 50)), (1002, None), (1003, "never seen before")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    for bounds in ({}, {"max_bits": 1 << 20, "frequent": 20}):
+        got = {r.doc_id: r for r in scoring.scores(df, **bounds).collect()}
+        prior = got[1002].prior
+        want, _ = plain_scores(docs, prior)
+        assert all(close(got[i].score, x) for (i, _), x in zip(docs, want))
+        assert prior == max(scoring.PRIORS, key=lambda k: plain_scores(docs, k)[1])
