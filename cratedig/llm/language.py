@@ -9,7 +9,9 @@ smoothed towards their site's, these towards the corpus's. A second step adds
 all of it up in log space.
 
 The text model is fitted on a bounded sample of rows with a declared language
-(``SAMPLE`` rows a language). Everything else counts all rows.
+(``SAMPLE`` rows a language of at most ``LONGEST_SAMPLE`` bytes). Everything else
+counts all rows. The model has SLOTS x languages numbers of four bytes, with all
+languages of the code list 48 MB.
 """
 
 from __future__ import annotations
@@ -29,8 +31,14 @@ from cratedig.llm.common import Recent, as_bytes, clear_of, content_key, keep, w
 SAMPLE = 1000
 #: A language needs so many declared rows, whatever the number of others.
 LEAST_ROWS = 5
-#: Tags of the form of an ISO 639 code can name a language; the standard has a fixed number of them.
-CODE = "^[a-z]{2,3}$"
+# The two-letter codes of ISO 639. No other tag names a language, so there are never more classes than these.
+CODES = (
+    "aa ab ae af ak am an ar as av ay az ba be bg bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et eu "
+    "fa ff fi fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik io is it iu ja jv ka kg ki kj kk kl km "
+    "kn ko kr ks ku kv kw ky la lb lg li ln lo lt lu lv mg mh mi mk ml mn mr ms mt my na nb nd ne ng nl nn no nr nv ny oc oj om "
+    "or os pa pi pl ps pt qu rm rn ro ru rw sa sc sd se sg si sk sl sm sn so sq sr ss st su sv sw ta te tg th ti tk tl tn to tr "
+    "ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu"
+).split()
 SLOTS = 1 << 16
 #: Trigrams of one text depend on each other; at most so many count in full.
 FULL_TRIGRAMS = 60.0
@@ -41,6 +49,10 @@ FAR_OFF = 6.0
 LEAST_POSTERIOR = 0.5
 WORD = re.compile(r"[^\W\d_]+")
 CACHED_WORDS = 200_000
+#: Bytes of the words' values that a worker remembers, twice; with many languages it remembers fewer words.
+CACHED_BYTES = 48 << 20
+#: Sampled texts are no longer than this, so SAMPLE x languages x this bounds what reaches the driver.
+LONGEST_SAMPLE = 1 << 13
 
 
 def trigrams(word: str) -> list[int]:
@@ -69,7 +81,7 @@ def fit(rows: list[tuple[str, str]], languages: list[str]) -> TextModel:
         if slots:
             t, n = np.array(slots).T
             counts[:, at[language]] += np.bincount(t, n, SLOTS)
-    logs = np.log(counts / counts.sum(axis=0))
+    logs = np.log(counts / counts.sum(axis=0)).astype(np.float32)
     fits = []
     for i, (text, own) in enumerate(rows):
         if i % 5 == 4 and len(t := [s for w in WORD.findall(text.lower()) for s in trigrams(w)]) >= 20:
@@ -79,25 +91,38 @@ def fit(rows: list[tuple[str, str]], languages: list[str]) -> TextModel:
 
 def declared_languages(rows: DataFrame, declared: str, least_rows: int = LEAST_ROWS) -> list[str]:
     """Declared codes of at least ``least_rows`` rows, in code point order."""
-    tagged = rows.where(F.col(declared).rlike(CODE))
+    tagged = rows.where(F.col(declared).isin(CODES))
     many = tagged.groupBy(declared).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_rows)
     return sorted(r[0] for r in many.select(declared).collect())
 
 
 def sample(rows: DataFrame, text: str, declared: str, languages: list[str], per_language: int = SAMPLE) -> list[tuple[str, str]]:
-    """At most ``per_language`` texts of each language, those of smallest hash, one for each hash, in one pass for all."""
+    """At most ``per_language`` texts of each language, those of smallest hash, one for each hash.
+
+    Distinct hashes are counted by language and leading bits, and again by the next bits where a language's bound falls; so
+    no task sorts a language's rows, and the counts are at most 4,096 a language each time.
+    """
     if not languages:
         return []
-    hashed = rows.where(F.col(declared).isin(languages) & F.col(text).isNotNull()).select(
+    hashed = rows.where(F.col(declared).isin(languages) & (F.octet_length(F.col(text)) <= LONGEST_SAMPLE)).select(
         F.col(declared).alias("of"), F.xxhash64(text).alias("h"), F.col(text).alias("t")
     )
     slim = hashed.select("of", "h").distinct()
-    first = slim.withColumn("n", F.row_number().over(Window.partitionBy("of").orderBy("h"))).where(F.col("n") <= per_language)
-    edges = {r["of"]: r["h"] for r in first.groupBy("of").agg(F.max("h").alias("h")).collect()}
-    edge = F.create_map(*[F.lit(x) for pair in edges.items() for x in pair]) if edges else None
-    if edge is None:
-        return []
-    some = hashed.where(F.col("h") <= edge[F.col("of")]).groupBy("of", "h").agg(F.min("t").alias("t"))
+    before = Window.partitionBy("of").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+
+    def bounds(counts: DataFrame) -> DataFrame:
+        """For each language the first bucket that doesn't fit any more, and how many fit before it."""
+        run = counts.withColumn("fit", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("fit") + F.col("n") > F.col("left"))
+        return run.groupBy("of").agg(F.min("at").alias("at"), F.min("fit").alias("fit"))
+
+    many = F.count(F.lit(1)).alias("n")
+    top = slim.groupBy("of", F.shiftright("h", 52).alias("at")).agg(many).withColumn("left", F.lit(per_language))
+    first = bounds(top).select("of", F.col("at").alias("top"), (F.lit(per_language) - F.col("fit")).alias("left"))
+    inner = slim.join(F.broadcast(first), "of").where(F.shiftright("h", 52) == F.col("top"))  # a row for each language, of which CODES bounds the number
+    then = bounds(inner.groupBy("of", "left", F.shiftright("h", 40).alias("at")).agg(many))
+    found = {r["of"]: r["edge"] for r in then.select("of", F.shiftleft("at", 40).alias("edge")).collect()}
+    edge = F.create_map(*[F.lit(x) for of in languages for x in (of, found.get(of, (1 << 63) - 1))])
+    some = hashed.where(F.col("h") < edge[F.col("of")]).groupBy("of", "h").agg(F.min("t").alias("t"))
     return [(r["t"], r["of"]) for r in some.orderBy("of", "h").collect()]
 
 
@@ -115,7 +140,7 @@ def with_likelihoods(rows: DataFrame, model: TextModel, name: str, text: str = "
         store = worker_store("language")
         if store.get("model") != (languages, usual):
             store.clear()
-            store["model"], store["cache"] = (languages, usual), Recent(CACHED_WORDS)
+            store["model"], store["cache"] = (languages, usual), Recent(min(CACHED_WORDS, CACHED_BYTES // (4 * (k + 1))))
 
         def weigh(words: list[str]) -> Iterator[bytes]:
             for w in words:
@@ -253,8 +278,10 @@ def identified(rows: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` (text, lang, source), without documents of unknown language.
 
-    The decision depends on these three columns alone, so the rows that go are named by a key of their values; ``docs``
-    is read again for the rest and is not copied.
+    A language that fewer than LEAST_ROWS rows declare, or whose code isn't in CODES, has no class: its documents are unknown
+    and go, unless they fit another language. Ids are not looked at, so repeated and null ones make no difference. The decision
+    depends on these three columns alone, so the rows that go are named by a key of their values; ``docs`` is read again for
+    the rest and is not copied.
     """
     (key,) = clear_of(docs, "key")
     made = content_key(docs, ["text", "lang", "source"])
