@@ -146,7 +146,9 @@ class Model:
     def __init__(self, negatives: list[str], seed: int = 7):
         rng = random.Random(seed)
         self.families = [*TEMPLATES, UNKNOWN]
+        self.shared = [i for i, f in enumerate(self.families) if f.startswith(SHARED)]
         self.templates = [(f, ngrams(words(t))) for f, ts in TEMPLATES.items() for t in ts]
+        self.sizes = sorted({len_of(t) for _, t in self.templates})
         # words of one family's templates alone: of a template that has such words, a window must hold one
         homes: dict[str, set[str]] = {}
         for f, grams in self.templates:
@@ -231,13 +233,13 @@ class Model:
             return []
         certain: list[tuple[float, int, int, str]] = []
         marks = [i for i, w in enumerate(tokens) if w in self.telling]
-        sizes = sorted({len_of(t) for _, t in self.templates})
+        sizes = self.sizes
         for a, b in spans(marks, len(tokens)):
-            tried = set()
-            for size in sizes:
-                for c in range(a, max(a, b - size) + 1):
-                    if (c, min(b, c + size)) not in tried:
-                        tried.add((c, min(b, c + size)))
+            # as many words of templates as a window must hold at least to be confirmed; windows of fewer aren't classified
+            known = [0]
+            for w in tokens[a:b]:
+                known.append(known[-1] + (w in self.feature))
+            tried = {(c, min(b, c + size)) for size in sizes for c in range(a, max(a, b - size) + 1) if 2 * (known[min(b, c + size) - a] - known[c - a]) >= min(b - c, size)}
             for c, d in tried:
                 if not self.telling.isdisjoint(tokens[c:d]) and (found := self.classified(tokens, c, d)):
                     certain.append((found[1], c, d, found[0]))
@@ -262,7 +264,7 @@ class Model:
         at = self.vector(ngrams(tokens[c:d]))
         x = self.weights[at].sum(axis=0) / np.sqrt(max(1, len(at))) + self.weights[-1]
         p = softmax(x * self.scale)
-        shared = [i for i, f in enumerate(self.families) if f.startswith(SHARED)]
+        shared = self.shared
         best, certainty = int(np.argmax(p)), float(p.max())
         if p[shared].sum() >= certainty:
             terms = terms_of(tokens, c, d)
@@ -368,7 +370,7 @@ def with_licences(docs: DataFrame, name: str = "licences", text: str = "text") -
     """
     model = Model(negatives(docs.select(F.col(text).cast("string").alias("text"))))
     sent = docs.sparkSession.sparkContext.broadcast(
-        {k: getattr(model, k) for k in ("families", "templates", "names", "feature", "telling", "weights", "scale")}
+        {k: getattr(model, k) for k in ("families", "shared", "sizes", "templates", "names", "feature", "telling", "weights", "scale")}
     )
     (data,) = clear_of(docs, "data")
     given = docs.withColumn(data, F.coalesce(F.col(text).cast("string"), F.lit("")))
