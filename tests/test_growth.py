@@ -5,6 +5,7 @@ import re
 import pytest
 
 from cratedig.operators import catalog
+from cratedig.session import SMALL_TASKS, ensure_small_tasks
 from cratedig.sources import testbed as tb
 
 SF = "/root/testdata/sf0.001"
@@ -37,3 +38,21 @@ def test_given_or_related_tracks_take_no_anti_join(no_broadcast):
     assert "LeftAnti" not in plan(df) and shuffles(df) <= 9
     rows = [r.track_id for r in df.collect()]
     assert len(rows) == len(set(rows))
+
+
+def test_small_tasks_keep_what_the_session_sets(spark):
+    other = spark.newSession()
+    for key in SMALL_TASKS:
+        other.conf.unset(key)
+    ensure_small_tasks(other)
+    assert {k: other.conf.get(k) for k in SMALL_TASKS} == SMALL_TASKS
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    other.conf.set(key, "3m")
+    assert ensure_small_tasks(other).conf.get(key) == "3m"
+
+
+def test_chain_left_shuffles_credits_and_tracks_once_by_track(no_broadcast):
+    s = no_broadcast
+    assert shuffles(tb.tracks(s, SF).join(tb.track_producers(s, SF), "track_id")) == 2
+    df = catalog.catalog_chain_left(tb.artists(s, SF), tb.albums(s, SF), tb.tracks(s, SF), tb.track_producers(s, SF), tb.producers(s, SF))
+    assert "hashpartitioning(track_id" in plan(df)
