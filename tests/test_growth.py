@@ -56,3 +56,10 @@ def test_chain_left_shuffles_credits_and_tracks_once_by_track(no_broadcast):
     assert shuffles(tb.tracks(s, SF).join(tb.track_producers(s, SF), "track_id")) == 2
     df = catalog.catalog_chain_left(tb.artists(s, SF), tb.albums(s, SF), tb.tracks(s, SF), tb.track_producers(s, SF), tb.producers(s, SF))
     assert "hashpartitioning(track_id" in plan(df)
+
+
+def test_related_producers_join_credits_where_they_lie(no_broadcast):
+    s = no_broadcast
+    tracks, albums, artists, given = wanted(s)
+    df = catalog.related_producers(tb.track_producers(s, SF), tracks, albums, tb.producers(s, SF), artists, given)
+    assert "LeftAnti" not in plan(df) and shuffles(df) <= 12
