@@ -63,3 +63,11 @@ def test_related_producers_join_credits_where_they_lie(no_broadcast):
     tracks, albums, artists, given = wanted(s)
     df = catalog.related_producers(tb.track_producers(s, SF), tracks, albums, tb.producers(s, SF), artists, given)
     assert "LeftAnti" not in plan(df) and shuffles(df) <= 12
+
+
+def test_orphans_shuffle_ids_as_numbers(no_broadcast):
+    s = no_broadcast
+    df = catalog.fk_orphans(tb.albums(s, SF), tb.tracks(s, SF), tb.track_producers(s, SF), tb.artists(s, SF), tb.producers(s, SF))
+    lines = plan(df).splitlines()
+    under_exchange = [lines[i + 1] for i, line in enumerate(lines[:-1]) if "Exchange hashpartitioning" in line]
+    assert under_exchange and not any("as string" in line for line in under_exchange)
