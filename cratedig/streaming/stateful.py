@@ -1,12 +1,15 @@
 """Keyed state with event-time timers: repeats, first results, and failed messages on hold.
 
-All three keep one small state per key and give it up by a timer when the watermark
-passes its end, so the state follows the keys that are still open. A key's rows are
-taken in order of time inside a micro-batch, and micro-batches in the order they come:
-a source that reads oldest first makes results the same however it is cut. Rows later
-than ``lateness`` are dropped by Spark; choose it by the source's disorder.
-
-One key's rows of a micro-batch are held at once; the source's limits bound them.
+All three keep one small state per key, give it up when the watermark has passed its end, and
+so follow the keys that are still open. Keys are dealt into buckets by hash, and a bucket is
+what Spark groups by: its open keys are read and written at once, where a call for every key
+would cost a thousand times the work on its rows. A key's rows are taken in order of time inside a micro-batch, and
+micro-batches in the order they come: a source that reads oldest first makes results the
+same however it is cut. Rows later than ``lateness`` are dropped by Spark; choose it by the
+source's disorder.
+
+A bucket's open keys and its rows of a micro-batch are held at once; the source's limits and
+the number of buckets bound them. A stream keeps the number it was started with.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from cratedig.functions.times import micros
@@ -40,26 +43,45 @@ def in_order(rows: Iterator[pd.DataFrame], tie: str) -> pd.DataFrame:
     return pd.concat(list(rows)).sort_values(["us", tie], kind="stable")
 
 
+#: Groups that keys are dealt into.
+BUCKETS = 256
+BUCKET = "_bucket"
+
+
+def by_bucket(rows: DataFrame, key: str, buckets: int) -> GroupedData:
+    return rows.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).groupBy(BUCKET)
+
+
 class _Until(StatefulProcessor):
-    """Base of states that end: ``until`` is the end in microseconds, and the timer that is set for it."""
+    """Base of states that end: a bucket's open keys, each with its end in microseconds and what it holds.
 
-    value = "until bigint"
+    The state is one row of arrays. The bucket has one timer, for the earliest end.
+    """
+
+    value = "keys array<string>, until array<bigint>"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("state", self.value)
-
-    def held(self) -> tuple | None:
-        return tuple(self.state.get()) if self.state.exists() else None
-
-    def hold(self, was: tuple | None, now: tuple) -> None:
-        """Replaces the state and moves its timer; the first field is the end."""
-        if was == now:
+        self.state = handle.getValueState("state", f"timer bigint, {self.value}")
+
+    def held(self) -> tuple[int | None, dict[object, tuple]]:
+        """The timer that is set, and the open keys: key -> (end, ...)."""
+        if not self.state.exists():
+            return None, {}
+        timer, keys, *columns = self.state.get()
+        return timer, dict(zip(keys, zip(*columns)))
+
+    def hold(self, was: int | None, now: dict[object, tuple]) -> None:
+        """Replaces the state and moves the bucket's timer."""
+        timer = min(self.timer(v[0]) for v in now.values()) if now else None
+        if was is not None and was != timer:
+            self.handle.deleteTimer(was)
+        if not now:
+            self.state.clear()
             return
-        if was is not None:
-            self.handle.deleteTimer(self.timer(was[0]))
-        self.handle.registerTimer(self.timer(now[0]))
-        self.state.update(now)
+        if was != timer:
+            self.handle.registerTimer(timer)
+        self.state.update((timer, list(now), *map(list, zip(*now.values()))))
 
     @staticmethod
     def timer(us: int) -> int:
@@ -67,7 +89,9 @@ class _Until(StatefulProcessor):
         return -(-us // 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.state.clear()
+        _, now = self.held()
+        passed = timerValues.getCurrentWatermarkInMs()
+        self.hold(None, {k: v for k, v in now.items() if self.timer(v[0]) > passed})  # the timer that fired is taken away by Spark
         yield pd.DataFrame()
 
     def close(self) -> None:
@@ -77,22 +101,22 @@ class _Until(StatefulProcessor):
 class _PassOnce(_Until):
     """A message passes if none of its key passed within the TTL before it."""
 
-    def __init__(self, ttl_us: int, tie: str, columns: list[str]):
-        self.ttl_us, self.tie, self.columns = ttl_us, tie, columns
+    def __init__(self, ttl_us: int, key: str, tie: str, columns: list[str]):
+        self.ttl_us, self.key, self.tie, self.columns = ttl_us, key, tie, columns
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = in_order(rows, self.tie)
-        was = self.held()
-        until, passes = was[0] if was else None, []
-        for us in pdf["us"].tolist():
-            passes.append(until is None or us >= until)
+        timer, now = self.held()
+        passes = []
+        for k, us in zip(pdf[self.key].tolist(), pdf["us"].tolist()):
+            passes.append(k not in now or us >= now[k][0])
             if passes[-1]:
-                until = us + self.ttl_us
-        self.hold(was, (until,))
+                now[k] = (us + self.ttl_us,)
+        self.hold(timer, now)
         yield pdf[passes][self.columns]
 
 
-def stream_dedup_ttl(messages: DataFrame, key: str, ttl_seconds: int, ts: str = "enqueued_at", tie: str = "msg_id", lateness: str = "0 seconds") -> DataFrame:
+def stream_dedup_ttl(messages: DataFrame, key: str, ttl_seconds: int, ts: str = "enqueued_at", tie: str = "msg_id", lateness: str = "0 seconds", buckets: int = BUCKETS) -> DataFrame:
     """Messages that pass when each one that passes blocks its key for the TTL; the exact rule of ``dedup.dedup_ttl``.
 
     The key's state is the end of its block; a timer clears it when the watermark gets there. Messages without a key
@@ -100,8 +124,8 @@ def stream_dedup_ttl(messages: DataFrame, key: str, ttl_seconds: int, ts: str =
     """
     columns = messages.columns
     schema = ", ".join(f"`{c}` {'timestamp' if c == ts else t}" for c, t in messages.dtypes)
-    return in_event_time(messages, ts, lateness).groupBy(key).transformWithStateInPandas(
-        statefulProcessor=_PassOnce(ttl_seconds * 1_000_000, tie, columns), outputStructType=schema, outputMode="append", timeMode="EventTime"
+    return by_bucket(in_event_time(messages, ts, lateness), key, buckets).transformWithStateInPandas(
+        statefulProcessor=_PassOnce(ttl_seconds * 1_000_000, key, tie, columns), outputStructType=schema, outputMode="append", timeMode="EventTime"
     )
 
 
@@ -111,30 +135,33 @@ RESULT = "operation_id string, event_id bigint, result string, replayed boolean"
 class _FirstResult(_Until):
     """Answers with the stored result until its end; then the next operation's own result is stored."""
 
-    value = "until bigint, result string"
+    value = "keys array<string>, until array<bigint>, result array<string>"
 
     def __init__(self, ttl_us: int):
         self.ttl_us = ttl_us
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        us, result = max(zip(initialState["us"].tolist(), initialState["result"].tolist()))
-        self.hold(None, (us + self.ttl_us, result))
+        timer, now = self.held()
+        for k, us, result in zip(initialState["operation_id"].tolist(), initialState["us"].tolist(), initialState["result"].tolist()):
+            given = (us + self.ttl_us, result)
+            now[k] = max(now.get(k, given), given)
+        self.hold(timer, now)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = in_order(rows, "event_id")
-        was = now = self.held()
+        timer, now = self.held()
         results, replayed = [], []
-        for us, result in zip(pdf["us"].tolist(), pdf["result"].tolist()):
-            known = now is not None and us < now[0]
+        for k, us, result in zip(pdf["operation_id"].tolist(), pdf["us"].tolist(), pdf["result"].tolist()):
+            known = k in now and us < now[k][0]
             if not known:
-                now = (us + self.ttl_us, result)
-            results.append(now[1])
+                now[k] = (us + self.ttl_us, result)
+            results.append(now[k][1])
             replayed.append(known)
-        self.hold(was, now)
+        self.hold(timer, now)
         yield pdf[["operation_id", "event_id"]].assign(result=results, replayed=replayed)
 
 
-def stream_idempotent_result(operations: DataFrame, ttl_seconds: int = 86400 * 36500, stored: DataFrame | None = None, lateness: str = "0 seconds") -> DataFrame:
+def stream_idempotent_result(operations: DataFrame, ttl_seconds: int = 86400 * 36500, stored: DataFrame | None = None, lateness: str = "0 seconds", buckets: int = BUCKETS) -> DataFrame:
     """Every operation answers with its first result, for the TTL after it; operations: operation_id, event_id, ts, result.
 
     ``stored`` (operation_id, result, stored_at) are results from before, one per operation (the latest counts): the stream
@@ -142,9 +169,9 @@ def stream_idempotent_result(operations: DataFrame, ttl_seconds: int = 86400 * 3
     """
     initial = None
     if stored is not None:
-        initial = stored.select("operation_id", "result", micros(F.col("stored_at")).alias("us")).groupBy("operation_id")
+        initial = by_bucket(stored.select("operation_id", "result", micros(F.col("stored_at")).alias("us")), "operation_id", buckets)
     rows = in_event_time(operations.select("operation_id", "event_id", "ts", "result"), "ts", lateness)
-    return rows.groupBy("operation_id").transformWithStateInPandas(
+    return by_bucket(rows, "operation_id", buckets).transformWithStateInPandas(
         statefulProcessor=_FirstResult(ttl_seconds * 1_000_000), outputStructType=RESULT, outputMode="append", timeMode="EventTime", initialState=initial
     )
 
@@ -167,28 +194,27 @@ ATTEMPT = "msg_id bigint, queue_name string, attempt_at timestamp, read_ct int,
 
 
 class _Retry(_Until):
-    """Holds a failed message until its back-off is due; then gives it out again with one more read, or as dead."""
+    """Holds failed messages until their back-off is due; then gives them out again with one more read, or as dead."""
 
-    value = "due bigint, read_ct int, queue_name string, message string, fails array<boolean>"
+    value = "keys array<bigint>, due array<bigint>, read_ct array<int>, queue_name array<string>, message array<string>, fails array<array<boolean>>"
 
     def __init__(self, delays_us: list[int]):
         self.delays_us = delays_us
 
-    def attempts(self, key, us: int, read_ct: int, queue: str, message: str, fails: list, up_to: int | None) -> list[tuple]:
+    def attempts(self, out: list[tuple], now: dict[object, tuple], msg_id: int, row: tuple, up_to: int | None) -> None:
         """The attempt at a time, and those after it that are due already; holds the message if another is to come."""
-        out = []
+        us, read_ct, queue, message, fails = row
+        now.pop(msg_id, None)
         while True:
             failed = read_ct >= len(fails) or fails[read_ct] is None or bool(fails[read_ct])
             outcome = "done" if not failed else "retry" if read_ct < len(self.delays_us) else "dead"
-            out.append((key[0], queue, us, read_ct, outcome, message))
+            out.append((msg_id, queue, us, read_ct, outcome, message))
             if outcome != "retry":
-                self.state.clear()
-                return out
+                return
             us, read_ct = us + self.delays_us[read_ct], read_ct + 1
             if up_to is None or us > up_to:
-                self.handle.registerTimer(self.timer(us))
-                self.state.update((us, read_ct, queue, message, fails))
-                return out
+                now[msg_id] = (us, read_ct, queue, message, fails)
+                return
 
     @staticmethod
     def frame(rows: list[tuple]) -> pd.DataFrame:
@@ -197,17 +223,29 @@ class _Retry(_Until):
         return out
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self.state.exists():  # the message is on hold: given again, it is not tried twice
-            return
-        r = in_order(rows, "read_ct").iloc[0]
-        yield self.frame(self.attempts(key, int(r["us"]), int(r["read_ct"]), r["queue_name"], r["message"], [None if x is None else bool(x) for x in r["fails"]], None))
+        pdf = in_order(rows, "read_ct")
+        timer, now = self.held()
+        out, tried = [], set()
+        columns = [pdf[c].tolist() for c in ("msg_id", "us", "read_ct", "queue_name", "message", "fails")]
+        for msg_id, us, read_ct, queue, message, fails in zip(*columns):
+            if msg_id in now or msg_id in tried:  # on hold, or given twice: it is not tried twice
+                continue
+            tried.add(msg_id)
+            self.attempts(out, now, msg_id, (us, read_ct, queue, message, [None if x is None else bool(x) for x in fails]), None)
+        self.hold(timer, now)
+        yield self.frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        due, read_ct, queue, message, fails = self.held()
-        yield self.frame(self.attempts(key, due, read_ct, queue, message, list(fails), timerValues.getCurrentWatermarkInMs() * 1000))
+        _, now = self.held()
+        passed, out = timerValues.getCurrentWatermarkInMs(), []
+        for msg_id, row in list(now.items()):
+            if self.timer(row[0]) <= passed:
+                self.attempts(out, now, msg_id, row, passed * 1000)
+        self.hold(None, now)
+        yield self.frame(out)
 
 
-def stream_retries(messages: DataFrame, fails: Column, delays_seconds: list[int], ts: str = "enqueued_at", lateness: str = "0 seconds") -> DataFrame:
+def stream_retries(messages: DataFrame, fails: Column, delays_seconds: list[int], ts: str = "enqueued_at", lateness: str = "0 seconds", buckets: int = BUCKETS) -> DataFrame:
     """The attempts of each message: those that fail come back when their back-off is due, with ``read_ct`` one higher.
 
     messages: msg_id, queue_name, read_ct, message and ``ts``. ``fails`` is an array of booleans: whether the attempt with
@@ -216,6 +254,6 @@ def stream_retries(messages: DataFrame, fails: Column, delays_seconds: list[int]
     back) or ``dead``. An attempt is given out when the watermark has reached it.
     """
     rows = in_event_time(messages, ts, lateness).select("msg_id", "queue_name", ts, "us", "read_ct", "message", fails.alias("fails"))
-    return rows.groupBy("msg_id").transformWithStateInPandas(
+    return by_bucket(rows, "msg_id", buckets).transformWithStateInPandas(
         statefulProcessor=_Retry([s * 1_000_000 for s in delays_seconds]), outputStructType=ATTEMPT, outputMode="append", timeMode="EventTime"
     )
