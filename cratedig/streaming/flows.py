@@ -51,6 +51,20 @@ def stream_quantiles(
     )
 
 
+def stream_value_counts(metrics: DataFrame, dimensions: list[str], width: str = "1 hour", lateness: str = "10 minutes") -> DataFrame:
+    """How often each ``metric_value`` occurs in a tumbling window; emitted once the watermark has passed the window.
+
+    The state has a row for each value, spread over all tasks; exact quantiles follow from ``exact_quantiles_of_counts``.
+    """
+    return (
+        metrics.withColumn("ts", F.col("ts").cast("timestamp"))
+        .withWatermark("ts", lateness)
+        .groupBy("metric_name", *dimensions, "metric_value", F.window("ts", width).alias("w"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("metric_name", *dimensions, F.col("w.start").alias("period_start"), F.col("w.end").alias("period_end"), "metric_value", "n")
+    )
+
+
 def split_outcomes(messages: DataFrame, valid: Column, error: Column, max_retries: int = 3) -> DataFrame:
     """Adds ``failure_reason``: null for messages that go on."""
     reason = F.when(~F.coalesce(valid, F.lit(False)), F.coalesce(error, F.lit("Invalid message format"))).when(
