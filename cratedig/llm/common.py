@@ -114,12 +114,11 @@ class Recent:
         if len(self.new) > self.limit:
             self.old, self.new = self.new, {}
         new, old, unknown = self.new, self.old, []
-        for key in keys:
-            if key not in new:
-                if (value := old.get(key)) is None:
-                    unknown.append(key)
-                else:
-                    new[key] = value
+        for key in (keys if isinstance(keys, set) else set(keys)).difference(new):
+            if (value := old.get(key)) is None:
+                unknown.append(key)
+            else:
+                new[key] = value
         new.update(zip(unknown, make(unknown)))
         return new
 

@@ -16,7 +16,7 @@ import os
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,9 @@ from cratedig.llm.common import Recent, as_bytes, shuffle_parts, worker_store
 HEAD, BODY, TAIL = "<QI", "<BqI", "<I"
 NULL_ID, WIDE = 1, 2
 #: Distinct words in each of the two generations of a Python worker's cache.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 450_000
+#: Texts that are in words at a time, each word an object: more would take as much memory as the cache.
+TEXTS_AT_ONCE = 250
 
 INDEX = "shard int, offset long, length long, doc_id long, n_tokens long, tokens_before long, ids_crc32 long"
 
@@ -71,6 +73,13 @@ def _word_ids(tokenizer_path: str):
     return held
 
 
+def ids_of(texts: list[bytes], cache: Recent, encode: Callable[[list], list]) -> Iterator[bytes]:
+    """The packed ids of each text."""
+    split = [t.split() for t in texts]
+    known = cache.ensure(set().union(*split), encode)
+    return (b"".join(map(known.__getitem__, words)) for words in split)
+
+
 def frames(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """One frame for each row of (doc_id, data), in the given row order.
 
@@ -88,19 +97,15 @@ def frames(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
             return [array(code, e.ids).tobytes() for e in made]
 
         for batch in batches:
-            for piece in _slices(batch):
-                split = [t.split() for t in piece.column(1).to_pylist()]
-                known = cache.ensure(set().union(*split), encode)
-                out = [
-                    frame(doc_id, b"".join(map(known.__getitem__, words)) + end, wide)
-                    for doc_id, words in zip(piece.column(0).to_pylist(), split)
-                ]
+            for piece in _slices(batch, TEXTS_AT_ONCE):
+                made = ids_of(piece.column(1).to_pylist(), cache, encode)
+                out = [frame(doc_id, ids + end, wide) for doc_id, ids in zip(piece.column(0).to_pylist(), made)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 
     return docs.mapInArrow(run, "frame binary")
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 

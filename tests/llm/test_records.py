@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -5,6 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from cratedig.llm import records
+from cratedig.llm.common import Recent
 from cratedig.llm.queries import QUERIES, WORD_BPE
 from tests.llm import data
 
@@ -40,6 +42,20 @@ def test_dirty_rows_round_trip(spark, tmp_path):
     assert sorted((key(r.doc_id), list(r.ids)) for r in one) == sorted((key(i), x) for i, x in want)
 
 
+def test_memory_of_a_worker():
+    """Two workers beside a heap of 1.8 GB stay below 3 GB: what both generations and the texts at hand take."""
+    limit = records.CACHED_WORDS
+    tracemalloc.start()
+    cache = Recent(limit)
+    for at in range(0, limit + 100_000, 1000):
+        texts = [b"%d %d" % (n, n + 1) for n in range(at, at + 1000)]
+        assert len(list(records.ids_of(texts, cache, lambda words: [w[:4] + b";" for w in words]))) == 1000
+    held = tracemalloc.get_traced_memory()[0] / (len(cache.new) + len(cache.old))
+    tracemalloc.stop()
+    words_at_hand = records.TEXTS_AT_ONCE * 600 * 50
+    assert 2 * limit * held + words_at_hand < 170e6
+
+
 def test_empty_table(spark, tmp_path):
     records.write(data.empty(spark), str(tmp_path), WORD_BPE, END)
     assert records.write_index(spark, str(tmp_path)).count() == 0
