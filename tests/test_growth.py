@@ -51,6 +51,17 @@ def test_small_tasks_keep_what_the_session_sets(spark):
     assert ensure_small_tasks(other).conf.get(key) == "3m"
 
 
+def test_files_are_dealt_out_in_small_pieces(spark):
+    """A task that deals out rows holds its piece of the file, so pieces may not grow with the files."""
+    key = "spark.sql.files.minPartitionNum"
+    spark.conf.set(key, "1")
+    try:
+        file = "/root/testdata/sf0.1/lineitem.parquet"
+        assert ensure_small_tasks(spark).read.parquet(*[file] * 4).rdd.getNumPartitions() == 4
+    finally:
+        spark.conf.unset(key)
+
+
 def test_chain_left_shuffles_credits_and_tracks_once_by_track(no_broadcast):
     s = no_broadcast
     assert shuffles(tb.tracks(s, SF).join(tb.track_producers(s, SF), "track_id")) == 2
