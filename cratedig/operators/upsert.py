@@ -164,7 +164,8 @@ def process_track_batch(batches: DataFrame, tracks: DataFrame, normalized: DataF
     batches: tracks_json, album_id, artist_id, batch_id. A track given twice
     keeps its last values and the album it came with first; a stored track keeps
     its id and album. A song keeps its first track. Results show the kept ids.
-    The arrays are parsed once: their rows are a table under ``folder``.
+    The arrays are parsed once: their rows are a table under ``folder``. Ids of one length and start are slow to sort
+    as text, so they are sorted by their hash first, and stored tracks, one for each id, are looked up by hash join.
     """
     rows = batches.select(
         "batch_id",
@@ -172,20 +173,25 @@ def process_track_batch(batches: DataFrame, tracks: DataFrame, normalized: DataF
         "artist_id",
         F.posexplode_outer(F.from_json("tracks_json", TRACK_BATCH)).alias("position", "t"),
     ).filter(F.col("t").isNotNull()).select("batch_id", "album_id", "artist_id", "position", "t.*")
-    rows.write.mode("overwrite").parquet(f"{folder}/rows")
-    rows = batches.sparkSession.read.schema(rows.schema).parquet(f"{folder}/rows")
-    turn, fields = F.struct("batch_id", "position"), ("name", "duration_ms", "popularity", "spotify_preview_url", "metadata")
-    newest = rows.groupBy("spotify_id").agg(
-        F.max_by(F.struct(*fields), turn).alias("t"), F.min_by("album_id", turn).alias("album_id")
-    ).select(
-        natural_id(F.col("spotify_id")).alias("track_id"), "spotify_id", "album_id", "t.name", "t.duration_ms", "t.popularity",
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/rows")
+    rows = batches.sparkSession.read.schema(rows.schema).parquet(f"{folder}/rows").withColumn("_h", F.xxhash64("spotify_id"))
+    keys, turn = ["_h", "spotify_id"], F.struct("batch_id", "position")
+    fields = ("name", "duration_ms", "popularity", "spotify_preview_url", "metadata")
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*fields), turn).alias("t"), F.min_by("album_id", turn).alias("album_id")).select(
+        natural_id(F.col("spotify_id")).alias("track_id"), *keys, "album_id", "t.name", "t.duration_ms", "t.popularity",
         F.col("t.spotify_preview_url").alias("preview_url"), "t.metadata",
     )
-    stored = upsert_overwrite(tracks, newest, ["spotify_id"], as_of, keep=["track_id", "album_id"])
-    known = tracks.select("spotify_id", F.col("track_id").alias("_kept"))
-    kept = rows.join(known, "spotify_id", "left").withColumn("track_id", F.coalesce("_kept", natural_id(F.col("spotify_id")))).drop("_kept")
-    songs = upsert_normalized_tracks(normalized, kept, as_of, "batch_id", "position")
-    results = kept.select("batch_id", "position", "track_id", "name", "spotify_id")
+    tracks = tracks.withColumn("_h", F.xxhash64("spotify_id")).hint("shuffle_hash")
+    stored = upsert_overwrite(tracks, newest, keys, as_of, keep=["track_id", "album_id"]).drop("_h")
+    known = tracks.select(*keys, F.col("track_id").alias("_kept"))
+    kept = rows.join(known, keys, "left")
+    track_id = F.coalesce("_kept", natural_id(F.col("spotify_id"))).alias("track_id")
+    first = representative_track(kept.withColumn("track_id", F.struct("_kept", "spotify_id")), "batch_id", "position")
+    first = first.select("artist_id", "normalized_name", "representative_track_id.*")
+    songs = insert_if_absent(
+        normalized, first.withColumn("representative_track_id", track_id), ["artist_id", "normalized_name"], as_of
+    )
+    results = kept.select("batch_id", "position", track_id, "name", "spotify_id")
     return {"tracks": stored, "normalized_tracks": songs, "results": results}
 
 

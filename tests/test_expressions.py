@@ -1,5 +1,6 @@
 """Golden cases for the expressions, including every branch of the rule chains."""
 
+import re
 from datetime import date
 
 import pytest
@@ -32,6 +33,12 @@ def test_track_names(spark):
     assert values(spark, ["Señor 2", "夜"], lambda c: text.normalize_track_name(c, unicode=True)) == ["señor2", "夜"]
 
 
+def test_track_names_lose_all_but_ascii_letters_and_digits(spark):
+    names = ["".join(map(chr, range(128))), "Àé-B_c 9", "\u212aelvin \u0130I", "a\u0301\U0001f3b5Z", "\x00tab\t\x7f.", "", None]
+    want = [None if n is None else re.sub("[^a-zA-Z0-9]", "", n).lower() for n in names]
+    assert values(spark, names, text.normalize_track_name) == want
+
+
 def test_credit_text(spark):
     html = (
         "<p>Produced by Metro Boomin, mixed by X. Producers: A B C<br>Producer: Zed</p> beats by Dr Dre <i>produced by "

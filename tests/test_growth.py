@@ -4,7 +4,9 @@ import re
 
 import pytest
 
-from cratedig.operators import catalog
+from cratedig import schemas
+from cratedig.operators import catalog, upsert
+from cratedig.plans import catalogue
 from cratedig.session import SMALL_TASKS, ensure_small_tasks
 from cratedig.sources import testbed as tb
 
@@ -76,6 +78,22 @@ def test_related_producers_join_credits_where_they_lie(no_broadcast):
     assert "LeftAnti" not in plan(df) and shuffles(df) <= 12
 
 
+def test_track_batches_derive_their_tables_once(spark):
+    """Batches, stored tracks and stored songs come from one written table, not from the base tables again for each use."""
+    df = catalogue.QUERIES["process_track_batch"](spark, SF)
+    assert not [f for f in df.inputFiles() if "lineitem" in f or "orders" in f or "part.parquet" in f]
+
+
+def test_track_batch_looks_stored_tracks_up_without_sorting_ids(no_broadcast, tmp_path):
+    s = no_broadcast
+    batches = s.createDataFrame([(1, '[{"spotify_id":"s1","name":"A"}]', "al", "ar")], "batch_id int, tracks_json string, album_id string, artist_id string")
+    out = upsert.process_track_batch(
+        batches, s.createDataFrame([], schemas.TRACKS), s.createDataFrame([], schemas.NORMALIZED_TRACKS), "2024-01-01", str(tmp_path)
+    )
+    for part in ("tracks", "results"):
+        assert "ShuffledHashJoin" in plan(out[part]) and "SortMergeJoin" not in plan(out[part])
+
+
 def test_orphans_shuffle_ids_as_numbers(no_broadcast):
     s = no_broadcast
     df = catalog.fk_orphans(tb.albums(s, SF), tb.tracks(s, SF), tb.track_producers(s, SF), tb.artists(s, SF), tb.producers(s, SF))
