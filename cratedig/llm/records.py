@@ -12,11 +12,14 @@ and repeated tasks leave no partial files, and any file system Spark knows will
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,15 @@ CACHED_WORDS = 450_000
 #: Texts that are in words at a time, each word an object: more would take as much memory as the cache.
 TEXTS_AT_ONCE = 250
 
+#: A word of letters up to U+00FF and then ASCII marks, without apostrophes.
+LETTER, MARKS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])", rb"[!-&(-/:-@\[-`{-~]*"
+PLAIN = re.compile(rb"(%s+)(%s)" % (LETTER, MARKS))
+#: The characters by which such a tokenizer writes the bytes it has no printable character for.
+UNPRINTABLE = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
+#: How a tokenizer has to prepare texts for its model to be asked for the letters and the marks of such a word at once.
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 INDEX = "shard int, offset long, length long, doc_id long, n_tokens long, tokens_before long, ids_crc32 long"
 
 
@@ -60,16 +72,66 @@ def read_frame(data: memoryview, at: int) -> tuple[int | None, np.ndarray, int]:
     return (None if flags & NULL_ID else doc_id), ids, start + size + struct.calcsize(TAIL) + 1
 
 
+def cuts_plain_words(settings: dict) -> bool:
+    """Whether a plain word is lower-cased, cut into its letters and its marks, and given to the model byte by byte."""
+    before = settings["pre_tokenizer"] or {}
+    split, level = (before.get("pretokenizers") or [{}, {}])[:2]
+    return (
+        (settings["normalizer"] or {}).get("normalizers") == NORMALIZER
+        and len(before.get("pretokenizers") or ()) == 2
+        and split.get("pattern") == {"Regex": CUTS} and split.get("behavior") == "Removed" and split.get("invert") is True
+        and level.get("type") == "ByteLevel" and not level.get("add_prefix_space") and not level.get("use_regex")
+        and not settings["truncation"] and not settings["padding"]
+        # an added token is found inside words, too
+        and not any(re.fullmatch(rb"%s*%s" % (LETTER, MARKS), a["content"].encode()) for a in settings["added_tokens"])
+    )
+
+
+def encoder(tokenizer_path: str) -> tuple[Callable[[list[bytes]], list[bytes]], bool]:
+    """A function from words to their packed ids, and whether an id takes four bytes.
+
+    Plain words go straight to the library's model where that is the same: preparing a word takes most of the time.
+    """
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path)
+    wide = tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
+    code = "I" if wide else "H"
+    model = tokenizer.model.tokenize
+
+    def pack(piece: bytes) -> bytes:
+        text = piece.decode().lower()
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(UNPRINTABLE)
+        return array(code, [t.id for t in model(text)]).tobytes()
+
+    def whole(words: list[bytes]) -> list[bytes]:
+        made = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return [array(code, e.ids).tobytes() for e in made]
+
+    def encode(words: list[bytes]) -> list[bytes]:
+        out, others = [], []
+        for word in words:
+            if found := PLAIN.fullmatch(word):
+                out.append(pack(found[1]) + marks(found[2]) if found[2] else pack(found[1]))
+            else:
+                others.append(len(out))
+                out.append(b"")
+        for at, ids in zip(others, whole([words[i] for i in others])):
+            out[at] = ids
+        return out
+
+    marks = lru_cache(4096)(pack)
+    with open(tokenizer_path, encoding="utf-8") as file:
+        return (encode if cuts_plain_words(json.load(file)) else whole), wide
+
+
 def _word_ids(tokenizer_path: str):
-    """The tokenizer and the cache from word to packed ids of this worker process."""
+    """The encoder and the cache from word to packed ids of this worker process."""
     held = worker_store("records").get(tokenizer_path)
     if held is None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        wide = tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
-        held = worker_store("records")[tokenizer_path] = (tokenizer, wide, Recent(CACHED_WORDS))
+        held = worker_store("records")[tokenizer_path] = (*encoder(tokenizer_path), Recent(CACHED_WORDS))
     return held
 
 
@@ -88,13 +150,8 @@ def frames(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, wide, cache = _word_ids(tokenizer_path)
-        code = "I" if wide else "H"
-        end = array(code, [end_id]).tobytes()
-
-        def encode(words: list[bytes]) -> list[bytes]:
-            made = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-            return [array(code, e.ids).tobytes() for e in made]
+        encode, wide, cache = _word_ids(tokenizer_path)
+        end = array("I" if wide else "H", [end_id]).tobytes()
 
         for batch in batches:
             for piece in _slices(batch, TEXTS_AT_ONCE):

@@ -1,3 +1,4 @@
+import json
 import tracemalloc
 import zlib
 
@@ -56,6 +57,23 @@ def test_memory_of_a_worker():
     assert 2 * limit * held + words_at_hand < 170e6
 
 
+def test_plain_words_equal_the_library_without_its_preparation():
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    words = [w + m for w in ("Aa", "zebra", "I", "ABCxyzQ", "s", "startoftext", "re" * 400) for m in ("", *marks, "!!", ",***", "<|", "|>", "\\`^_$+~")]
+    words += [w + m for w in [*map(chr, range(0x80, 0x180)), "Übung", "ÀÉÎÕÜÇÑØÞß", "niña", "sí"] for m in ("", ".", "!?")]
+    words += ["<|endoftext|>", "a<|endoftext|>", "it's", "a'll", "x1", "1.", "é", "Éa.", "\u212aa", "a\u0301", "\x00a", "a\x00", "a-b", "...", "'", "a\u00a0b"]
+    encode, wide = records.encoder(WORD_BPE)
+    made = encode([w.encode() for w in words])
+    assert [np.frombuffer(m, "<u4" if wide else "<u2").tolist() for m in made] == [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+
+    settings = json.loads(open(WORD_BPE, encoding="utf-8").read())
+    assert records.cuts_plain_words(settings)
+    assert not records.cuts_plain_words(settings | {"normalizer": None})
+    assert not records.cuts_plain_words(settings | {"pre_tokenizer": {"type": "Whitespace"}})
+    assert not records.cuts_plain_words(settings | {"added_tokens": [{"content": "bra"}]})
+
+
 def test_empty_table(spark, tmp_path):
     records.write(data.empty(spark), str(tmp_path), WORD_BPE, END)
     assert records.write_index(spark, str(tmp_path)).count() == 0
