@@ -159,6 +159,21 @@ def test_linked_stages_equal_the_batch_chain_after_stops_and_failures(spark, tmp
     assert tuple(counts) == (3, 2, 2)
 
 
+def test_a_request_for_an_unknown_track_is_refused_whole_and_others_pass_bare(spark, tmp_path):
+    chain = linked.Chain(spark, str(tmp_path / "linked"), responses(spark), "2024-01-01")
+    linked.send(spark, chain.root, seeds(spark, ["Artist 0"]), "2024-01-01")
+    linked.drain(chain)
+    body = '{"trackId":"none","note":"kept"}'
+    linked.send(spark, chain.root, spark.createDataFrame([("producer_identification", "k", body)], "queue_name string, dedup_key string, message string"), "2024-01-01", batch=1)
+    linked.drain(chain, ["producer_identification"])
+    dead = flows.read_batches(spark, f"{chain.root}/dead/producer_identification").collect()
+    assert [(r.dedup_key, r.message, r.failure_reason) for r in dead] == [("k", body, "Track not found with ID: none")]
+    counts = flows.read_batches(spark, f"{chain.root}/metrics/producer_identification").groupBy().sum("processed", "errors", "duplicates").first()
+    passed = flows.read_batches(spark, f"{chain.root}/passed/producer_identification")
+    assert tuple(counts) == (chain.table("tracks").count(), 1, 0)
+    assert passed.filter("json_object_keys(message) <> array('trackId')").count() == 0 and passed.count() == counts[0]
+
+
 # --- queues, retention, dead letters -----------------------------------------------------------------------------
 
 def messages(spark, first, n):
