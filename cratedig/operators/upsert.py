@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cratedig.functions.bodies import json_merge
 from cratedig.functions.formats import packed, unpacked
 from cratedig.functions.text import normalize_producer_name, normalize_track_name, social_links
 from cratedig.functions.times import at
 from cratedig.operators.ordered import newest_per_key
+from cratedig.session import shuffles_freed
 
 DEFAULT_CONFIDENCE = 0.8
 CREDIT_SOURCE = "genius"
@@ -33,28 +34,33 @@ def _meet(target: DataFrame, batch: DataFrame, keys: Sequence[str]):
     return old.join(new, list(keys), "full_outer")
 
 
-def upsert_overwrite(target: DataFrame, batch: DataFrame, keys: Sequence[str], as_of, keep: Sequence[str] = ()) -> DataFrame:
-    """New rows replace every mapped column; created_at is kept, updated_at is set.
-
-    ``batch`` has one row per key and the target's columns but the time stamps.
-    Columns in ``keep`` (ids other tables refer to) are set once and stay.
-    """
+def _overwritten(columns: Sequence[str], given: Sequence[str], keys: Sequence[str], as_of, keep: Sequence[str]) -> list[Column]:
+    """The columns of a stored table from a row that was stored, ``o``, and one that is new, ``n``; either may be null."""
     is_new, was = F.col("n").isNotNull(), F.col("o").isNotNull()
     cols = []
-    for c in target.columns:
+    for c in columns:
         if c in keys:
             cols.append(F.col(c))
         elif c == "created_at":
             cols.append(F.when(was, F.col("o.created_at")).otherwise(at(as_of)).alias(c))
         elif c == "updated_at":
             cols.append(F.when(is_new, at(as_of)).otherwise(F.col("o.updated_at")).alias(c))
-        elif c in keep and c in batch.columns:
+        elif c in keep and c in given:
             cols.append(F.when(was, F.col(f"o.{c}")).otherwise(F.col(f"n.{c}")).alias(c))
-        elif c in batch.columns:
+        elif c in given:
             cols.append(F.when(is_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c))
         else:
             cols.append(F.col(f"o.{c}").alias(c))
-    return _meet(target, batch, keys).select(*cols)
+    return cols
+
+
+def upsert_overwrite(target: DataFrame, batch: DataFrame, keys: Sequence[str], as_of, keep: Sequence[str] = ()) -> DataFrame:
+    """New rows replace every mapped column; created_at is kept, updated_at is set.
+
+    ``batch`` has one row per key and the target's columns but the time stamps.
+    Columns in ``keep`` (ids other tables refer to) are set once and stay.
+    """
+    return _meet(target, batch, keys).select(*_overwritten(target.columns, batch.columns, keys, as_of, keep))
 
 
 def upsert_artists(artists: DataFrame, batch: DataFrame, as_of) -> DataFrame:
@@ -163,34 +169,53 @@ TRACK_BATCH = (
 )
 
 
-def process_track_batch(batches: DataFrame, tracks: DataFrame, normalized: DataFrame, as_of, folder: str) -> dict[str, DataFrame]:
+def process_track_batch(batches: DataFrame, tracks: DataFrame, normalized: DataFrame, as_of, folder: str, at_once: bool = False) -> dict[str, DataFrame]:
     """Track arrays with their album and artist into tracks and songs, with a result list.
 
     batches: tracks_json, album_id, artist_id, batch_id. A track given twice
     keeps its last values and the album it came with first; a stored track keeps
     its id and album. A song keeps its first track. Results show the kept ids.
-    The arrays are parsed once: their rows are a table under ``folder``. Ids of one length and start are slow to sort
-    as text, so they are sorted by their hash first, and stored tracks, one for each id, are looked up by hash join.
+    The arrays are parsed once. Their rows are dealt out by spotify_id: there each meets its stored track and learns whether it is the
+    last of its id. ``at_once`` stores this under ``folder``, for all three results to read; else each result deals out what it
+    needs of the parsed rows, which are stored instead. Ids of one length and start are slow to sort as text, so they are
+    sorted by their hash first; stored tracks, one for each id, are looked up by hash join.
     """
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        with shuffles_freed(df.sparkSession):
+            df.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     rows = batches.select(
         "batch_id",
         "album_id",
         "artist_id",
         F.posexplode_outer(F.from_json("tracks_json", TRACK_BATCH)).alias("position", "t"),
     ).filter(F.col("t").isNotNull()).select("batch_id", "album_id", "artist_id", "position", "t.*")
-    rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/rows")
-    rows = batches.sparkSession.read.schema(rows.schema).parquet(f"{folder}/rows").withColumn("_h", F.xxhash64("spotify_id"))
-    keys, turn = ["_h", "spotify_id"], F.struct("batch_id", "position")
-    fields = ("name", "duration_ms", "popularity", "spotify_preview_url", "metadata")
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*fields), turn).alias("t"), F.min_by("album_id", turn).alias("album_id")).select(
-        natural_id(F.col("spotify_id")).alias("track_id"), *keys, "album_id", "t.name", "t.duration_ms", "t.popularity",
-        F.col("t.spotify_preview_url").alias("preview_url"), "t.metadata",
+    if not at_once:
+        rows = written(rows, "rows")
+    id_rows = Window.partitionBy("_h", "spotify_id").orderBy(F.desc("batch_id"), F.desc("position"))
+    every = id_rows.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    new = F.struct(F.col("_album").alias("album_id"), "name", "duration_ms", "popularity", F.col("spotify_preview_url").alias("preview_url"), "metadata")
+    turns = (
+        rows.repartition("spotify_id").withColumn("_h", F.xxhash64("spotify_id"))
+        .withColumns({"_last": F.row_number().over(id_rows) == 1, "_album": F.last("album_id").over(every)})
+        .select("spotify_id", "batch_id", "position", "artist_id", "_last", new.alias("n"))
+    )
+    old = tracks.select("spotify_id", F.struct(*tracks.columns).alias("o")).hint("shuffle_hash")
+    once = F.coalesce("_last", F.lit(True))  # of a stored track's rows, or of none
+    met = turns.join(old, "spotify_id", "full_outer").select(
+        "spotify_id", "batch_id", "position", "artist_id", "n", once.alias("_once"), F.col("o.track_id").alias("_kept"), F.when(once, F.col("o")).alias("o"),
+    )
+    if at_once:
+        met = written(met, "met")
+    made = natural_id(F.col("spotify_id"))
+    given = ["track_id", *met.schema["n"].dataType.names]
+    stored = met.filter("_once").withColumn("n", F.when(F.col("n").isNotNull(), F.struct(made.alias("track_id"), "n.*"))).select(
+        *_overwritten(tracks.columns, given, ["spotify_id"], as_of, ["track_id", "album_id"])
     )
-    tracks = tracks.withColumn("_h", F.xxhash64("spotify_id")).hint("shuffle_hash")
-    stored = upsert_overwrite(tracks, newest, keys, as_of, keep=["track_id", "album_id"]).drop("_h")
-    known = tracks.select(*keys, F.col("track_id").alias("_kept"))
-    kept = rows.join(known, keys, "left")
-    track_id = F.coalesce("_kept", natural_id(F.col("spotify_id"))).alias("track_id")
+    kept = met.filter("n IS NOT NULL").select("batch_id", "position", "artist_id", "spotify_id", "_kept", "n.name")
+    track_id = F.coalesce("_kept", made).alias("track_id")
     first = representative_track(kept.withColumn("track_id", F.struct("_kept", "spotify_id")), "batch_id", "position")
     first = first.select("artist_id", "normalized_name", "representative_track_id.*")
     songs = insert_if_absent(

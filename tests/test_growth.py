@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from cratedig import schemas
 from cratedig.operators import catalog, upsert
@@ -94,6 +95,22 @@ def test_track_batch_looks_stored_tracks_up_without_sorting_ids(no_broadcast, tm
         assert "ShuffledHashJoin" in plan(out[part]) and "SortMergeJoin" not in plan(out[part])
 
 
+def test_track_batch_deals_its_rows_out_once_for_all_results(no_broadcast, tmp_path):
+    s = no_broadcast
+    body = '[{"spotify_id":"s1","name":"A","popularity":1},{"spotify_id":"s2","name":"B"},{"spotify_id":"s1","name":"A2"}]'
+    batches = s.createDataFrame([(1, body, "al", "ar"), (2, '[{"spotify_id":"s1","name":"A3"}]', "al2", "ar")], "batch_id int, tracks_json string, album_id string, artist_id string")
+    stored = s.createDataFrame([("old", "s2", "al0", 5), ("rest", "s3", "al0", 7)], "track_id string, spotify_id string, album_id string, popularity int")
+    tracks = stored.select(*[c if c in stored.columns else F.lit(None).cast(t).alias(c) for c, t in s.createDataFrame([], schemas.TRACKS).dtypes])
+    songs = s.createDataFrame([], schemas.NORMALIZED_TRACKS).limit(0)
+    out, again = (upsert.process_track_batch(batches, tracks, songs, "2024-01-01", str(tmp_path / str(at_once)), at_once=at_once) for at_once in (True, False))
+    assert shuffles(out["tracks"]) == shuffles(out["results"]) == 0 and shuffles(out["normalized_tracks"]) == 1
+    for part in out:
+        assert sorted(map(str, out[part].collect())) == sorted(map(str, again[part].collect()))
+    got = {r.spotify_id: (r.name, r.album_id, r.popularity, r.created_at is None) for r in out["tracks"].collect()}
+    assert got == {"s1": ("A3", "al", None, False), "s2": ("B", "al0", None, True), "s3": (None, "al0", 7, True)}
+    assert out["results"].filter("spotify_id = 's2'").first().track_id == "old" and out["results"].count() == 4
+
+
 def test_orphans_shuffle_ids_as_numbers(no_broadcast):
     s = no_broadcast
     df = catalog.fk_orphans(tb.albums(s, SF), tb.tracks(s, SF), tb.track_producers(s, SF), tb.artists(s, SF), tb.producers(s, SF))
