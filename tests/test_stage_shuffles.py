@@ -9,6 +9,8 @@ from cratedig.plans import stages
 from cratedig.session import FREED
 from pyspark.sql import functions as F
 
+from tests.test_streams import responses, seeds
+
 
 def test_a_request_is_shuffled_without_its_message_and_a_broken_one_hides_none(spark):
     rows = [("k", '{"trackId":"t1","note":"long"}'), ("k", '{"trackId":"t2"}'), ("k", "[]"), (None, '{"trackId":"t3"}')]
@@ -47,3 +49,21 @@ def test_links_of_text_ids_are_shuffled_packed(spark):
     assert out.dtypes[:2] == [("track_id", "string"), ("producer_id", "string")]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("unhex") > plan.index("row_number")  # below the window, so packed before the shuffle
+
+
+def test_only_messages_from_elsewhere_are_looked_up_among_the_tracks(spark, tmp_path, monkeypatch):
+    calls, real = [], stages.refused
+
+    def noted(messages, queue, tracks=None):
+        calls.append((queue, tracks is not None, messages))
+        return real(messages, queue, tracks)
+
+    monkeypatch.setattr(stages, "refused", noted)
+    rows = [("k1", '{"trackId":"none"}'), ("k2", "[]")]
+    bad = spark.createDataFrame(rows, "dedup_key string, message string").select(F.lit("producer_identification").alias("queue_name"), "*")
+    got = stages.stage_chain(spark, seeds(spark, ["Artist 0"]), responses(spark), "2024-01-01", str(tmp_path / "chain"), {"producer_identification": bad}, with_dead=True)
+    looked = [(queue, messages.count()) for queue, tracks, messages in calls if tracks]
+    assert looked == [("producer_identification", 2)]
+    assert {r.dedup_key: r.failure_reason for r in got["dead"].collect()} == {
+        "k1": "Track not found with ID: none", "k2": "Invalid message format: message body is empty or null"
+    }
