@@ -67,3 +67,10 @@ def test_only_messages_from_elsewhere_are_looked_up_among_the_tracks(spark, tmp_
     assert {r.dedup_key: r.failure_reason for r in got["dead"].collect()} == {
         "k1": "Track not found with ID: none", "k2": "Invalid message format: message body is empty or null"
     }
+
+
+def test_requests_read_each_message_once(spark):
+    messages = spark.createDataFrame([("k", '{"trackId":"t1"}')], "dedup_key string, message string").repartition(2)
+    got = stages.distinct_requests(messages, stages.first_of(F.col("message"), "trackId").alias("track_id"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" in plan and not [line for line in plan.splitlines() if "Filter" in line and "get_json_object" in line]
